@@ -402,7 +402,7 @@ def compile_thread(spark, d):
     collected = collect.compile_thread(
         tables.documents_as_posts(spark, d),
         tables.merged_log(spark, d),
-        tables.reply_objects(spark, d),
+        tables.reply_pages(spark, d),
         landed,
     )
     return progress.outcome_text(collected.outcomes).withColumn(
@@ -419,7 +419,7 @@ def collected_replies(spark, d):
     collected = collect.compile_thread(
         tables.documents_as_posts(spark, d),
         tables.merged_log(spark, d),
-        tables.reply_objects(spark, d),
+        tables.reply_pages(spark, d),
         landed,
     )
     return collected.replies.select("id", "PARENT_ID", "content")

@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 import re
+import sys
+
+from pyspark import cloudpickle
+
+# Python workers need not have this package installed to run the stand-in.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _ASKED = re.compile(r'^\[id: (\d+), text: "', re.MULTILINE)
 

@@ -41,6 +41,7 @@ def lookup_join(
     share: float = HEAVY_SHARE,
     rows: int = HEAVY_ROWS,
     fan_out: int = FAN_OUT,
+    n_facts: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, whose ``key`` is unique, without hot tasks.
 
@@ -48,10 +49,13 @@ def lookup_join(
     ``spread_by``, and only that key's single lookup row is copied to every
     salt. Null keys match nothing and are dealt out as well. The result is that
     of the plain equi-join on ``key``; a small lookup is still broadcast when
-    Spark measures it below its threshold.
+    Spark measures it below its threshold. ``n_facts``, when known, spares the
+    search for heavy keys where there are too few rows for one.
     """
     if how not in ("left", "inner"):
         raise ValueError("lookup_join does left and inner joins")
+    if n_facts is not None and n_facts <= rows:
+        return facts.join(lookup, key, how)
     heavy = F.broadcast(heavy_keys(facts, key, share, rows).withColumn("_heavy", F.lit(True)))
     dealt = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
     salted = (

@@ -11,6 +11,8 @@ from threadloom.functions.text import url_tail
 from threadloom.operators.skew import lookup_join
 from threadloom.session import store
 
+# ISO-8601 as the social API writes it.
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS]X"
 # Spark prunes "row_number() <= n" before the shuffle only up to this n.
 _GROUP_LIMIT = 1000
 
@@ -22,9 +24,14 @@ def explode_pages(
 
     Absent keys become null and unknown keys are dropped, both by the schema.
     """
-    parsed = F.from_json(F.col(page), schema, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]X"})
+    parsed = F.from_json(F.col(page), schema, {"timestampFormat": TIMESTAMP_FORMAT})
+    return unnest_page(pages.withColumn(page, parsed), page)
+
+
+def unnest_page(pages: DataFrame, page: str = "page") -> DataFrame:
+    """Parsed pages -> one row per reply, beside the page's other columns."""
     others = [name for name in pages.columns if name != page]
-    return pages.select(*others, F.explode(parsed).alias("_reply")).select(*others, "_reply.*")
+    return pages.select(*others, F.explode(page).alias("_reply")).select(*others, "_reply.*")
 
 
 def project_fields(df: DataFrame, fields: T.StructType | Sequence[str]) -> DataFrame:
@@ -173,8 +180,8 @@ def thread_depth(links: DataFrame, **skew) -> DataFrame:
     Every open row points at an ancestor; each round replaces the pointer by
     the ancestor's own pointer, so the distance covered doubles and a thread of
     depth d takes log2(d) rounds of one equi-join over three numbers per row.
-    Finished rows no longer take part. State is stored each round, which keeps
-    the plan short and survives lost executors.
+    Rows that reached their root take no further part. Each round stores only
+    the rows it moved, which keeps plans short and survives lost executors.
 
     Returns id, root_id, reply_depth and ``status``: ``root`` or ``reply``;
     ``orphan`` when the parent is not in the table, which makes the post a root
@@ -184,7 +191,7 @@ def thread_depth(links: DataFrame, **skew) -> DataFrame:
     known = links.select(F.col("id").alias("in_reply_to_id"), F.lit(True).alias("_known"))
     first = lookup_join(links, known, "in_reply_to_id", spread_by=["id"], **skew)
     is_top = F.col("_known").isNull()
-    state = store(
+    last = store(
         first.select(
             "id",
             F.when(is_top, F.col("id")).otherwise(F.col("in_reply_to_id")).alias("up"),
@@ -194,14 +201,11 @@ def thread_depth(links: DataFrame, **skew) -> DataFrame:
         ),
         "depth",
     )
-    open_before = None
-    while True:
-        open_now = state.where(~F.col("done")).count()
-        # Above a row without cycle there is always one that finishes this
-        # round, so an unchanged count means only cycles are left.
-        if open_now == 0 or open_now == open_before:
-            break
-        open_before = open_now
+    state = last
+    open_before, open_now = None, last.where(~F.col("done")).count()
+    # Below a row without cycle there is always one that finishes next round,
+    # so an unchanged count means only cycles are left.
+    while open_now not in (0, open_before):
         above = state.select(
             F.col("id").alias("up"),
             F.col("up").alias("up_up"),
@@ -209,7 +213,7 @@ def thread_depth(links: DataFrame, **skew) -> DataFrame:
             F.col("done").alias("up_done"),
         )
         moved = lookup_join(
-            state.where(~F.col("done")), above, "up", spread_by=["id"], **skew
+            last.where(~F.col("done")), above, "up", ["id"], "inner", n_facts=open_now, **skew
         ).select(
             "id",
             F.col("up_up").alias("up"),
@@ -217,7 +221,10 @@ def thread_depth(links: DataFrame, **skew) -> DataFrame:
             F.col("up_done").alias("done"),
             "orphan",
         )
-        state = store(state.where("done").unionByName(moved), "depth")
+        finished = state.where("done")
+        last = store(moved, "depth")
+        state = finished.unionByName(last)
+        open_before, open_now = open_now, last.where(~F.col("done")).count()
     return state.select(
         "id",
         F.when(F.col("done"), F.col("up")).alias("root_id"),

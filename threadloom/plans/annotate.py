@@ -41,7 +41,7 @@ def _annotate(
     result: str,
     mode: str,
     null_text: str | None,
-    text: str,
+    texts: Sequence[str],
     item_id: str,
     run_id: str | None,
     responses_path: str | None,
@@ -50,7 +50,8 @@ def _annotate(
 ) -> DataFrame:
     sendable = F.col(item_id).isNotNull()
     if null_text is None:
-        sendable &= F.col(text).isNotNull()
+        for text in texts:
+            sendable &= F.col(text).isNotNull()
     chosen = F.coalesce(wanted & sendable, F.lit(False))
     numbered = number_rows(df.where(chosen), order_by)
     # The count comes from Parquet footers; it only sizes the model stage.
@@ -60,7 +61,6 @@ def _annotate(
         user_template=user_template,
         tasks=max(tasks, parallelism or 1),
         item_id=item_id,
-        text=text,
         null_text=null_text,
     )
     responses = call_model(requests, model, system_prompt, run_id, responses_path)
@@ -102,7 +102,7 @@ def argument_mine(
         "AM_output",
         mode,
         null_text,
-        "content",
+        ["content"],
         "external_id",
         run_id,
         responses_path,
@@ -131,7 +131,8 @@ def stance_detect(
 
     All replies are annotated, those with a result again, unless
     ``only_missing``. Replies are sent by depth and parent URL, so that a
-    parent's text is sent once per run of its replies.
+    parent's text is sent once per run of its replies. A reply whose own or
+    parent's text is null is not sent unless ``null_text`` names it.
     """
     df = batching.with_result_column(df, "SD_output")
     return _annotate(
@@ -146,7 +147,7 @@ def stance_detect(
         "SD_output",
         mode,
         null_text,
-        "content",
+        ["content", "PARENT_content"],
         "external_id",
         run_id,
         responses_path,

@@ -9,33 +9,43 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from threadloom import schemas
 from threadloom.operators import combine, progress, threads
 from threadloom.operators.skew import lookup_join
+from threadloom.session import store
 from threadloom.sources.readers import FILE_ORDER, read_files
 
 
 @dataclass(frozen=True)
 class Collected:
-    """What one collection run yields; nothing is evaluated yet."""
+    """What one collection run yields: frames over the matched replies."""
 
     replies: DataFrame
     authors: DataFrame
     outcomes: DataFrame
 
 
-def get_comments(posts: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def get_comments(
+    posts: DataFrame, pages: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(reply rows, author rows, replies per post) of the posts' landed replies.
 
-    ``posts`` has unique ``post_url``; ``objects`` are reply objects with the
-    ``post_url`` they were fetched for.
+    ``posts`` has unique ``post_url``; ``pages`` has (post_url, page), a page
+    being a list of reply objects, as JSON text or parsed. Posts are matched to
+    pages before a page is parsed, and what matched is stored once, because
+    each of the three results reads other columns of it.
     """
-    found = lookup_join(objects, posts.select("post_url"), "post_url", ["id"], how="inner")
+    matched = lookup_join(pages, posts.select("post_url"), "post_url", ["page"], how="inner")
+    if isinstance(pages.schema["page"].dataType, T.StringType):
+        objects = threads.explode_pages(matched)
+    else:
+        objects = threads.unnest_page(matched)
+    objects = store(objects, "replies")
     counts = threads.reply_counts(posts.select("post_url"), objects, "post_url")
-    return threads.reply_rows(found), threads.author_rows(found), counts
+    return threads.reply_rows(objects), threads.author_rows(objects), counts
 
 
 def compile_thread(
     posts: DataFrame,
     log: DataFrame,
-    objects: DataFrame,
+    pages: DataFrame,
     landed: DataFrame,
     seed: int | None = None,
     shards: int = progress.SHARDS,
@@ -59,8 +69,7 @@ def compile_thread(
         )
         .drop("_landed")
     )
-    good = tried.where(F.col("error").isNull())
-    replies, authors, counts = get_comments(good, objects)
+    replies, authors, counts = get_comments(tried.where(F.col("error").isNull()), pages)
     outcomes = tried.join(counts, "post_url", "left").select(
         "row",
         F.when(F.col("error").isNull(), 1).otherwise(0).alias("scraped"),

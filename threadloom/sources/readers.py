@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from threadloom import schemas
 from threadloom.functions.text import safe_id
 from threadloom.operators.combine import union_by_name
-from threadloom.operators.threads import explode_pages, project_fields
+from threadloom.operators.threads import TIMESTAMP_FORMAT, project_fields, unnest_page
 
 # Text cells may hold line breaks and doubled quotes.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
@@ -105,10 +105,11 @@ def read_reply_pages(
 ) -> DataFrame:
     """Landed JSON lines {"post_url": ..., "page": [...]} -> one row per reply."""
     schema = T.StructType(
-        [T.StructField(post_url, T.StringType()), T.StructField("page", T.StringType())]
+        [T.StructField(post_url, T.StringType()), T.StructField("page", schemas.REPLY_PAGE)]
     )
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return explode_pages(spark.read.schema(schema).json(paths))
+    pages = spark.read.schema(schema).json(paths, timestampFormat=TIMESTAMP_FORMAT)
+    return unnest_page(pages, "page")
 
 
 def _places(fmt: str) -> list:
