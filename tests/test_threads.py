@@ -129,7 +129,7 @@ def test_pull_comments(spark, replies):
     assert ids() == list(range(2, 12)) + [21, 22]
     assert ids(top_num=1) == [11, 21]
     assert ids(top_num=1, include_all=True) == list(range(2, 12)) + [21, 22]
-    assert ids(only_first=True) == [3, 5, 7, 9, 11, 21, 22]
+    assert ids(only_first=True) == [2, 3, 5, 7, 9, 11, 21, 22]
     assert ids(top_num=0) == []
 
 

@@ -162,7 +162,7 @@ ORACLES: dict[str, str] = {
       FROM replies WHERE id <> root_id""",
     "json_field": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
       FROM events""",
-    "url_tails": "SELECT page_id, string_split(url, '/')[-1] AS tail FROM pages",
+    "url_tail": "SELECT page_id, string_split(url, '/')[-1] AS tail FROM pages",
     "id_cast": """SELECT page_id, TRY_CAST(string_split(url, '/')[-1] AS BIGINT) AS external_id,
       TRY_CAST(string_split(url, '/')[-1] AS BIGINT) IS NOT NULL AS valid FROM pages""",
     "renamed_replies": f"""WITH {REPLIES}

@@ -38,7 +38,7 @@ def query(fn: Query) -> Query:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         return fn(spark, sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return run
 
 
@@ -132,7 +132,7 @@ def json_field(spark, d):
 
 
 @query
-def url_tails(spark, d):
+def url_tail_(spark, d):
     return tables.table(spark, d, "pages").select("page_id", url_tail(F.col("url")).alias("tail"))
 
 

@@ -1,8 +1,7 @@
-"""Cutting a model's free-text answer into one value per requested id.
+"""Finding a model's answer items in its free text.
 
-Both modes work inside the row that holds the answer: a request has at most a
-few dozen ids, so array functions do it without exploding or shuffling.
-The result is ARRAY<STRUCT<pos, id, result>>, one entry per requested position.
+A request asks for a few dozen ids at most, so arrays inside the answer's own
+row do it; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -22,55 +21,38 @@ ANSWER_ITEM = (
 )
 
 
-def _per_position(ids: Column, found_ids: Column, found_values: Column) -> Column:
-    """Look every requested id up in two parallel arrays; first match wins."""
-
-    def entry(item_id: Column, pos: Column) -> Column:
-        at = F.array_position(found_ids, item_id).cast("int")
-        value = F.when(at > 0, F.try_element_at(found_values, at))
-        return F.struct(
-            pos.cast("bigint").alias("pos"),
-            item_id.alias("id"),
-            F.coalesce(value, F.lit(MISSING_ID)).alias("result"),
-        )
-
-    return F.transform(ids, entry)
-
-
-def slices_by_item(ids: Column, output: Column) -> Column:
-    """Strict mode: values of well-formed items, matched on the whole id."""
-    found = F.transform(
+def item_ids(output: Column) -> Column:
+    """Strict mode: ids of the well-formed items, in answer order."""
+    return F.transform(
         F.regexp_extract_all(output, F.lit(ANSWER_ITEM), F.lit(1)),
         lambda text: text.try_cast("bigint"),
     )
-    values = F.regexp_extract_all(output, F.lit(ANSWER_ITEM), F.lit(2))
-    return _per_position(ids, found, values)
 
 
-def slices_by_position(ids: Column, output: Column) -> Column:
-    """Compatible mode: from each id's first occurrence to the next id's.
+def item_values(output: Column) -> Column:
+    """Strict mode: the values beside ``item_ids``."""
+    return F.regexp_extract_all(output, F.lit(ANSWER_ITEM), F.lit(2))
+
+
+def id_marks(ids: Column, output: Column) -> Column:
+    """Compatible mode: (at, id) of each id's first occurrence, in text order.
 
     An id is searched as plain text, so one inside another number or inside a
-    justification counts; of two ids at one place the smaller comes first and
-    gets an empty slice.
+    justification counts; of two ids at one place the smaller comes first.
     """
-    marks = F.array_sort(
-        F.filter(
-            F.transform(
-                F.array_distinct(ids),
-                lambda i: F.struct(
-                    F.instr(output, i.cast("string")).alias("at"),
-                    i.alias("id"),
-                ),
-            ),
-            lambda mark: mark["at"] > 0,
-        )
+    places = F.transform(
+        F.array_distinct(ids),
+        lambda i: F.struct(F.instr(output, i.cast("string")).alias("at"), i.alias("id")),
     )
+    return F.array_sort(F.filter(places, lambda mark: mark["at"] > 0))
+
+
+def slices(marks: Column, output: Column) -> Column:
+    """Compatible mode: text from each mark to the next, stripped."""
     ends = F.concat(
-        F.slice(F.transform(marks, lambda m: m["at"]), F.lit(2), F.greatest(F.size(marks), F.lit(1))),
+        F.slice(marks["at"], F.lit(2), F.greatest(F.size(marks), F.lit(1))),
         F.array(F.char_length(output) + 1),
     )
-    values = F.zip_with(
+    return F.zip_with(
         marks, ends, lambda mark, end: strip(F.substring(output, mark["at"], end - mark["at"]))
     )
-    return _per_position(ids, F.transform(marks, lambda m: m["id"]), values)

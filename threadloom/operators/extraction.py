@@ -4,30 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from threadloom.functions.answers import slices_by_item, slices_by_position
+from threadloom.functions.answers import MISSING_ID, id_marks, item_ids, item_values, slices
 
-MODES = {"strict": slices_by_item, "compat": slices_by_position}
+
+def _found_strict(responses: DataFrame) -> DataFrame:
+    output = F.col("output")
+    return responses.withColumns(
+        {
+            "_ids": item_ids(output),
+            "_values": item_values(output),
+            "_answered": output.isNotNull(),
+        }
+    )
+
+
+def _found_compat(responses: DataFrame) -> DataFrame:
+    output, marks = F.col("output"), F.col("_marks")
+    return responses.withColumn("_marks", id_marks(F.col("ids"), output)).withColumns(
+        {
+            "_ids": marks["id"],
+            "_values": slices(marks, output),
+            "_answered": output.isNotNull(),
+        }
+    )
+
+
+MODES = {"strict": _found_strict, "compat": _found_compat}
 
 
 def extract(responses: DataFrame, mode: str = "strict") -> DataFrame:
     """(batch_id, pos, id, result, error), one row per requested position.
 
-    A result is the answer's value, or the missing-id marker where the answer
-    lacks the id, or null where the whole batch failed.
+    A result is the answer's value (of repeated ids the first), or the
+    missing-id marker where the answer lacks the id, or null where the whole
+    batch failed. Answers are searched once each, below the explode, which
+    keeps the search from being repeated for every id.
     """
-    failed = F.transform(
-        "ids",
-        lambda item_id, pos: F.struct(
-            pos.cast("bigint").alias("pos"),
-            item_id.alias("id"),
-            F.lit(None).cast("string").alias("result"),
-        ),
-    )
-    cut = F.when(F.col("output").isNull(), failed).otherwise(
-        MODES[mode](F.col("ids"), F.col("output"))
-    )
-    return responses.select("batch_id", F.explode(cut).alias("_cut"), "error").select(
-        "batch_id", "_cut.*", "error"
+    at = F.array_position("_ids", F.col("id")).cast("int")
+    found = F.when(at > 0, F.try_element_at("_values", at))
+    return (
+        MODES[mode](responses)
+        .select(
+            "batch_id",
+            F.posexplode("ids").alias("pos", "id"),
+            "_ids",
+            "_values",
+            "_answered",
+            "error",
+        )
+        .select(
+            "batch_id",
+            F.col("pos").cast("bigint").alias("pos"),
+            "id",
+            F.when(F.col("_answered"), F.coalesce(found, F.lit(MISSING_ID))).alias("result"),
+            "error",
+        )
     )
 
 

@@ -26,6 +26,16 @@ def number_rows(
     change between the two uses below. Only the row counts, one per partition,
     are then summed up and broadcast.
     """
+    return number_stored(df, order_by, name, partitions)[0]
+
+
+def number_stored(
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    name: str = "rn",
+    partitions: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(numbered rows, the stored table they are read from)."""
     ranged = (
         df.repartitionByRange(*order_by)
         if partitions is None
@@ -45,9 +55,10 @@ def number_rows(
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return (
+    numbered = (
         stored.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + position)
         .drop("_part", "_place", "_offset")
     )
+    return numbered, stored

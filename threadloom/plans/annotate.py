@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from threadloom.operators import batching
 from threadloom.operators.annotation import ModelFactory, call_model
 from threadloom.operators.extraction import attach, extract
-from threadloom.operators.numbering import number_rows
+from threadloom.operators.numbering import number_stored
 from threadloom.templates import (
     ARGUMENT_SYSTEM,
     ARGUMENT_USER,
@@ -40,32 +40,42 @@ def _annotate(
     model: ModelFactory,
     result: str,
     mode: str,
-    null_text: str | None,
     texts: Sequence[str],
-    item_id: str,
+    null_text: str | None,
+    carry_rest: bool,
     run_id: str | None,
     responses_path: str | None,
     requests_per_task: int,
     parallelism: int | None,
 ) -> DataFrame:
-    sendable = F.col(item_id).isNotNull()
+    if df.schema["external_id"].dataType != T.LongType():
+        raise TypeError("external_id must be BIGINT; see batching.split_ids")
+    sendable = F.col("external_id").isNotNull()
     if null_text is None:
         for text in texts:
             sendable &= F.col(text).isNotNull()
     chosen = F.coalesce(wanted & sendable, F.lit(False))
-    numbered = number_rows(df.where(chosen), order_by)
-    # The count comes from Parquet footers; it only sizes the model stage.
-    tasks = task_count(numbered.count(), size, requests_per_task)
+    if carry_rest:
+        # Few rows stay behind: they are stored after the others, and ``df``,
+        # which may hold a wide join, is computed once.
+        flagged = df.withColumn("_sent", chosen)
+        every, stored = number_stored(flagged, [F.desc("_sent"), *order_by])
+        numbered = every.where("_sent").drop("_sent")
+        rest = stored.where(~F.col("_sent")).select(df.columns)
+    else:
+        # Many rows may be done already: they are only filtered, not moved.
+        numbered, stored = number_stored(df.where(chosen), order_by)
+        rest = df.where(~chosen)
+    n_rows = stored.count()  # from Parquet footers
     requests = requests_of(
         batching.with_batch(numbered, size),
         user_template=user_template,
-        tasks=max(tasks, parallelism or 1),
-        item_id=item_id,
+        tasks=max(task_count(n_rows, size, requests_per_task), parallelism or 1),
         null_text=null_text,
     )
     responses = call_model(requests, model, system_prompt, run_id, responses_path)
     done = attach(numbered, extract(responses, mode), size, result).drop("rn")
-    return done.unionByName(df.where(~chosen))
+    return done.unionByName(rest)
 
 
 def argument_mine(
@@ -101,9 +111,9 @@ def argument_mine(
         model,
         "AM_output",
         mode,
-        null_text,
         ["content"],
-        "external_id",
+        null_text,
+        False,
         run_id,
         responses_path,
         requests_per_task,
@@ -146,9 +156,9 @@ def stance_detect(
         model,
         "SD_output",
         mode,
-        null_text,
         ["content", "PARENT_content"],
-        "external_id",
+        null_text,
+        not only_missing,
         run_id,
         responses_path,
         requests_per_task,
