@@ -38,7 +38,7 @@ def test_replies_authors_and_outcomes(landed):
         (1, 1, "3"), (2, 1, "0"), (3, 0, "thread not landed"), (4, 0, "timed out"),
     ]
     assert sorted((r.id, r.PARENT_ID) for r in out.replies.collect()) == [
-        ("11", "u1"), ("12", "u1"), ("13", "u1"),
+        (11, "u1"), (12, "u1"), (13, "u1"),
     ]
     assert sorted(r.username for r in out.authors.collect()) == ["a", "a", "b"]
 

@@ -32,7 +32,7 @@ def test_collect_combine_and_logs(spark, folder):
     assert spark.read.parquet(folder("merged")).count() == 2
 
     replies = spark.read.parquet(folder("out/replies"))
-    assert sorted(r.id for r in replies.collect()) == ["11", "12"]
+    assert sorted(r.id for r in replies.collect()) == [11, 12]
     append_rows(replies, folder("parts/a"), "csv")
     append_rows(replies, folder("parts/b"), "csv")
     main(["combine", f"--files={folder('parts/*')}", "--kind=replies", f"--out={folder('all')}", "--format=csv"])
@@ -56,3 +56,26 @@ def test_authors(spark, folder):
     append_rows(spark.createDataFrame([{"username": "a"}], schemas.AUTHOR_ROW), folder("profiles"))
     main(["authors", f"--usernames={folder('names')}", f"--profiles={folder('profiles')}", f"--out={folder('o')}"])
     assert [r.username for r in spark.read.parquet(folder("o/missing")).collect()] == ["b"]
+
+
+def test_collect_to_stances(spark, folder):
+    """The halves fit together: replies and posts -> prepared input -> results."""
+    replies = spark.createDataFrame(
+        [{"id": 2, "in_reply_to_id": 1, "url": "r2", "content": "a"},
+         {"id": 3, "in_reply_to_id": 2, "url": "r3", "content": "b"},
+         {"id": 9, "in_reply_to_id": 8, "url": "r9", "content": "c"}],
+        schemas.REPLY_ROW,
+    )
+    posts = spark.createDataFrame(
+        [{"row": 0, "url": "p1", "external_id": 1, "content": "P"}], schemas.POST
+    )
+    append_rows(replies, folder("replies"))
+    append_rows(posts, folder("posts"))
+    main(["prepare", f"--input={folder('replies')}", f"--posts={folder('posts')}", f"--out={folder('in')}"])
+    rows = spark.read.parquet(folder("in")).orderBy("external_id").collect()
+    assert [(r.external_id, r.reply_depth, r.PARENT_URL, r.PARENT_content) for r in rows] == [
+        (2, 1, "p1", "P"), (3, 2, "r2", "a"), (9, 0, None, None),
+    ]
+    main(["stances", f"--input={folder('in')}", f"--out={folder('out')}", "--model=test_annotation:echo"])
+    got = spark.read.parquet(folder("out")).collect()
+    assert sorted(map(tuple, got)) == [(2, "of 2"), (3, "of 2"), (9, None)]

@@ -96,3 +96,9 @@ def test_results_by_run(spark, tmp_path):
 def test_nested_columns_become_json(spark):
     df = spark.sql("SELECT array(1, 2) AS a, named_struct('x', 'é\"') AS s, 3 AS n")
     assert tuple(nested_as_json(df).first()) == ("[1,2]", '{"x":"é\\""}', 3)
+
+
+def test_empty_files_give_no_rows(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("")
+    got = readers.read_csv(spark, f"{tmp_path}/*.csv", PAIR)
+    assert got.columns == PAIR.names and got.count() == 0

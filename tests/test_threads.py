@@ -74,7 +74,7 @@ def test_pages_keep_known_keys_and_null_the_rest(spark):
     reply = threads.reply_rows(rows).collect()
     assert len(reply) == 1
     assert list(reply[0].asDict()) == schemas.REPLY_FIELDS
-    assert reply[0].id == "113456789012345679" and reply[0].PARENT_ID == "url"
+    assert reply[0].id == 113456789012345679 and reply[0].PARENT_ID == "url"
     assert reply[0].url is None and reply[0].mentions[0].id == "9"
     author = threads.author_rows(rows).collect()[0].asDict()
     assert list(author) == schemas.AUTHOR_FIELDS
@@ -144,3 +144,10 @@ def test_authors(spark):
     profiles = spark.createDataFrame([("a", "x")], "username STRING, note STRING")
     assert threads.author_lookup(names, profiles).count() == 2
     assert [r.username for r in threads.missing_authors(names, profiles).collect()] == ["b"]
+
+
+def test_lookup_of_one_user(spark):
+    profiles = spark.createDataFrame([("a", "x"), ("b", "y")], "username STRING, note STRING")
+    assert [r.note for r in threads.lookup(profiles, "b").collect()] == ["y"]
+    with pytest.raises(ValueError):
+        threads.lookup(profiles, None)

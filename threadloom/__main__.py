@@ -4,6 +4,7 @@
     combine   --files GLOB --kind replies|authors --out O
     logs      --files GLOB --out O
     authors   --usernames U --profiles P --out O
+    prepare   --input REPLIES --posts P --out O
     arguments --input I --out O --model module:factory
     stances   --input I --out O --model module:factory
 
@@ -51,7 +52,8 @@ def run_collect(spark: SparkSession, args) -> None:
 
 
 def run_combine(spark: SparkSession, args) -> None:
-    schema = {"replies": schemas.REPLY_ROW, "authors": schemas.AUTHOR_ROW}[args.kind]
+    replies = schemas.REPLY_TEXT_ROW if args.format == "csv" else schemas.REPLY_ROW
+    schema = {"replies": replies, "authors": schemas.AUTHOR_ROW}[args.kind]
     out = collect.combine_threads(spark, args.files, schema, args.format)
     out.per_file.show(truncate=False)
     out.duplicates.show()
@@ -72,6 +74,15 @@ def run_authors(spark: SparkSession, args) -> None:
     append_rows(missed, f"{args.out}/missing", args.format)
 
 
+def run_prepare(spark: SparkSession, args) -> None:
+    replies = schemas.REPLY_TEXT_ROW if args.format == "csv" else schemas.REPLY_ROW
+    frame = annotate.prepare_stances(
+        read_table(spark, args.input, replies, args.format),
+        read_table(spark, args.posts, schemas.POST, args.format),
+    )
+    replace_snapshot(frame, args.out, args.format)
+
+
 def _model(name: str):
     module, _, factory = name.partition(":")
     return getattr(importlib.import_module(module), factory)
@@ -92,6 +103,7 @@ JOBS = {
     "combine": (run_combine, ["files", "kind", "out"]),
     "logs": (run_logs, ["files", "out"]),
     "authors": (run_authors, ["usernames", "profiles", "out"]),
+    "prepare": (run_prepare, ["input", "posts", "out"]),
     "arguments": (run_annotation, ["input", "out", "model"]),
     "stances": (run_annotation, ["input", "out", "model"]),
 }

@@ -151,12 +151,11 @@ ORACLES: dict[str, str] = {
     "flatten_authors": f"""WITH {REPLIES}
       SELECT username, root_id // 1000 AS followers_count, reply_depth AS following_count,
              CAST({EPOCH} AS BIGINT) AS created_at, 'https://social.example/@' || username AS url,
-             CAST(id AS VARCHAR) AS id, '<p>I am "' || username || '"</p>' AS note,
+             id, '<p>I am "' || username || '"</p>' AS note,
              username = 'system' AS bot, username = 'assistant' AS verified
       FROM replies WHERE id <> root_id""",
     "nested_to_json": f"""WITH {REPLIES}
-      SELECT CAST(id AS VARCHAR) AS id,
-             '[{{"id":"' || CAST(in_reply_to_id AS VARCHAR) || '","username":"parent"}}]' AS mentions,
+      SELECT id, '[{{"id":"' || CAST(in_reply_to_id AS VARCHAR) || '","username":"parent"}}]' AS mentions,
              CAST(NULL AS VARCHAR) AS tags, CAST(NULL AS VARCHAR) AS card,
              {_url('root_id')} AS PARENT_ID
       FROM replies WHERE id <> root_id""",
@@ -168,6 +167,10 @@ ORACLES: dict[str, str] = {
     "renamed_replies": f"""WITH {REPLIES}
       SELECT id AS external_id, reply_depth AS reply_count, length(content) AS like_count
       FROM replies WHERE id <> root_id""",
+    "prepare_stances": f"""WITH {REPLIES}
+      SELECT r.id AS external_id, r.content, r.reply_depth, p.url AS PARENT_URL,
+             p.content AS PARENT_content
+      FROM replies r LEFT JOIN replies p ON r.in_reply_to_id = p.id WHERE r.id <> r.root_id""",
     "prompt_lines": f"SELECT doc_id, {_line('doc_id', 'text')} AS line FROM documents",
     "prompt_template": f"""SELECT doc_id, {_filled(ARGUMENT_USER, _quoted('text'))} AS prompt
       FROM documents""",
@@ -249,7 +252,7 @@ ORACLES: dict[str, str] = {
              coalesce(CAST(n AS VARCHAR), 'thread not landed') AS output
       FROM pending p LEFT JOIN counts c ON p.root_id = c.root_id""",
     "collected_replies": f"""WITH {OUTCOMES}
-      SELECT CAST(r.id AS VARCHAR) AS id, p.url AS PARENT_ID, r.content
+      SELECT r.id, p.url AS PARENT_ID, r.content
       FROM pending p JOIN replies r ON r.root_id = p.root_id AND r.id <> r.root_id""",
     "sd_order": f"""WITH {STANCES}
       SELECT external_id, reply_depth, parent_url AS PARENT_URL, rn FROM batches""",

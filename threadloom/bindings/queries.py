@@ -15,6 +15,7 @@ from threadloom.functions.text import (
     item_line,
     prompt_text,
     stance_label,
+    system_prompt,
     url_tail,
 )
 from threadloom.operators import batching, combine, progress, threads
@@ -23,7 +24,8 @@ from threadloom.operators.extraction import extract
 from threadloom.operators.numbering import number_rows
 from threadloom.plans import collect
 from threadloom.plans.annotate import argument_mine, stance_detect
-from threadloom.session import scratch_path
+from threadloom.plans.annotate import prepare_stances as prepare
+from threadloom.session import scratch_path, store
 from threadloom.sources.readers import read_csv, read_table
 from threadloom.sources.writers import append_results, append_rows, result_projection
 from threadloom.streaming import jobs
@@ -92,8 +94,8 @@ def annotation_file(spark, d):
 def flatten_replies(spark, d):
     rows = threads.reply_rows(tables.reply_objects(spark, d))
     return rows.select(
-        F.col("id").cast("bigint").alias("id"),
-        F.col("in_reply_to_id").cast("bigint").alias("in_reply_to_id"),
+        "id",
+        "in_reply_to_id",
         F.unix_seconds("created_at").alias("created_at"),
         F.unix_seconds("edited_at").alias("edited_at"),
         "url",
@@ -153,8 +155,20 @@ def id_cast(spark, d):
 @query
 def renamed_replies(spark, d):
     rows = threads.reply_rows(tables.reply_objects(spark, d))
-    return threads.rename_for_annotation(rows).select(
-        F.col("external_id").cast("bigint").alias("external_id"), "reply_count", "like_count"
+    return threads.rename_for_annotation(rows).select("external_id", "reply_count", "like_count")
+
+
+@query
+def prepare_stances(spark, d):
+    """Collected replies and the opening posts -> depth and parent of each reply."""
+    opening = tables.thread_posts(spark, d).withColumnRenamed("id", "external_id")
+    landed = store(threads.reply_rows(tables.reply_objects(spark, d)), "landed")
+    return prepare(landed, opening).select(
+        "external_id",
+        "content",
+        F.col("reply_depth").cast("bigint").alias("reply_depth"),
+        "PARENT_URL",
+        "PARENT_content",
     )
 
 
@@ -174,16 +188,14 @@ def prompt_template(spark, d):
 
 @query
 def strategy_join(spark, d):
-    strategies = spark.createDataFrame(list(STRATEGIES.items()), "strategy STRING, rules STRING")
     lang = F.col("lang")
     docs = tables.table(spark, d, "documents").select(
         "doc_id",
         F.when(lang == "en", "AM_Shots").when(lang == "de", "AM_CoT")
         .when(lang == "fr", "AM_Shots_CoT").otherwise("SD_Shots_CoT").alias("strategy"),
     )
-    return docs.join(strategies, "strategy").select(
-        "doc_id", "strategy", fill(ARGUMENT_SYSTEM, F.col("rules")).alias("system_prompt")
-    )
+    prompt = system_prompt(F.col("strategy"), ARGUMENT_SYSTEM)
+    return docs.select("doc_id", "strategy", prompt.alias("system_prompt"))
 
 
 # --- filters, progress, logs -----------------------------------------------

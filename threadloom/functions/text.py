@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, functions as F
 
+from threadloom.templates import STRATEGIES
+
 # Characters str.strip() removes. Java's Unicode \s covers them
 # except the four separators U+001C to U+001F.
 _BLANK = r"[\s\x{1c}-\x{1f}]"
@@ -45,6 +49,14 @@ def fill(template: str, body: Column) -> Column:
     return F.concat(F.lit(head), body, F.lit(tail))
 
 
+def system_prompt(
+    strategy: Column, template: str, strategies: Mapping[str, str] = STRATEGIES
+) -> Column:
+    """System prompt per row, its strategy looked up by name; null when unknown."""
+    pairs = [F.lit(part) for item in strategies.items() for part in item]
+    return fill(template, F.try_element_at(F.create_map(*pairs), strategy))
+
+
 def argument_label(answer: Column) -> Column:
     """argumentative / not_argumentative from free text, null when neither.
 

@@ -34,19 +34,21 @@ def unnest_page(pages: DataFrame, page: str = "page") -> DataFrame:
     return pages.select(*others, F.explode(page).alias("_reply")).select(*others, "_reply.*")
 
 
-def project_fields(df: DataFrame, fields: T.StructType | Sequence[str]) -> DataFrame:
-    """Exactly ``fields``, in their order; absent ones are null columns."""
-    if isinstance(fields, T.StructType):
-        wanted = [(f.name, f.dataType) for f in fields.fields]
-    else:
-        wanted = [(name, T.StringType()) for name in fields]
-    present = set(df.columns)
-    return df.select(
-        *[
-            F.col(name) if name in present else F.lit(None).cast(dtype).alias(name)
-            for name, dtype in wanted
-        ]
-    )
+def project_fields(df: DataFrame, fields: T.StructType) -> DataFrame:
+    """Exactly ``fields``, in their order and types; absent ones are null.
+
+    Text that is not a value of the wanted type, such as a bad id, gives null.
+    """
+    present = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(field: T.StructField) -> Column:
+        if field.name not in present:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        if present[field.name] == field.dataType:
+            return F.col(field.name)
+        return F.col(field.name).try_cast(field.dataType).alias(field.name)
+
+    return df.select(*[column(field) for field in fields.fields])
 
 
 def add_parent_id(df: DataFrame, post_url: Column) -> DataFrame:
@@ -56,7 +58,7 @@ def add_parent_id(df: DataFrame, post_url: Column) -> DataFrame:
 
 def reply_rows(objects: DataFrame, post_url: str = "post_url") -> DataFrame:
     """Reply objects -> flat reply rows with PARENT_ID."""
-    return project_fields(add_parent_id(objects, F.col(post_url)), schemas.REPLY_FIELDS)
+    return project_fields(add_parent_id(objects, F.col(post_url)), schemas.REPLY_ROW)
 
 
 def author_rows(objects: DataFrame) -> DataFrame:
@@ -242,6 +244,13 @@ def distinct_authors(usernames: DataFrame, name: str = "username") -> DataFrame:
     return usernames.select(name).where(F.col(name).isNotNull()).distinct()
 
 
+def lookup(profiles: DataFrame, user_handle: str, name: str = "username") -> DataFrame:
+    """The profile of one user."""
+    if user_handle is None:
+        raise ValueError("a user handle is needed")
+    return profiles.where(F.col(name) == user_handle)
+
+
 def author_lookup(usernames: DataFrame, profiles: DataFrame, name: str = "username") -> DataFrame:
     """Profile of every distinct username; unknown ones keep null fields."""
     return distinct_authors(usernames, name).join(profiles, name, "left")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from threadloom.operators import batching
+from threadloom.operators import batching, threads
 from threadloom.operators.annotation import ModelFactory, call_model
 from threadloom.operators.extraction import attach, extract
 from threadloom.operators.numbering import number_stored
@@ -29,6 +29,29 @@ def task_count(n_rows: int, batch_size: int, requests_per_task: int = REQUESTS_P
     return min(MAX_TASKS, max(1, math.ceil(requests / requests_per_task)))
 
 
+def prepare_stances(replies: DataFrame, posts: DataFrame | None = None) -> DataFrame:
+    """Collected reply rows -> input of ``stance_detect``.
+
+    Adds depth and the direct parent's URL and text and renames the columns.
+    ``posts`` (external_id, url, content) are the threads' opening posts, when
+    they are not among the replies; they serve as parents only.
+    """
+    columns = ["id", "in_reply_to_id", "url", "content"]
+    nodes = replies.select(*columns, F.lit(True).alias("_reply"))
+    if posts is not None:
+        openings = posts.select(
+            F.col("external_id").alias("id"),
+            F.lit(None).cast("bigint").alias("in_reply_to_id"),
+            "url",
+            "content",
+            F.lit(False).alias("_reply"),
+        )
+        nodes = nodes.unionByName(openings)
+    depths = threads.thread_depth(nodes).select("id", F.col("reply_depth").cast("int"))
+    linked = threads.link_parents(nodes).where("_reply").drop("_reply")
+    return threads.rename_for_annotation(linked.join(depths, "id", "left"))
+
+
 def _annotate(
     df: DataFrame,
     wanted: Column,

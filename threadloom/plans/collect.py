@@ -54,22 +54,23 @@ def compile_thread(
 ) -> Collected:
     """Collect the threads of all pending posts, or of those in shard ``seed``.
 
-    ``posts`` has unique ``row`` and ``url``; ``landed`` has one row per fetched
-    post, (post_url, error). A post not landed, or landed with an error, gives
-    a failed outcome and no replies; a landed one gives its reply count.
+    ``landed`` has one row per fetched post, (post_url, error). A post not
+    landed, or landed with an error, gives a failed outcome and no replies; a
+    landed one gives its reply count. A ``row`` is tried once per run.
     """
     if seed is not None:
         posts = progress.shard_rows(posts, seed, shards=shards)
     pending = progress.pending_posts(progress.min_replies(posts, at_least), log, retry_failed)
     tried = (
-        pending.select("row", F.col("url").alias("post_url"))
+        combine.keep_first(pending.select("row", F.col("url").alias("post_url")), "row", ["post_url"])
         .join(landed.select("post_url", "error", F.lit(True).alias("_landed")), "post_url", "left")
         .withColumn(
             "error", F.when(F.col("_landed").isNull(), "thread not landed").otherwise(F.col("error"))
         )
         .drop("_landed")
     )
-    replies, authors, counts = get_comments(tried.where(F.col("error").isNull()), pages)
+    good = tried.where(F.col("error").isNull()).select("post_url").distinct()
+    replies, authors, counts = get_comments(good, pages)
     outcomes = tried.join(counts, "post_url", "left").select(
         "row",
         F.when(F.col("error").isNull(), 1).otherwise(0).alias("scraped"),
@@ -105,7 +106,8 @@ def combine_threads(
 ) -> Combined:
     """Union all files by name and keep the first row per URL.
 
-    Works for reply files and, with ``schemas.AUTHOR_ROW``, for author files.
+    Works for reply files and, with ``schemas.AUTHOR_ROW``, for author files;
+    CSV files of replies have ``schemas.REPLY_TEXT_ROW``.
     Write the result outside ``paths``, or the next run reads it as input.
     """
     return combine_frame(read_files(spark, paths, schema, fmt), key)

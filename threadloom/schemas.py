@@ -15,18 +15,6 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
 
 
-# Column lists of the collected files.
-REPLY_FIELDS = [
-    "created_at", "edited_at", "language", "id", "in_reply_to_id",
-    "in_reply_to_account_id", "url", "replies_count", "favourites_count",
-    "content", "sensitive", "quote_id", "mentions", "tags", "emojis", "card",
-    "media_attachments", "PARENT_ID",
-]
-AUTHOR_FIELDS = [
-    "username", "followers_count", "following_count", "created_at", "url",
-    "id", "note", "bot", "verified",
-]
-
 POST = _struct(row=L, url=S, external_id=L, reply_count=L, like_count=L, content=S)
 
 ACCOUNT = _struct(
@@ -51,18 +39,31 @@ REPLY_OBJECT = _struct(
 )
 REPLY_PAGE = T.ArrayType(REPLY_OBJECT)
 
-# Flat rows as they come back from CSV: nested values are JSON text.
+# Names and order of the collected columns.
+# Flat reply rows: with nested columns in Parquet, ORC and JSON ...
 REPLY_ROW = _struct(
     created_at=TS, edited_at=TS, language=S, id=L, in_reply_to_id=L,
     in_reply_to_account_id=L, url=S, replies_count=L, favourites_count=L,
-    content=S, sensitive=B, quote_id=L, mentions=S, tags=S, emojis=S, card=S,
-    media_attachments=S, PARENT_ID=S,
+    content=S, sensitive=B, quote_id=L, mentions=T.ArrayType(MENTION),
+    tags=T.ArrayType(TAG), emojis=T.ArrayType(EMOJI), card=CARD,
+    media_attachments=T.ArrayType(MEDIA), PARENT_ID=S,
+)
+# ... and with nested values as JSON text in CSV.
+REPLY_TEXT_ROW = T.StructType(
+    [
+        T.StructField(f.name, S if isinstance(f.dataType, (T.ArrayType, T.StructType)) else f.dataType)
+        for f in REPLY_ROW
+    ]
 )
 AUTHOR_ROW = _struct(
     username=S, followers_count=L, following_count=L, created_at=TS, url=S,
     id=L, note=S, bot=B, verified=B,
 )
 
+# Column lists of the collected files.
+REPLY_FIELDS = REPLY_ROW.names
+AUTHOR_FIELDS = AUTHOR_ROW.names
+
 # scraped: null = not tried, 0 = failed, 1 = done.
 PROGRESS_LOG = _struct(row=L, scraped=I, output=S)
 OUTCOME = _struct(row=L, scraped=I, n_replies=L, error=S)

@@ -73,10 +73,11 @@ def read_csv(
         )
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for file, header in zip(files, headers):
-        by_header[header].append(file)
+        if header:  # an empty file has none
+            by_header[header].append(file)
     types = {f.name: f.dataType for f in schema.fields}
     target = T.StructType(schema.fields + (_PLACES if file_order else []))
-    frames = []
+    frames = [spark.createDataFrame([], target)] if not by_header else []
     for header, members in by_header.items():
         in_file = T.StructType(
             [T.StructField(name, types.get(name, T.StringType())) for name in header]
