@@ -21,11 +21,6 @@ def shard_rows(df: DataFrame, seed: int, key: str = "row", shards: int = SHARDS)
     return df.where(shard_of(F.col(key), shards) == seed)
 
 
-def spread_by_shard(df: DataFrame, key: str = "row", shards: int = SHARDS) -> DataFrame:
-    """All shards at once, one partition group per shard."""
-    return with_shard(df, key, shards).repartition(shards, "shard")
-
-
 def seeded_order(df: DataFrame, key: str = "row", seed: int = SEED) -> DataFrame:
     """Repeatable shuffle: ``position`` 0, 1, 2, ... in seeded hash order."""
     ordered = df.withColumn("_shuffle", shuffle_key(F.col(key), seed))

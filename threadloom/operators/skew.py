@@ -6,29 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is heavy when it holds more than this share of all rows, so there are
-# at most 1 / HEAVY_SHARE of them and the list is safe to broadcast.
-HEAVY_SHARE = 1 / 500
-# ... and more rows than one task takes without trouble.
+# Rows of one key that one task takes without trouble.
 HEAVY_ROWS = 500_000
-# Tasks a heavy key is spread over.
-FAN_OUT = 64
+# A heavy key also holds more than this share of all rows, so there are at most
+# 1 / HEAVY_SHARE of them and the list is safe to broadcast at any scale.
+HEAVY_SHARE = 1 / 100_000
+# Null keys match nothing; they are only kept from piling up in one task.
+_NULL_FAN = 1 << 16
 
 
 def heavy_keys(
-    df: DataFrame, key: str, share: float = HEAVY_SHARE, rows: int = HEAVY_ROWS
+    df: DataFrame, key: str, rows: int = HEAVY_ROWS, share: float = HEAVY_SHARE
 ) -> DataFrame:
-    """Keys that would overload one task; counted with map-side partial sums.
+    """(key, _fan): keys that would overload a task, and the tasks each needs.
 
-    At most 1 / share rows come back, whatever the size of ``df``.
+    Counted with map-side partial sums over the key column alone. At most
+    1 / share rows come back, whatever the size of ``df``.
     """
     total = df.agg(F.count(F.lit(1))).scalar()
+    counted = F.count(F.lit(1))
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        .agg(counted.alias("_rows"))
         .where(F.col("_rows") > F.greatest(F.lit(float(rows)), total * F.lit(share)))
-        .select(key)
+        .select(key, F.ceil(F.col("_rows") / rows).cast("int").alias("_fan"))
     )
 
 
@@ -38,40 +40,45 @@ def lookup_join(
     key: str,
     spread_by: Sequence[str],
     how: str = "left",
-    share: float = HEAVY_SHARE,
     rows: int = HEAVY_ROWS,
-    fan_out: int = FAN_OUT,
+    share: float = HEAVY_SHARE,
     n_facts: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, whose ``key`` is unique, without hot tasks.
 
-    Rows of a heavy key are dealt to ``fan_out`` salts by a hash of
-    ``spread_by``, and only that key's single lookup row is copied to every
-    salt. Null keys match nothing and are dealt out as well. The result is that
-    of the plain equi-join on ``key``; a small lookup is still broadcast when
-    Spark measures it below its threshold. ``n_facts``, when known, spares the
-    search for heavy keys where there are too few rows for one.
+    Rows of a heavy key are dealt to as many salts as it fills tasks, by a hash
+    of ``spread_by``, and only that key's single lookup row is copied to every
+    salt: all copies together are at most count(facts) / rows. The result is
+    that of the plain equi-join on ``key``; a small lookup is still broadcast
+    when Spark measures it below its threshold. ``n_facts``, when known, spares
+    the search for heavy keys where there are too few rows for one.
     """
     if how not in ("left", "inner"):
         raise ValueError("lookup_join does left and inner joins")
     if n_facts is not None and n_facts <= rows:
         return facts.join(lookup, key, how)
-    heavy = F.broadcast(heavy_keys(facts, key, share, rows).withColumn("_heavy", F.lit(True)))
-    dealt = F.pmod(F.xxhash64(*spread_by), F.lit(fan_out)).cast("int")
+    heavy = F.broadcast(heavy_keys(facts, key, rows, share))
+    spread = F.xxhash64(*spread_by)
     salted = (
         facts.join(heavy, key, "left")
-        .withColumn("_salt", F.when(F.col("_heavy") | F.col(key).isNull(), dealt).otherwise(0))
-        .drop("_heavy")
+        .withColumn(
+            "_salt",
+            F.when(F.col("_fan").isNotNull(), F.pmod(spread, F.col("_fan")))
+            .when(F.col(key).isNull(), F.pmod(spread, F.lit(_NULL_FAN)))
+            .otherwise(0)
+            .cast("int"),
+        )
+        .drop("_fan")
     )
     copies = (
         lookup.join(heavy, key, "left")
         .withColumn(
             "_salt",
             F.explode(
-                F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(fan_out - 1)))
+                F.when(F.col("_fan").isNotNull(), F.sequence(F.lit(0), F.col("_fan") - 1))
                 .otherwise(F.array(F.lit(0)))
             ),
         )
-        .drop("_heavy")
+        .drop("_fan")
     )
     return salted.join(copies, [key, "_salt"], how).drop("_salt")

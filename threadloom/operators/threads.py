@@ -100,7 +100,7 @@ def oldest_n(
     n: int | None = 40,
     post: str = "root_id",
     order_by: Sequence[str] = ("created_at", "id"),
-    salts: int = 64,
+    salts: int = 1024,
 ) -> DataFrame:
     """The ``n`` oldest rows per post, all when ``n`` is None, none below 1.
 
