@@ -2,6 +2,7 @@
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,6 +176,61 @@ def test_answers_are_kept_by_run(spark, tmp_path):
         argument_mine(posts(spark, 1), model=echo, responses_path=path)
 
 
+def logged(folder, trouble):
+    """``echo`` that notes each call and first does ``trouble(prompt)``."""
+    folder = str(folder)
+
+    def factory():
+        answer = echo()
+
+        def call(prompt, system):
+            first = re.search(r"^\[id: (\d+), ", prompt, re.MULTILINE).group(1)
+            with open(os.path.join(folder, "calls"), "a") as log:
+                log.write(f"{first} ")
+            trouble(int(first))
+            return answer(prompt, system)
+
+        return call
+
+    return factory
+
+
+def calls(folder):
+    return sorted(map(int, (folder / "calls").read_text().split()))
+
+
+def test_repeated_run_sends_only_what_failed(spark, tmp_path):
+    def fail(first):
+        if first == 20:
+            raise ConnectionError("gone")
+
+    keep = {"run_id": "r", "responses_path": str(tmp_path / "answers")}
+    first = argument_mine(posts(spark, 61), model=logged(tmp_path, fail), **keep)
+    assert first.where("AM_output IS NULL").count() == 20
+    again = argument_mine(posts(spark, 61), model=logged(tmp_path, lambda first: None), **keep)
+    assert calls(tmp_path) == [0, 20, 20, 40, 60]
+    assert {r.external_id: r.AM_output for r in again.collect()} == {
+        i: "of 20" if i < 60 else "of 1" for i in range(61)
+    }
+
+
+def test_answers_of_finished_tasks_survive_a_failed_job(spark, tmp_path):
+    def crash(first):
+        if first == 40:
+            time.sleep(5)
+            os._exit(1)
+
+    keep = {"run_id": "r", "responses_path": str(tmp_path / "answers"), "requests_per_task": 1}
+    df = posts(spark, 100).where("external_id != 99")
+    with pytest.raises(Exception):
+        argument_mine(df, model=logged(tmp_path, crash), parallelism=97, **keep)
+    before = calls(tmp_path)
+    done = argument_mine(df, model=logged(tmp_path, lambda first: None), parallelism=97, **keep)
+    assert done.where("AM_output IS NULL").count() == 0
+    after = calls(tmp_path)
+    assert len(after) < len(before) + 5 and after.count(40) == 2
+
+
 def test_stance_order_depth_then_parent_nulls_last(spark):
     rows = [
         (1, "x", 2, "b", "B"), (2, "x", 1, "b", "B"), (3, "x", None, "a", "A"), (4, "x", 1, None, None),

@@ -205,7 +205,7 @@ ORACLES: dict[str, str] = {
       count(DISTINCT text) AS n_kept FROM documents""",
     "dedup_first": """SELECT doc_id AS "row", source AS file, text AS content FROM documents
       QUALIFY row_number() OVER (PARTITION BY text ORDER BY source, doc_id) = 1""",
-    "combine_threads": """SELECT file, count(*) AS n_rows, count_if(nth = 1) AS n_kept FROM (
+    "combine_threads": """SELECT file, count(*) AS n_rows, CAST(count_if(nth = 1) AS BIGINT) AS n_kept FROM (
         SELECT source AS file, row_number() OVER (PARTITION BY text ORDER BY source, doc_id) AS nth
         FROM documents) GROUP BY file""",
     "distinct_authors": "SELECT DISTINCT o_custkey AS username FROM orders",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from threadloom.session import runtime_conf, scratch_path
 
@@ -75,19 +75,32 @@ def call_model(
 
     Answers are written before anything reads them, so no later join, action or
     lost executor repeats paid calls. With ``path`` they are kept there under
-    ``run_id``, which must be new: batch ids are only unique within a run.
+    ``run_id``, which names one run over one input: repeating it after a crash
+    or failed calls sends only the batches that have no answer yet.
     """
     spark = requests.sparkSession
-    responses = model_responses(requests, factory, system_prompt)
     with runtime_conf(
         spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(PROMPTS_PER_ARROW_BATCH)
     ):
         if path is None:
             target = scratch_path(spark, "responses")
-            responses.write.parquet(target)
+            model_responses(requests, factory, system_prompt).write.parquet(target)
             return spark.read.schema(RESPONSE).parquet(target)
         if run_id is None:
             raise ValueError("answers kept at a path need a run_id")
         target = f"{path.rstrip('/')}/run_id={run_id}"
-        responses.write.parquet(target)
-        return spark.read.schema(RESPONSE).parquet(target)
+        spark.createDataFrame([], RESPONSE).write.mode("append").parquet(target)
+        answered = spark.read.schema(RESPONSE).parquet(target).where("output IS NOT NULL")
+        open_requests = requests.join(answered.select("batch_id"), "batch_id", "left_anti")
+        # A finished task's answers stay even if the job as a whole fails.
+        model_responses(open_requests, factory, system_prompt).write.mode("append").option(
+            "mapreduce.fileoutputcommitter.algorithm.version", "2"
+        ).parquet(target)
+    kept = F.max_by(F.struct("ids", "output", "error"), F.col("output").isNotNull())
+    return (
+        spark.read.schema(RESPONSE)
+        .parquet(target)
+        .groupBy("batch_id")
+        .agg(kept.alias("_kept"))
+        .select("batch_id", "_kept.*")
+    )

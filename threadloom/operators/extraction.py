@@ -62,17 +62,25 @@ def extract(responses: DataFrame, mode: str = "strict") -> DataFrame:
     )
 
 
-def attach(numbered: DataFrame, results: DataFrame, size: int, result: str) -> DataFrame:
-    """Put results beside the rows they were asked for, matched on ``rn``.
+def attach(
+    numbered: DataFrame,
+    results: DataFrame,
+    size: int,
+    result: str,
+    item_id: str = "external_id",
+) -> DataFrame:
+    """Put results beside the rows they were asked for, matched on ``rn`` and id.
 
     Position in the batch identifies the row, so repeated ids stay apart. Rows
     of a failed batch keep the value they had.
     """
     placed = results.select(
-        (F.col("batch_id") * size + F.col("pos")).alias("rn"), F.col("result").alias("_result")
+        (F.col("batch_id") * size + F.col("pos")).alias("rn"),
+        F.col("id").alias(item_id),
+        F.col("result").alias("_result"),
     )
     return (
-        numbered.join(placed, "rn", "left")
+        numbered.join(placed, ["rn", item_id], "left")
         .withColumn(result, F.coalesce("_result", result))
         .drop("_result")
     )
