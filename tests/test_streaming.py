@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadloom.bindings import stub, tables
-from threadloom.operators.threads import lookup_join
+from threadloom.operators import threads
+from threadloom.operators.skew import lookup_join
 from threadloom.plans.annotate import stance_detect
 from threadloom.streaming import jobs
 
@@ -100,3 +101,22 @@ def test_failed_rows_are_sent_again(spark, tmp_path, conversations):
     got = spark.read.parquet(out)
     assert got.where("SD_output IS NULL").count() == conversations.count()
     assert got.where("SD_output IS NOT NULL").count() == conversations.count()
+
+
+def test_collect_stream_equals_the_batch_job(spark, tmp_path, small):
+    landed, replies, authors, state = (str(tmp_path / n) for n in ("in", "r", "a", "state"))
+    pages = tables.reply_pages(spark, small)
+
+    def run():
+        stream = jobs.landed_stream(spark, landed, pages.schema, max_files_per_trigger=1)
+        jobs.collect_stream(stream, replies, authors, state).awaitTermination()
+
+    half = F.xxhash64("post_url") % 2 == 0
+    for part in (pages.where(half), pages.where(~half)):
+        part.repartition(2).write.mode("append").parquet(landed)
+        run()
+    whole = threads.reply_objects(pages)
+    for path, rows in ((replies, threads.reply_rows(whole)), (authors, threads.author_rows(whole))):
+        got = spark.read.parquet(path).drop("epoch")
+        assert got.columns == rows.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))

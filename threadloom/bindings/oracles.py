@@ -307,6 +307,11 @@ ORACLES: dict[str, str] = {
       SELECT external_id, coalesce(answer, '{MISSING_ID}') AS SD_output, label AS SD_label
       FROM answered""",
     "stream_replies": f"WITH {REPLIES} SELECT id, in_reply_to_id, content FROM replies",
+    "stream_collect": f"""WITH {REPLIES}
+      SELECT {_url('root_id')} AS PARENT_ID, 'reply' AS kind, content AS name
+      FROM replies WHERE id <> root_id
+      UNION ALL
+      SELECT NULL, 'author', username FROM replies WHERE id <> root_id""",
     "stream_annotate": f"""WITH {STANCE_VALUES}
       SELECT external_id, coalesce(answer, '{MISSING_ID}') AS SD_output FROM answered""",
 }

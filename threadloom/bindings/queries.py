@@ -22,6 +22,7 @@ from threadloom.operators import batching, combine, progress, threads
 from threadloom.operators.annotation import call_model
 from threadloom.operators.extraction import extract
 from threadloom.operators.numbering import number_rows
+from threadloom.operators.skew import lookup_join
 from threadloom.plans import collect
 from threadloom.plans.annotate import argument_mine, stance_detect
 from threadloom.plans.annotate import prepare_stances as prepare
@@ -583,6 +584,32 @@ def stream_replies(spark, d):
     return spark.read.schema(rows.schema).parquet(out).select("id", "in_reply_to_id", "content")
 
 
+@query
+def stream_collect(spark, d):
+    """Pages landed as files, flattened incrementally into replies and authors."""
+    landed = scratch_path(spark, "pages")
+    pages = tables.reply_pages(spark, d)
+    append_rows(pages, landed)
+    replies, authors = scratch_path(spark, "stream"), scratch_path(spark, "stream")
+    jobs.collect_stream(
+        jobs.landed_stream(spark, landed, pages.schema),
+        replies,
+        authors,
+        scratch_path(spark, "stream-checkpoint"),
+    ).awaitTermination()
+    return (
+        spark.read.parquet(replies)
+        .select("PARENT_ID", F.lit("reply").alias("kind"), F.col("content").alias("name"))
+        .unionByName(
+            spark.read.parquet(authors).select(
+                F.lit(None).cast("string").alias("PARENT_ID"),
+                F.lit("author").alias("kind"),
+                F.col("username").alias("name"),
+            )
+        )
+    )
+
+
 @query
 def stream_annotate(spark, d):
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
@@ -593,7 +620,7 @@ def stream_annotate(spark, d):
     )
 
     def annotate(batch: DataFrame) -> DataFrame:
-        linked = threads.lookup_join(batch, parents, "in_reply_to_id", ["external_id"])
+        linked = lookup_join(batch, parents, "in_reply_to_id", ["external_id"])
         return stance_detect(linked, model=stub.stance_model, null_text="nan")
 
     rows = _conversation_stream(spark, d).withColumnRenamed("id", "external_id")

@@ -34,6 +34,12 @@ def unnest_page(pages: DataFrame, page: str = "page") -> DataFrame:
     return pages.select(*others, F.explode(page).alias("_reply")).select(*others, "_reply.*")
 
 
+def reply_objects(pages: DataFrame, page: str = "page") -> DataFrame:
+    """One row per reply of pages held as JSON text or parsed."""
+    as_text = isinstance(pages.schema[page].dataType, T.StringType)
+    return explode_pages(pages, page) if as_text else unnest_page(pages, page)
+
+
 def project_fields(df: DataFrame, fields: T.StructType) -> DataFrame:
     """Exactly ``fields``, in their order and types; absent ones are null.
 

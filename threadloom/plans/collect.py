@@ -33,11 +33,7 @@ def get_comments(
     each of the three results reads other columns of it.
     """
     matched = lookup_join(pages, posts.select("post_url"), "post_url", ["page"], how="inner")
-    if isinstance(pages.schema["page"].dataType, T.StringType):
-        objects = threads.explode_pages(matched)
-    else:
-        objects = threads.unnest_page(matched)
-    objects = store(objects, "replies")
+    objects = store(threads.reply_objects(matched), "replies")
     counts = threads.reply_counts(posts.select("post_url"), objects, "post_url")
     return threads.reply_rows(objects), threads.author_rows(objects), counts
 

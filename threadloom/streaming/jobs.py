@@ -11,6 +11,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from threadloom.operators import threads
+from threadloom.session import store
+
 
 def landed_stream(
     spark: SparkSession,
@@ -58,6 +61,32 @@ def first_seen(
     )
 
 
+def collect_stream(
+    pages: DataFrame, replies_path: str, authors_path: str, checkpoint: str
+) -> StreamingQuery:
+    """Flatten landed pages as they arrive into reply rows and author rows.
+
+    ``pages`` has (post_url, page) as in ``get_comments``. Each micro-batch
+    owns one folder of both tables and replaces it when repeated. A page is
+    parsed once for the two outputs.
+    """
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        objects = store(threads.reply_objects(batch), "landed")
+        for rows, path in (
+            (threads.reply_rows(objects), replies_path),
+            (threads.author_rows(objects), authors_path),
+        ):
+            rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return (
+        pages.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def annotate_stream(
     rows: DataFrame,
     annotate: Callable[[DataFrame], DataFrame],
