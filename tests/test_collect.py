@@ -72,3 +72,22 @@ def test_authors_found_and_missed(spark):
     assert found.columns == schemas.AUTHOR_FIELDS
     assert [(r.username, r.bot, r.note) for r in found.collect()] == [("a", True, None)]
     assert [r.username for r in missed.collect()] == ["z"]
+
+
+def test_a_post_with_an_unreadable_page_fails_as_a_whole(spark, landed):
+    posts, log, pages, fetched = landed
+    broken = pages.unionByName(
+        spark.createDataFrame([("u1", "[{broken")], "post_url STRING, page STRING")
+    )
+    more = broken.unionByName(
+        spark.createDataFrame([("u2", '[{"id": "21"}]')], "post_url STRING, page STRING")
+    )
+    out = collect.compile_thread(posts, log, more, fetched)
+    assert outcomes(out)[:2] == [(1, 0, "page not readable"), (2, 1, "1")]
+    assert [r.id for r in out.replies.collect()] == [21]
+
+
+def test_a_row_is_tried_once(spark, landed):
+    posts, log, pages, fetched = landed
+    twice = posts.unionByName(spark.createDataFrame([(1, "u3", 1)], POSTS))
+    assert outcomes(collect.compile_thread(twice, log, pages, fetched))[0] == (1, 1, "3")

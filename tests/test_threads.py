@@ -70,7 +70,7 @@ def test_pages_keep_known_keys_and_null_the_rest(spark):
         ' "account": {"username": "u", "bot": false}, "surprise": 1, "mentions": [{"id": "9"}]}]'
     )
     df = spark.createDataFrame([("url", page), ("none", "[]")], "post_url STRING, page STRING")
-    rows = threads.explode_pages(df)
+    rows = threads.reply_objects(df)
     reply = threads.reply_rows(rows).collect()
     assert len(reply) == 1
     assert list(reply[0].asDict()) == schemas.REPLY_FIELDS

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom import schemas
 from threadloom.bindings import stub, tables
-from threadloom.functions.keys import shard_of
 from threadloom.functions.text import (
     argument_label,
     fill,

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from threadloom.operators import threads
 from threadloom.operators.progress import merge_logs
-from threadloom.operators.threads import explode_pages, link_parents
 
 SITE = "https://social.example/posts/"
 EPOCH = 1_704_067_200
@@ -93,7 +93,7 @@ def reply_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reply_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explode_pages(reply_pages(spark, sf_dir))
+    return threads.reply_objects(reply_pages(spark, sf_dir))
 
 
 def documents_as_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +126,7 @@ def argument_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stance_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All turns with the turn they answer; openings have no parent."""
-    return link_parents(replies(spark, sf_dir)).select(
+    return threads.link_parents(replies(spark, sf_dir)).select(
         F.col("id").alias("external_id"), "content", "reply_depth", "PARENT_URL", "PARENT_content"
     )
 

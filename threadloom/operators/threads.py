@@ -17,15 +17,19 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS]X"
 _GROUP_LIMIT = 1000
 
 
-def explode_pages(
+def parse_pages(
     pages: DataFrame, page: str = "page", schema: T.DataType = schemas.REPLY_PAGE
 ) -> DataFrame:
-    """JSON list of reply objects per page -> one nested row per reply.
+    """JSON text of a page -> list of reply objects; null when not readable.
 
     Absent keys become null and unknown keys are dropped, both by the schema.
+    Pages that are lists already stay as they are.
     """
-    parsed = F.from_json(F.col(page), schema, {"timestampFormat": TIMESTAMP_FORMAT})
-    return unnest_page(pages.withColumn(page, parsed), page)
+    if not isinstance(pages.schema[page].dataType, T.StringType):
+        return pages
+    return pages.withColumn(
+        page, F.from_json(F.col(page), schema, {"timestampFormat": TIMESTAMP_FORMAT})
+    )
 
 
 def unnest_page(pages: DataFrame, page: str = "page") -> DataFrame:
@@ -35,9 +39,8 @@ def unnest_page(pages: DataFrame, page: str = "page") -> DataFrame:
 
 
 def reply_objects(pages: DataFrame, page: str = "page") -> DataFrame:
-    """One row per reply of pages held as JSON text or parsed."""
-    as_text = isinstance(pages.schema[page].dataType, T.StringType)
-    return explode_pages(pages, page) if as_text else unnest_page(pages, page)
+    """Pages, as JSON text or parsed -> one nested row per reply."""
+    return unnest_page(parse_pages(pages, page), page)
 
 
 def project_fields(df: DataFrame, fields: T.StructType) -> DataFrame:

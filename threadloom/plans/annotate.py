@@ -34,7 +34,8 @@ def prepare_stances(replies: DataFrame, posts: DataFrame | None = None) -> DataF
 
     Adds depth and the direct parent's URL and text and renames the columns.
     ``posts`` (external_id, url, content) are the threads' opening posts, when
-    they are not among the replies; they serve as parents only.
+    they are not among the replies; they serve as parents only. Both are read
+    several times, a few columns each: pass tables, not costly frames.
     """
     columns = ["id", "in_reply_to_id", "url", "content"]
     nodes = replies.select(*columns, F.lit(True).alias("_reply"))
@@ -71,6 +72,8 @@ def _annotate(
     requests_per_task: int,
     parallelism: int | None,
 ) -> DataFrame:
+    if model is None:
+        raise ValueError("a model factory is needed")
     if df.schema["external_id"].dataType != T.LongType():
         raise TypeError("external_id must be BIGINT; see batching.split_ids")
     sendable = F.col("external_id").isNotNull()

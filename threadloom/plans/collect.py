@@ -31,10 +31,29 @@ def get_comments(
     being a list of reply objects, as JSON text or parsed. Posts are matched to
     pages before a page is parsed, and what matched is stored once, because
     each of the three results reads other columns of it.
+
+    A post with a page that cannot be read fails as a whole: it gives no rows,
+    and a null count.
     """
     matched = lookup_join(pages, posts.select("post_url"), "post_url", ["page"], how="inner")
-    objects = store(threads.reply_objects(matched), "replies")
-    counts = threads.reply_counts(posts.select("post_url"), objects, "post_url")
+    parsed = store(
+        threads.parse_pages(matched)
+        .withColumn("_readable", F.col("page").isNotNull())
+        .withColumn("_replies", F.coalesce(F.size("page"), F.lit(0))),
+        "pages",
+    )
+    totals = parsed.groupBy("post_url").agg(
+        F.sum("_replies").alias("_n"), F.bool_and("_readable").alias("_good")
+    )
+    counts = posts.select("post_url").join(totals, "post_url", "left").select(
+        "post_url",
+        F.when(F.coalesce("_good", F.lit(True)), F.coalesce("_n", F.lit(0))).alias("n_replies"),
+    )
+    readable = parsed.select("post_url", "page")
+    broken = parsed.where(~F.col("_readable")).select("post_url").distinct()
+    if not broken.isEmpty():
+        readable = readable.join(broken, "post_url", "left_anti")
+    objects = threads.unnest_page(readable)
     return threads.reply_rows(objects), threads.author_rows(objects), counts
 
 
@@ -51,8 +70,8 @@ def compile_thread(
     """Collect the threads of all pending posts, or of those in shard ``seed``.
 
     ``landed`` has one row per fetched post, (post_url, error). A post not
-    landed, or landed with an error, gives a failed outcome and no replies; a
-    landed one gives its reply count. A ``row`` is tried once per run.
+    landed, landed with an error or not readable gives a failed outcome and no
+    replies; any other gives its reply count. A ``row`` is tried once per run.
     """
     if seed is not None:
         posts = progress.shard_rows(posts, seed, shards=shards)
@@ -67,11 +86,20 @@ def compile_thread(
     )
     good = tried.where(F.col("error").isNull()).select("post_url").distinct()
     replies, authors, counts = get_comments(good, pages)
-    outcomes = tried.join(counts, "post_url", "left").select(
-        "row",
-        F.when(F.col("error").isNull(), 1).otherwise(0).alias("scraped"),
-        "n_replies",
-        "error",
+    outcomes = (
+        tried.join(counts.withColumn("_counted", F.lit(True)), "post_url", "left")
+        .withColumn(
+            "error",
+            F.when(
+                F.col("_counted") & F.col("n_replies").isNull(), "page not readable"
+            ).otherwise(F.col("error")),
+        )
+        .select(
+            "row",
+            F.when(F.col("error").isNull(), 1).otherwise(0).alias("scraped"),
+            "n_replies",
+            "error",
+        )
     )
     return Collected(replies, authors, outcomes)
 
