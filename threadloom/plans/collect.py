@@ -50,7 +50,7 @@ def get_comments(
         F.when(F.coalesce("_good", F.lit(True)), F.coalesce("_n", F.lit(0))).alias("n_replies"),
     )
     readable = parsed.select("post_url", "page")
-    broken = parsed.where(~F.col("_readable")).select("post_url").distinct()
+    broken = parsed.where(~F.col("_readable")).select("post_url")
     if not broken.isEmpty():
         readable = readable.join(broken, "post_url", "left_anti")
     objects = threads.unnest_page(readable)
@@ -84,6 +84,7 @@ def compile_thread(
         )
         .drop("_landed")
     )
+    tried = store(tried, "tried")  # three narrow columns, used three times below
     good = tried.where(F.col("error").isNull()).select("post_url").distinct()
     replies, authors, counts = get_comments(good, pages)
     outcomes = (
