@@ -104,15 +104,18 @@ def test_failed_rows_are_sent_again(spark, tmp_path, conversations):
 
 
 def test_collect_stream_equals_the_batch_job(spark, tmp_path, small):
-    landed, replies, authors, state = (str(tmp_path / n) for n in ("in", "r", "a", "state"))
+    landed, replies, authors, rejects, state = (
+        str(tmp_path / n) for n in ("in", "r", "a", "bad", "state")
+    )
     pages = tables.reply_pages(spark, small)
 
     def run():
         stream = jobs.landed_stream(spark, landed, pages.schema, max_files_per_trigger=1)
-        jobs.collect_stream(stream, replies, authors, state).awaitTermination()
+        jobs.collect_stream(stream, replies, authors, rejects, state).awaitTermination()
 
     half = F.xxhash64("post_url") % 2 == 0
-    for part in (pages.where(half), pages.where(~half)):
+    broken = spark.createDataFrame([("u", "[{broken")], pages.schema)
+    for part in (pages.where(half), pages.where(~half), broken):
         part.repartition(2).write.mode("append").parquet(landed)
         run()
     whole = threads.reply_objects(pages)
@@ -120,3 +123,4 @@ def test_collect_stream_equals_the_batch_job(spark, tmp_path, small):
         got = spark.read.parquet(path).drop("epoch")
         assert got.columns == rows.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))
+    assert [(r.post_url, r.page) for r in spark.read.parquet(rejects).collect()] == [("u", "[{broken")]

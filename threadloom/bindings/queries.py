@@ -594,6 +594,7 @@ def stream_collect(spark, d):
         jobs.landed_stream(spark, landed, pages.schema),
         replies,
         authors,
+        scratch_path(spark, "rejects"),
         scratch_path(spark, "stream-checkpoint"),
     ).awaitTermination()
     return (

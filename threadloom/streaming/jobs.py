@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.operators import threads
@@ -62,20 +62,24 @@ def first_seen(
 
 
 def collect_stream(
-    pages: DataFrame, replies_path: str, authors_path: str, checkpoint: str
+    pages: DataFrame, replies_path: str, authors_path: str, rejects_path: str, checkpoint: str
 ) -> StreamingQuery:
     """Flatten landed pages as they arrive into reply rows and author rows.
 
-    ``pages`` has (post_url, page) as in ``get_comments``. Each micro-batch
-    owns one folder of both tables and replaces it when repeated. A page is
-    parsed once for the two outputs.
+    ``pages`` has (post_url, page) as in ``get_comments``. Pages that cannot be
+    read go to ``rejects_path`` as they came. Each micro-batch owns one folder
+    of every table and replaces it when repeated.
     """
 
     def run(batch: DataFrame, epoch: int) -> None:
-        objects = store(threads.reply_objects(batch), "landed")
+        parsed = threads.parse_pages(batch.withColumn("_raw", F.col("page")))
+        parsed = store(parsed, "landed")
+        objects = threads.unnest_page(parsed.drop("_raw"))
+        rejects = parsed.where(F.col("page").isNull()).select("post_url", F.col("_raw").alias("page"))
         for rows, path in (
             (threads.reply_rows(objects), replies_path),
             (threads.author_rows(objects), authors_path),
+            (rejects, rejects_path),
         ):
             rows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
