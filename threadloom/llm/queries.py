@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadloom.llm.chat import chat_digests, format_chats
 from threadloom.llm.common import table, word_count
+from threadloom.llm.decontaminate import benchmark_hits, contaminated
 from threadloom.llm.embeddings import embedding_duplicates
 from threadloom.llm.mixing import mix_sources
 from threadloom.llm.near_dup import near_duplicates
+from threadloom.llm.quality import THRESHOLD, is_held_out, quality_scores
+from threadloom.llm.quality import learn as learn_quality
 from threadloom.llm.tokens import load_vocabulary, token_counts
+from threadloom.llm.toxicity import learn as learn_toxicity
+from threadloom.llm.toxicity import toxicity
 from threadloom.session import store
 
 # A public vocabulary file; its place is a parameter of the operator.
@@ -88,3 +93,34 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_embedding_duplicates")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        contaminated().alias("contaminated"),
+        F.array_distinct(F.col("hits.item_id")).alias("item_ids"),
+        "hits",
+    )
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn_quality(docs, table(spark, sf_dir, "labels"))
+    return quality_scores(docs, model).select(
+        "doc_id",
+        is_held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query("op9_toxicity_severity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity(docs, model).select("doc_id", "toxicity.*")
