@@ -12,11 +12,13 @@ from threadloom.llm.decontaminate import benchmark_hits, contaminated
 from threadloom.llm.embeddings import embedding_duplicates
 from threadloom.llm.mixing import mix_sources
 from threadloom.llm.near_dup import near_duplicates
+from threadloom.llm.pii import pseudonymise
 from threadloom.llm.quality import THRESHOLD, is_held_out, quality_scores
 from threadloom.llm.quality import learn as learn_quality
 from threadloom.llm.tokens import load_vocabulary, token_counts
 from threadloom.llm.toxicity import learn as learn_toxicity
 from threadloom.llm.toxicity import toxicity
+from threadloom.llm.warc import read_warc, write_warc
 from threadloom.session import store
 
 # A public vocabulary file; its place is a parameter of the operator.
@@ -124,3 +126,36 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = learn_toxicity(docs, table(spark, sf_dir, "labels"))
     return toxicity(docs, model).select("doc_id", "toxicity.*")
+
+
+# SHA-1 in base 32: five bits a character.
+OP8_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex FROM p
+), f AS (
+  SELECT hex, payload_bytes, min(page_id) AS first_id FROM d GROUP BY ALL
+)
+SELECT page_id, CAST(d.payload_bytes AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST(list_sum(list_transform(range(5), lambda k:
+      CAST(((instr('0123456789abcdef', substr(hex, 1 + CAST((5 * i + k) // 4 AS INT), 1)) - 1)
+        >> CAST(3 - (5 * i + k) % 4 AS INT)) & 1 AS INT) << CAST(4 - k AS INT))) AS INT), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d JOIN f USING (hex, payload_bytes)
+"""
+
+
+@query("op8_warc_archive", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read_warc(index, payloads=False).drop("url", "payload")
+
+
+@query("op10_pii_pseudonyms")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, name="n_changed")
