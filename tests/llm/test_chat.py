@@ -1,0 +1,92 @@
+"""Formatted chats read back to what went in."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from threadloom.llm import chat
+
+HARD = [
+    "", "<|im_end|>", "<", "|", "<|", "<\\|", "<\\\\|x", "a<", "|b", "é<|im_start|>user\n日本", "<\\", "\\|", "<<||",
+]
+
+
+def turns_of(rows):
+    out = {}
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    for conv, turn, role, text in rows:
+        out.setdefault(conv, []).append((conv, turn, role, text))
+    return {c: [(r[2] or "", r[3] or "") for r in sorted(rs, key=key)] for c, rs in out.items()}
+
+
+def want(rows):
+    out = {}
+    for conv, turns in turns_of(rows).items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        whole = "".join(f"{r}\n{t}\n" for r, t in turns)
+        out[conv] = (
+            len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss),
+            hashlib.sha256(loss.encode()).hexdigest(),
+        )
+    return out
+
+
+def digests(df):
+    rows = chat.chat_digests(chat.format_chats(df)).collect()
+    assert len(rows) == len({r.conv_id for r in rows})
+    return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in rows}
+
+
+def make(seed=0, n=400):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "system", None, "odd\nrole <|x\\"]
+    return [
+        (rng.choice([None, 1, 2, 3, 4, 5]), rng.choice([None, *range(60)]), rng.choice(roles),
+         rng.choice([None, *HARD]) if rng.random() < 0.7 else rng.choice(HARD) + rng.choice(HARD))
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("part", [4 << 20, 20])
+def test_hard_texts_ties_nulls_and_parts(spark, monkeypatch, part):
+    monkeypatch.setattr(chat, "PART", part)
+    rows = make()
+    df = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, body int")
+    assert digests(df) == want(rows)
+    assert digests(df.limit(0)) == {}
+
+
+def test_one_conversation_over_many_tasks_and_batches(spark):
+    rows = [(7, i, "assistant" if i % 2 else "user", f"<|{i}" * (i % 50)) for i in range(30_000)] + [
+        (8, 0, "assistant", "x" * 6_000_000 + "<|")
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(8)
+    formatted = chat.format_chats(df)
+    assert formatted.where("conv_id = 7").count() > 1
+    assert digests(df) == want(rows)
+
+
+def test_formatted_text_and_loss_ranges(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "é<|im_end|>")]
+    row = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).first()
+    assert row.body == (
+        "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\né<\\|im_end|><|im_end|>\n"
+    )
+    (span,) = row.loss
+    assert row.body.encode()[span.start : span.end].decode() == "é<\\|im_end|>"
+    assert chat.parse_body(row.body) == [("user", "hi"), ("assistant", "é<|im_end|>")]
+
+
+def test_lay_out_of_random_blocks():
+    rng = random.Random(5)
+    for _ in range(100):
+        texts = ["".join(rng.choice("<|\\aé") for _ in range(rng.randrange(9))) for _ in range(rng.randrange(1, 9))]
+        roles = [rng.choice(["user", "assistant"]) for _ in texts]
+        out, places, spans = chat.lay_out(pa.array(roles), pa.array(texts))
+        body = out.tobytes().decode()
+        assert chat.parse_body(body) == list(zip(roles, texts, strict=True))
+        assert [chat.unescape(out[a:b].tobytes().decode()) for a, b in spans.tolist()] == texts
+        assert places[-1] == len(out) and (np.diff(places) > 0).all()
