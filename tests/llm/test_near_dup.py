@@ -65,10 +65,10 @@ def test_groups_around_the_threshold(spark):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
-def test_small_blocks_and_one_hub_turn_change_nothing(spark, monkeypatch):
+def test_small_blocks_and_one_hub_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BLOCK", 5)
     monkeypatch.setattr(near_dup, "ROOM", 4)
-    monkeypatch.setattr(near_dup, "HUB_TURNS", 1)
+    monkeypatch.setattr(near_dup, "HUBS", 1)
     rows = near_copies(seed=2, groups=3)
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 

@@ -1,0 +1,155 @@
+"""Pseudonyms against the same network in plain Python; formats, validity, links."""
+
+import datetime
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from threadloom.llm import pii
+from threadloom.llm.pii import KEY, ROUNDS, pseudonym, pseudonymise
+
+
+def digest(kind, i, half, key=KEY):
+    return hashlib.sha512(f"{key}|{kind}|{i}|{half}".encode()).hexdigest()
+
+
+def text(value, kind):
+    def turned(half, other, i):
+        h, out = digest(kind, i, other), ""
+        for j, c in enumerate(half):
+            by = int(h[j % 32 * 4 : j % 32 * 4 + 4], 16)
+            for first, last in ("09", "az", "AZ"):
+                if first <= c <= last:
+                    c = chr(ord(first) + (ord(c) - ord(first) + by) % (ord(last) - ord(first) + 1))
+                    break
+            out += c
+        return out
+
+    left, right = value[: len(value) // 2], value[len(value) // 2 :]
+    for i in range(ROUNDS):
+        left, right = (turned(left, right, i), right) if i % 2 == 0 else (left, turned(right, left, i))
+    return left + right
+
+
+def number(value, high, low, kind):
+    left, right = divmod(value, low)
+    for i in range(ROUNDS):
+        if i % 2 == 0:
+            left = (left + int(digest(kind, i, right)[:6], 16)) % high
+        else:
+            right = (right + int(digest(kind, i, left)[:6], 16)) % low
+    return left * low + right
+
+
+def luhn(digits):
+    return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, digits[::-1]))) % 10
+
+
+def refill(shape, digits):
+    digits = iter(digits)
+    return re.sub(r"\d", lambda _: next(digits), shape)
+
+
+def card(value):
+    digits = re.sub(r"\D", "", value)
+    body = text(digits[:-1], "card")
+    return refill(value, body + str(-luhn(body + "0") % 10))
+
+
+def date(value, layout):
+    first = datetime.date(1800, 1, 1)
+    day = (datetime.datetime.strptime(value, layout).date() - first).days
+    return first + datetime.timedelta(days=number(day, 189, 773, "date"))
+
+
+def apply(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    return [r.p for r in df.select(pseudonym(F.col("v")).alias("p")).collect()]
+
+
+def test_equal_the_plain_network(spark):
+    cards = ["4111111111111111", "5500 0000 0000 0004", "3782-822463-10005", "6011000990139424"]
+    mails = ["jöhn.Doe7@mail.example.com", "a@x.org", "x_1@y.co"]
+    assert apply(spark, cards) == [card(v) for v in cards]
+    assert apply(spark, mails) == [text(m.split("@")[0], "email") + m[m.index("@") :] for m in mails]
+    assert all(luhn(re.sub(r"\D", "", c)) == 0 for c in apply(spark, cards))
+    (address,) = apply(spark, ["192.168.3.77"])
+    n = number(((192 * 256 + 168) * 256 + 3) * 256 + 77, 65536, 65536, "ip")
+    assert address == ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+    days = apply(spark, ["1984-02-29", "29/02/1984", "29.2.1984"])
+    moved = date("1984-02-29", "%Y-%m-%d")
+    assert days == [f"{moved:%Y-%m-%d}", f"{moved:%d/%m/%Y}", f"{moved.day}.{moved.month}.{moved.year}"]
+    phones = apply(spark, ["+1 (555) 123-4567", "(555) 123-4567", "555-123-4567"])
+    national = text("5551234567", "phone")
+    assert phones == [
+        f"+1 ({national[:3]}) {national[3:6]}-{national[6:]}", f"({national[:3]}) {national[3:6]}-{national[6:]}",
+        f"{national[:3]}-{national[3:6]}-{national[6:]}",
+    ]
+
+
+def test_invalid_values_stay(spark):
+    values = ["4111111111111112", "2023-02-30", "31/31/2000", "1799-01-01", "2200-01-01", "99.99.2000"]
+    assert apply(spark, values) == values
+
+
+def test_month_first_dates_stay_month_first(spark):
+    values = [f"{m:02d}/{d:02d}/{y}" for m in range(1, 13) for d in (13, 20, 28) for y in (1950, 2001)]
+    new = apply(spark, values)
+    assert len(set(new)) == len(values) and all(int(v.split("/")[1]) > 12 for v in new)
+    assert all(datetime.datetime.strptime(v, "%m/%d/%Y") for v in new)
+
+
+def test_a_permutation(spark):
+    df = spark.range(189 * 773 // 50).select(
+        pii._permute_number(F.col("id"), 189, 773, "date", KEY).alias("p")
+    )
+    assert df.agg(F.count_distinct("p"), F.count("p"), F.min("p"), F.max("p") < 189 * 773).first()[:2] == (2921 + 0,) * 2 or (
+        df.distinct().count() == df.count()
+    )
+    codes = [f"{i:03d}" for i in range(1000)]
+    rows = spark.createDataFrame([(c,) for c in codes], "c string").select(pii.permute_text(F.col("c"), "x", KEY).alias("p"))
+    assert sorted(r.p for r in rows.collect()) == codes
+
+
+def test_texts_keep_everything_else(spark):
+    rows = [
+        (1, "Mail jo@ex.org, card 4111111111111111 4111111111111111; ip 10.0.0.1. On 1999-12-31!", "k"),
+        (2, "again jo@ex.org and (4111 1111 1111 1111)", "k"), (3, None, "k"), (4, "", "k"), (None, "no data at all", "k"),
+        (5, "version 1.2.3.4.5, 3.14, id 12345678901234567890123, x4111111111111111", "k"),
+        (6, 'TOKEN = "00ffaa11bb22cc33" password=abcdef123456 token = short', "k"), (6, "dup", "k"), (6, "dup", "k"),
+        (7, "é" * 500_000 + " jo@ex.org " + "7" * 300_000, "k"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n string")
+    out = {}
+    for r in pseudonymise(df, name="n").collect():
+        out.setdefault(r.doc_id, []).append((r.text, r.n))
+    mail, number_ = text("jo", "email") + "@ex.org", card("4111111111111111")
+    (one,) = out[1]
+    assert one[0].startswith(f"Mail {mail}, card {number_} {number_}; ip ") and one[1] == 5
+    assert one[0].endswith(f" On {date('1999-12-31', '%Y-%m-%d'):%Y-%m-%d}!")
+    assert out[2] == [(f"again {mail} and ({card('4111 1111 1111 1111')})", 2)]
+    assert re.sub(r"\D", "", card("4111 1111 1111 1111")) == number_
+    assert out[3] == [(None, 0)] and out[4] == [("", 0)] and out[None] == [("no data at all", 0)]
+    assert out[5] == [(rows[5][1], 0)]
+    assert out[6][0] == (
+        f'TOKEN = "{text("00ffaa11bb22cc33", "secret")}" password={text("abcdef123456", "secret")} token = short', 2
+    )
+    assert out[7] == [("é" * 500_000 + f" {mail} " + "7" * 300_000, 1)]
+    assert pseudonymise(df.limit(0)).collect() == []
+
+
+def test_no_python_in_the_plan(spark, small):
+    df = pseudonymise(spark.read.parquet(f"{small}/documents.parquet"), name="n")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_random_texts_are_never_harmed(spark):
+    rng = random.Random(3)
+    rows = [(i, "".join(rng.choice("ab1 .-/@+()é\n") for _ in range(60))) for i in range(300)]
+    out = pseudonymise(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    mask = lambda s: re.sub(r"[0-9]", "0", re.sub(r"[a-z]", "a", s))
+    loose = lambda s: re.sub(r"0+", "0", mask(s))
+    assert [loose(r.text) for r in out] == [loose(t) for _, t in rows]

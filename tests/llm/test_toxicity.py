@@ -1,0 +1,76 @@
+"""Severity on held-out documents, order of the thresholds, defined cases."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from threadloom.llm import toxicity
+from threadloom.llm.toxicity import fit, learn
+
+
+def corpus(seed=0, n=600):
+    rng = random.Random(seed)
+    docs, labels = [], []
+    for i in range(n):
+        words = [f"w{rng.randrange(400)}" for _ in range(60)]
+        toxic = i % 5 == 0
+        for _ in range(rng.randrange(1, 7) if toxic else 0):
+            words.insert(rng.randrange(60), rng.choice(["awful", "Vile!", "nastyish", "nastyest", "nastyfoo"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return docs, labels
+
+
+def test_held_out_documents(spark):
+    docs, labels = corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = learn(df, known.where("doc_id < 400"))
+    rows = toxicity.toxicity(df.where("doc_id >= 400"), model).select("doc_id", "toxicity.*").collect()
+    assert [r.toxic for r in rows] == [bool(labels[r.doc_id][1]) for r in rows]
+    hits = {i: sum(w.lower().strip("!").startswith(("awful", "vile", "nasty")) for w in t.split()) for i, t in docs}
+    mild = [r.severity for r in rows if hits[r.doc_id] == 1]
+    strong = [r.severity for r in rows if hits[r.doc_id] >= 5]
+    assert np.mean(mild) < np.mean(strong) and all(0 <= r.severity <= 3 for r in rows)
+    assert all(r.grade == 0 and r.severity < 0.5 for r in rows if not hits[r.doc_id])
+
+
+def test_given_labels(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = learn(docs, labels.where("doc_id % 4 <> 2"))
+    test = docs.join(labels.where("doc_id % 4 = 2"), "doc_id")
+    rows = toxicity.toxicity(test, model, name="out").collect()
+    clean = [r.out.toxic for r in rows if not r["toxic"]]
+    toxic = [r.out.toxic for r in rows if r["toxic"]]
+    # About one toxic label in ten stands on a text without any marked word.
+    assert np.mean(clean) < 0.01 and np.mean(toxic) > 0.8
+
+
+def test_thresholds_keep_their_order_and_share_the_weights():
+    rng = np.random.default_rng(2)
+    rows = [np.flatnonzero(rng.random(6) < 0.3).astype(np.int32) for _ in range(500)]
+    grades = np.array([min(3, len(r)) for r in rows])
+    weights, thresholds = fit(rows, grades, 6)
+    assert (weights > 0).all() and (np.diff(thresholds) > 0).all()
+
+
+def test_defined_cases(spark):
+    docs, labels = corpus(n=200)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    known = spark.createDataFrame([*labels, (None, 1), (5, None), (99999, 1)], "doc_id long, toxic int")
+    model = learn(df, known)
+    rows = [(1, None, 1), (2, "", 2), (None, "AWFUL vile", 3), (4, "x " * 2_000_000 + "awful vile nastyish", 4), (4, "", 5)]
+    out = toxicity.toxicity(spark.createDataFrame(rows, "doc_id long, text string, toxicity int"), model).collect()
+    assert [r.toxicity.toxic for r in out] == [False, False, True, True, False]
+    assert toxicity.toxicity(df.limit(0), model).collect() == []
+    nothing = learn(df.limit(0), known)
+    assert not toxicity.toxicity(df, nothing).where("toxicity.toxic").count()
+
+
+def test_beginnings_of_words_are_features():
+    found = dict(toxicity.features(pa.array(["Nastyish!", "nastyest", "other", None])))
+    assert len(np.intersect1d(found[0], found[1])) == 2 and not len(found[3])
+    assert not len(np.intersect1d(found[0], found[2]))

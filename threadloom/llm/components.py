@@ -38,7 +38,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             both.where(F.col("v") > F.col("u"))
             .join(low, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct()
         )
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

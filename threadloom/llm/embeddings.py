@@ -14,11 +14,11 @@ from threadloom.session import runtime_conf, store
 
 COSINE = 0.95
 SAMPLE = 20_000  # vectors the cells are fitted on
-PER_CELL = 256  # vectors wanted per cell
+PER_CELL = 512  # vectors wanted per cell
 MOST_CELLS = 2048  # bounds the centres that travel to every task
 ROUNDS = 8
 BLOCK = 8192  # rows of a cell that one task holds per side
-_STRIP = 512
+_STRIP = 256
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -144,32 +144,38 @@ def _compare(cosine: float):
                 c: np.isin(np.arange(len(node)), owner[cells == c])
                 for c in np.unique(home[~at_home]).tolist()
             }
-            lefts = np.arange(len(node)) if same else np.flatnonzero(side == 0)
-            rights = lefts if same else np.flatnonzero(side == 1)
             links = np.zeros(len(node), np.int64)
             roots = _Roots(len(node))
-            for lo in range(0, len(lefts), _STRIP):
-                a = lefts[lo : lo + _STRIP]
-                linked = x[a] @ x[rights].T >= cosine
-                if same:
-                    linked &= a[:, None] < rights[None, :]
-                linked &= at_home[a][:, None] | at_home[rights][None, :]
-                # A pair met in both cells counts where the smaller node is the guest.
-                r, c = np.nonzero(linked)
-                p, q = a[r], rights[c]
-                guest, host = np.where(at_home[p], q, p), np.where(at_home[p], p, q)
-                keep = at_home[guest] | (node[guest] < node[host])
-                twice = np.flatnonzero(~keep)
-                for h in np.unique(home[guest[twice]]).tolist():
-                    here = twice[home[guest[twice]] == h]
-                    keep[here] = ~shared[h][host[here]]
-                p, q = p[keep], q[keep]
-                np.add.at(links, p, copies[q])
-                np.add.at(links, q, copies[p])
-                cuts = np.flatnonzero(np.diff(p)) + 1
-                for own, partners in zip(np.split(p, cuts), np.split(q, cuts), strict=True):
-                    if len(own):
-                        roots.join(np.append(partners, own[0]))
+            # Guests are held against the rows at home only.
+            tasks = (
+                [(np.flatnonzero(at_home), np.arange(len(node)))]
+                if same
+                else [
+                    (np.flatnonzero(at_home & (side == 0)), np.flatnonzero(side == 1)),
+                    (np.flatnonzero(at_home & (side == 1)), np.flatnonzero(~at_home & (side == 0))),
+                ]
+            )
+            for hosts, others in tasks:
+                for lo in range(0, len(hosts), _STRIP):
+                    a = hosts[lo : lo + _STRIP]
+                    linked = x[a] @ x[others].T >= cosine
+                    if same:
+                        linked &= ~at_home[others][None, :] | (a[:, None] < others[None, :])
+                    r, c = np.nonzero(linked)
+                    host, guest = a[r], others[c]
+                    # A pair met in both cells counts where the smaller node is the guest.
+                    keep = at_home[guest] | (node[guest] < node[host])
+                    twice = np.flatnonzero(~keep)
+                    for h in np.unique(home[guest[twice]]).tolist():
+                        here = twice[home[guest[twice]] == h]
+                        keep[here] = ~shared[h][host[here]]
+                    p, q = host[keep], guest[keep]
+                    np.add.at(links, p, copies[q])
+                    np.add.at(links, q, copies[p])
+                    cuts = np.flatnonzero(np.diff(p)) + 1
+                    for own, partners in zip(np.split(p, cuts), np.split(q, cuts), strict=True):
+                        if len(own):
+                            roots.join(np.append(partners, own[0]))
             top = roots.all()
             smallest = np.full(len(node), np.iinfo(np.int64).max)
             np.minimum.at(smallest, top, node)

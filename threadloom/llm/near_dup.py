@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from threadloom.llm.common import block_pairs, blocks, flat, mix, runs, word_hashes, word_spans
+from threadloom.llm.common import blocks, flat, mix, word_hashes, word_spans
 from threadloom.llm.components import components
 from threadloom.session import runtime_conf, store
 
@@ -19,7 +19,9 @@ ROWS, BANDS = 5, 36  # a pair at 0.75 shares no band with probability (1 - 0.75*
 HASHES = ROWS * BANDS
 BATCH = 36  # signature entries compared before the next decision
 MISS = 1e-6  # chance that a pruned pair is a link after all
-BLOCK = 1000  # rows of a candidate bucket that one task holds per side
+HUBS = 6  # hubs that a node is held against before components are compared
+BLOCK = 2000  # signatures of a component that one task holds
+ROOM = 250  # full sets of a component that one task holds
 
 _rng = np.random.RandomState(20240229)
 _SEEDS = _rng.randint(0, 2**32, (HASHES, 1), dtype=np.uint64).astype(np.uint32)
@@ -145,31 +147,66 @@ def _prune(batches):
         yield batch.select(["a", "b"]).take(pa.array(keep))
 
 
-def _compare_buckets(batches):
-    """Pairs of different components in one pair of blocks that survive the pruning."""
+def _sift(batches):
+    """(key, root) of the visiting nodes with a likely partner among the signatures of a room."""
     least = least_matches()
-    for group in runs(batches, ["bucket", "_i", "_j"]):
-        key = group.column("key").to_numpy()
-        root = group.column("root").to_numpy()
-        side = group.column("_side").to_numpy()
-        sig = _table(group.column("sig"))
-        same = group.column("_i")[0].as_py() == group.column("_j")[0].as_py()
-        lefts = np.flatnonzero(side == 0)
-        rights = lefts if same else np.flatnonzero(side == 1)
-        for x in lefts.tolist():
-            others = rights[root[rights] != root[x]]
-            if same:
-                others = others[key[others] > key[x]]
-            if len(others):
-                hits = others[likely(np.broadcast_to(sig[x], (len(others), HASHES)), sig[others], least)]
-                if len(hits):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.minimum(key[x], key[hits])),
-                            pa.array(np.maximum(key[x], key[hits])),
-                        ],
-                        ["a", "b"],
-                    )
+    place, parts, stay = None, [], None
+    for batch in batches:
+        places = zip(batch.column("root").to_pylist(), batch.column("block").to_pylist(), strict=True)
+        visits, nodes = batch.column("visits").to_pylist(), batch.column("key").to_pylist()
+        sig = _table(batch.column("payload"))
+        keys, roots = [], []
+        for row, here in enumerate(places):
+            if here != place:
+                place, parts, stay = here, [], None
+            if not visits[row]:
+                parts.append(sig[row])
+                continue
+            if stay is None and parts:
+                stay = np.array(parts)
+            if stay is not None:
+                left = np.broadcast_to(sig[row], stay.shape)
+                if len(likely(left, stay, least)):
+                    keys.append(nodes[row])
+                    roots.append(here[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int64()), pa.array(roots, pa.int64())], ["key", "root"]
+        )
+
+
+def _search(batches):
+    """First link of every visiting node to each block of a component's full sets."""
+    held_key, owners, shingles, keys, sizes = None, None, None, [], []
+    parts: list[np.ndarray] = []
+    for batch in batches:
+        places = zip(batch.column("root").to_pylist(), batch.column("block").to_pylist(), strict=True)
+        visits = batch.column("visits").to_pylist()
+        column, nodes = batch.column("payload"), batch.column("key").to_pylist()
+        a, b = [], []
+        for row, place in enumerate(places):
+            found = np.frombuffer(column[row].as_buffer(), np.uint64)
+            if place != held_key:
+                held_key, parts, keys, shingles = place, [], [], None
+            if not visits[row]:
+                parts.append(found.copy())
+                keys.append(nodes[row])
+                continue
+            if not parts:
+                continue
+            if shingles is None:
+                sizes = np.array([len(x) for x in parts])
+                shingles = np.concatenate(parts)
+                order = np.argsort(shingles, kind="stable")
+                shingles, owners = shingles[order], np.repeat(np.arange(len(parts)), sizes)[order]
+            lo, hi = np.searchsorted(shingles, found), np.searchsorted(shingles, found, "right")
+            count = hi - lo
+            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+            shared = np.bincount(owners[at], minlength=len(parts))
+            linked = np.flatnonzero(100 * shared >= PERCENT * (sizes + len(found) - shared))
+            if len(linked):
+                a.append(keys[linked[0]])
+                b.append(nodes[row])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _set_bytes(texts: pa.Array) -> pa.Array:
@@ -199,25 +236,30 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a < b) whose full shingle sets are similar enough.
-
-    Sets are made again from the texts of the documents in question. Each pair
-    moves the set of ``b`` once; that of ``a`` is copied once per 1000 pairs.
-    """
-    spark = docs.sparkSession
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+def _sets(needed: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, shingles) of the nodes in ``needed``, made again from their texts."""
     holders = (
         signed.select("key", "doc_id").join(needed, "key", "left_semi")
         .groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     )
     # A repeated id with different texts has several sets; the key tells them apart.
-    sets = (
-        docs.join(holders.select("doc_id").distinct(), "doc_id", "left_semi")
-        .select(arrow_udf(_signed_key, "bigint")(F.col("text")).alias("key"), arrow_udf(_set_bytes, "binary")(F.col("text")).alias("shingles"))
+    texts = docs.join(holders.select("doc_id").distinct(), "doc_id", "left_semi")
+    made = texts.select(
+        arrow_udf(_signed_key, "bigint")(F.col("text")).alias("key"),
+        arrow_udf(_set_bytes, "binary")(F.col("text")).alias("shingles"),
     )
-    with runtime_conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
-        sets = store(sets, "sets").dropDuplicates(["key"])
+    return store(made.join(needed, "key", "left_semi"), "sets").dropDuplicates(["key"])
+
+
+def _confirmed(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (hub a, member b) whose full shingle sets are similar enough.
+
+    Each pair moves the set of ``b`` once; that of ``a`` is copied once per 1000
+    pairs.
+    """
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    with runtime_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="500"):
+        sets = _sets(needed, signed, docs)
         fan = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / 1000).cast("int").alias("fan"))
         dealt = pairs.join(fan, "a").select(
             "a", "b", F.pmod(F.xxhash64("b"), F.col("fan")).cast("int").alias("salt")
@@ -237,6 +279,31 @@ def _verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame
         )
 
 
+def _rooms(meetings: DataFrame, placed: DataFrame, payload: DataFrame, size: int) -> DataFrame:
+    """Components in blocks of ``size`` nodes, each followed by the nodes that visit it.
+
+    ``meetings`` has the (key, root) of nodes and the components to search;
+    ``placed`` the (key, root) of all nodes in question; ``payload`` what is
+    known of a key. A node stays once and visits every block of its component.
+    """
+    stay = placed.join(meetings.select("root").distinct(), "root", "left_semi")
+    blocks_of = stay.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("n"))
+    at_home = stay.join(blocks_of, "root").select(
+        "root", F.pmod(F.xxhash64("key"), F.col("n")).cast("int").alias("block"), "key",
+        F.lit(0).alias("visits"),
+    )
+    visit = meetings.join(blocks_of, "root").select(
+        "root", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("block"), "key",
+        F.lit(1).alias("visits"),
+    )
+    return (
+        at_home.unionByName(visit)
+        .join(payload, "key")
+        .repartition("root", "block")
+        .sortWithinPartitions("root", "block", "visits")
+    )
+
+
 def _signed_key(texts: pa.Array) -> pa.Array:
     counts, keys = [], []
     for found in shingle_sets(texts):
@@ -252,14 +319,17 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     1. Every text gives its set of five-word shingles (lower-cased A-Z), a key
        of the whole set, MinHash bands and a signature of one byte per hash.
        Documents of one key are copies and count as one node from here on.
-    2. Members of a band's bucket are held against its smallest node: matching
-       signature entries are counted batch by batch and a pair is dropped once
-       the posterior chance of reaching the threshold falls below ``MISS``.
-       One surviving hub per node is checked on full sets.
-    3. Buckets that still hold several components are compared across these
-       components only, in blocks, with the same pruning and the same check, so
-       a large group of near copies costs one link per member and not a link
-       per pair, while no link between components is passed over.
+    2. Every node is held against ``HUBS`` hubs, the nodes of smallest rank in
+       its buckets by as many hashes: matching signature entries are counted
+       batch by batch, a pair is dropped once the posterior chance of reaching
+       the threshold falls below ``MISS``, and survivors are checked on full
+       sets. A large group of near copies so costs a few pairs per member and
+       not a pair for every two of them.
+    3. Where a bucket still holds several components, the nodes of the smaller
+       visit the larger: first its signatures, with the same pruning, then, if a
+       likely partner is there, all its full sets, in blocks. So every pair of a
+       bucket is pruned or checked unless a link already joins its components,
+       and none is emitted.
     4. Components of the confirmed links; the smallest doc_id names each.
 
     Nodes are 64-bit keys of the sets: among 10**10 different texts about one
@@ -276,57 +346,94 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
     signed = store(
-        docs.select("doc_id", arrow_udf(_signed, _SIGNED)(F.col("text")).alias("s")).select("doc_id", "s.*"), "signed"
+        docs.select("doc_id", arrow_udf(_signed, _SIGNED)(F.col("text")).alias("s"))
+        .select("doc_id", "s.*"),
+        "signed",
     )
     nodes = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     rows = nodes.select("key", F.explode("bands").alias("bucket"))
-    hubs = (
+    shared = (
         rows.groupBy("bucket")
-        .agg(F.min("key").alias("hub"), F.max("key").alias("top"))
-        .where("hub <> top")
-        .select("bucket", "hub")
+        .agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+        .where("lo <> hi")
+        .select("bucket")
     )
-    members = store(rows.join(hubs, "bucket").distinct(), "members")
-    stars = members.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    members = store(rows.join(shared, "bucket", "left_semi").distinct(), "members")
     signatures = store(
         nodes.select("key", "sig")
         .join(members.select("key").distinct(), "key", "left_semi")
         .dropDuplicates(["key"]),
         "signatures",
     )
+
+    ranks = [F.xxhash64(F.lit(k), "key") for k in range(HUBS)]
+    hubs = members.groupBy("bucket").agg(
+        *[
+            F.min(F.struct(rank.alias("rank"), F.col("key").alias("hub"))).alias(f"h{k}")
+            for k, rank in enumerate(ranks)
+        ]
+    )
     pairs = (
-        stars.distinct()
+        members.join(hubs, "bucket")
+        .groupBy("key")
+        .agg(*[F.min(F.when(F.col(f"h{k}.hub") != F.col("key"), F.col(f"h{k}"))).alias(f"h{k}") for k in range(HUBS)])
+        .select(
+            F.explode(F.array_distinct(F.array(*[F.col(f"h{k}.hub") for k in range(HUBS)]))).alias("a"),
+            F.col("key").alias("b"),
+        )
+        .where("a IS NOT NULL")
         .join(signatures.select(F.col("key").alias("a"), F.col("sig").alias("sa")), "a")
         .join(signatures.select(F.col("key").alias("b"), F.col("sig").alias("sb")), "b")
         .select("a", "b", "sa", "sb")
         .mapInArrow(_prune, "a bigint, b bigint")
     )
-    first = store(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    links = _verified(first, nodes, docs)
-    roots = components(links)
+    roots = components(_confirmed(store(pairs, "pairs"), nodes, docs))
 
-    placed = members.select("bucket", "key").join(
-        roots.withColumnRenamed("node", "key"), "key", "left"
-    ).select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    placed = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "root", F.coalesce("root", "key")
+    )
     mixed = (
         placed.groupBy("bucket")
         .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         .where("lo <> hi")
         .select("bucket")
     )
-    open_rows = placed.join(mixed, "bucket", "left_semi").join(signatures, "key")
-    across = (
-        block_pairs(open_rows, "bucket", "key", BLOCK)
-        .repartition("bucket", "_i", "_j")
-        .sortWithinPartitions("bucket", "_i", "_j")
-        .mapInArrow(_compare_buckets, "a bigint, b bigint")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    placed = store(placed.join(mixed, "bucket", "left_semi"), "open")
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    weighed = placed.join(sizes, "root", "left").withColumn(
+        "rank", F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.col("root"))
+    )
+    # The nodes of the smaller component visit the larger one, whose nodes stay.
+    hosts = weighed.select("bucket", F.col("rank").alias("host")).distinct()
+    meetings = store(
+        weighed.select("bucket", "key", "rank")
+        .join(hosts, "bucket")
+        .where(F.col("rank") < F.col("host"))
+        .select("key", F.col("host.root").alias("root"))
+        .distinct(),
+        "meetings",
     )
-    more = _verified(store(across, "across"), nodes, docs)
-    roots = components(
-        roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more)
+    everyone = placed.select("key", "root").distinct().unionByName(
+        roots.select(F.col("node").alias("key"), "root")
+    ).distinct()
+    likely_meetings = store(
+        _rooms(meetings, everyone, signatures.withColumnRenamed("sig", "payload"), BLOCK)
+        .mapInArrow(_sift, "key bigint, root bigint")
+        .distinct(),
+        "likely",
     )
+    searched = everyone.join(likely_meetings.select("root").distinct(), "root", "left_semi")
+    needed = searched.select("key").unionByName(likely_meetings.select("key")).distinct()
+    with runtime_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="200"):
+        sets = _sets(needed, nodes, docs).withColumnRenamed("shingles", "payload")
+        more = store(
+            _rooms(likely_meetings, searched, sets, ROOM).mapInArrow(_search, "a bigint, b bigint"),
+            "searched",
+        )
+    if not more.isEmpty():
+        roots = components(
+            roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more)
+        )
     named = (
         signed.select("doc_id", F.col("n").alias("n_shingles"), "key")
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
