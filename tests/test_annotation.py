@@ -281,4 +281,29 @@ def test_split_ids(spark):
 def test_task_count():
     assert task_count(0, 20) == 1
     assert task_count(20_000, 20, 50) == 20
-    assert task_count(10**12, 25) == 50_000
+    assert task_count(10**12, 25) == 800_000_000
+
+
+def test_resume_over_fewer_rows_loses_none(spark, tmp_path):
+    keep = {"run_id": "r", "responses_path": str(tmp_path / "answers")}
+    everything = argument_mine(posts(spark, 45), model=echo, **keep).collect()
+    calls = str(tmp_path / "calls")
+
+    def counting():
+        import pathlib
+        import uuid
+
+        def call(prompt, system):
+            pathlib.Path(calls).mkdir(exist_ok=True)
+            (pathlib.Path(calls) / uuid.uuid4().hex).touch()
+            return None
+
+        return call
+
+    fewer = argument_mine(posts(spark, 45).where("external_id >= 5"), model=counting, **keep).collect()
+    want = {r.external_id: r.AM_output for r in everything}
+    assert {r.external_id: r.AM_output for r in fewer} == {i: a for i, a in want.items() if i >= 5}
+    assert all(r.AM_output for r in fewer)
+    import pathlib
+
+    assert not pathlib.Path(calls).exists()

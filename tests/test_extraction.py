@@ -108,3 +108,20 @@ def test_attach_places_by_position_and_keeps_failed(spark):
     )
     got = attach(numbered, extract(responses), 2, "r").orderBy("rn").collect()
     assert [(r.external_id, r.r) for r in got] == [(9, "x"), (9, "x"), (8, "old")]
+
+
+STRICT_SHAPES = [
+    '[id: 1, annotation: "FOR"],\n[id: 2, annotation: "AGAINST"]\nThese are my answers.',
+    '```json\n[\n[id: 1, annotation: "FOR"],\n[id: 2, annotation: "AGAINST"]\n]\n```',
+    '1. [id: 1, annotation: "FOR"]\n2. [id: 2, annotation: "AGAINST"]',
+    '[id: 1, annotation: "FOR"]; [id: 2, annotation: "AGAINST"]',
+    '[["id": 1, "annotation": "FOR"], ["id": "2", "annotation": "AGAINST"]]',
+    "[\n[id: 1, annotation: FOR],\n[id: 2, annotation: AGAINST],\n]",
+    "Sure! [id: 1, annotation: FOR] [id: 2, annotation: AGAINST]]",
+]
+
+
+@pytest.mark.parametrize("answer", STRICT_SHAPES)
+def test_strict_finds_every_item_in_usual_shapes(spark, answer):
+    df = spark.createDataFrame([(0, [1, 2], answer, None)], "batch_id long, ids array<long>, output string, error string")
+    assert [r.result for r in extract(df).orderBy("pos").collect()] == ["FOR", "AGAINST"]

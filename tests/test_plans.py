@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from threadloom.bindings.queries import QUERIES as CORE
 from threadloom.bindings import stub, tables
 from threadloom.operators import batching, progress, threads
 from threadloom.operators.annotation import model_responses
 from threadloom.operators.numbering import number_rows
 from threadloom.session import store
 
-QUERIES = entry_point.queries()
+QUERIES = {name: entry_point.queries()[name] for name in CORE}
 
 
 def plan_of(df):

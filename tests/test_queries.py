@@ -4,9 +4,11 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_point
+from threadloom.bindings.queries import QUERIES as CORE
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+# The library's own; the optional subpackage tests its queries itself.
+QUERIES = {name: entry_point.queries()[name] for name in CORE}
+SQL = {name: entry_point.oracle_sql()[name] for name in CORE if name in entry_point.oracle_sql()}
 
 
 @pytest.fixture(scope="module")

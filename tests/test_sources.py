@@ -102,3 +102,22 @@ def test_empty_files_give_no_rows(spark, tmp_path):
     (tmp_path / "e.csv").write_text("")
     got = readers.read_csv(spark, f"{tmp_path}/*.csv", PAIR)
     assert got.columns == PAIR.names and got.count() == 0
+
+
+def test_number_of_jobs_does_not_grow_with_files(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            head = "a,b\n1,x\n" if i % 2 else "b,a\nx,1\n"
+            (folder / f"{i:03d}.csv").write_text(head)
+        schema = schemas._struct(a=schemas.L, b=schemas.S)
+        spark.sparkContext.setJobGroup(f"csv{n}", "")
+        df = readers.read_csv(spark, str(folder), schema)
+        found = len(tracker.getJobIdsForGroup(f"csv{n}"))
+        assert {(r.a, r.b) for r in df.collect()} == {(1, "x")} and df.count() == n
+        return found
+
+    assert jobs(3) == jobs(40)

@@ -33,18 +33,18 @@ def test_append_stream_carries_on_after_restart(spark, tmp_path, conversations):
     assert spark.read.parquet(out).select("id").distinct().count() == conversations.count()
 
 
-@pytest.mark.parametrize("event_time", [None, "created_at"])
-def test_first_seen_drops_repeats_across_files(spark, tmp_path, conversations, event_time):
+def test_first_seen_drops_repeats_across_files(spark, tmp_path, conversations):
     landed, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     for _ in range(2):
         conversations.coalesce(1).write.mode("append").parquet(landed)
     stream = jobs.landed_stream(spark, landed, conversations.schema, max_files_per_trigger=1)
     rows = tables.as_replies(stream).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
-    jobs.append_stream(jobs.first_seen(rows, ["id"], event_time), out, state).awaitTermination()
+    jobs.append_stream(jobs.first_seen(rows, ["id"], "created_at"), out, state).awaitTermination()
     assert spark.read.parquet(out).count() == conversations.count()
 
 
-def test_annotate_stream_answers_each_row_once(spark, tmp_path, conversations):
+@pytest.mark.parametrize("event_time", [None, "created_at"])
+def test_annotate_stream_answers_each_row_once(spark, tmp_path, conversations, event_time):
     landed, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     parents = tables.as_replies(conversations).select(
         F.col("id").alias("in_reply_to_id"),
@@ -59,8 +59,11 @@ def test_annotate_stream_answers_each_row_once(spark, tmp_path, conversations):
     def run():
         stream = jobs.landed_stream(spark, landed, conversations.schema, max_files_per_trigger=1)
         rows = tables.as_replies(stream).withColumnRenamed("id", "external_id")
-        jobs.annotate_stream(rows, annotate, out, state, "SD_output").awaitTermination()
-        return {r.external_id: r.SD_output for r in spark.read.parquet(out).collect()}
+        jobs.annotate_stream(
+            rows, annotate, out, state, "SD_output", event_time=event_time
+        ).awaitTermination()
+        got = jobs.latest_results(spark, out, "SD_output").collect()
+        return {r.external_id: r.SD_output for r in got}
 
     conversations.where("conv_id < 5").coalesce(1).write.mode("append").parquet(landed)
     first = run()
@@ -75,7 +78,7 @@ def test_annotate_stream_answers_each_row_once(spark, tmp_path, conversations):
     )
     assert both == {r.external_id: r.SD_output for r in whole.collect()}
     assert first.items() <= both.items()
-    assert spark.read.parquet(out).count() == conversations.count()
+    assert spark.read.parquet(f"{out}/results").count() == conversations.count()
 
 
 def test_failed_rows_are_sent_again(spark, tmp_path, conversations):
@@ -93,14 +96,24 @@ def test_failed_rows_are_sent_again(spark, tmp_path, conversations):
 
         return call
 
-    for model in (failing, stub.stance_model):
-        conversations.coalesce(1).write.mode("append").parquet(landed)
+    def run(model):
         jobs.annotate_stream(
-            rows_of(), lambda df, m=model: stance_detect(df, model=m), out, state, "SD_output"
+            rows_of(), lambda df: stance_detect(df, model=model), out, state, "SD_output"
         ).awaitTermination()
-    got = spark.read.parquet(out)
-    assert got.where("SD_output IS NULL").count() == conversations.count()
-    assert got.where("SD_output IS NOT NULL").count() == conversations.count()
+
+    conversations.coalesce(1).write.mode("append").parquet(landed)
+    run(failing)
+    assert jobs.latest_results(spark, out, "SD_output").where("SD_output IS NOT NULL").count() == 0
+    # A restart without new files has nothing to do; the open rows are retried.
+    run(failing)
+    jobs.retry_open(spark, lambda df: stance_detect(df, model=failing), out, "SD_output")
+    jobs.retry_open(spark, lambda df: stance_detect(df, model=stub.stance_model), out, "SD_output")
+    got = jobs.latest_results(spark, out, "SD_output")
+    assert got.count() == got.select("external_id").distinct().count() == conversations.count()
+    assert got.where("SD_output IS NULL").count() == 0
+    # Nothing is left to ask for.
+    jobs.retry_open(spark, lambda df: stance_detect(df, model=failing), out, "SD_output")
+    assert jobs.latest_results(spark, out, "SD_output").where("SD_output IS NULL").count() == 0
 
 
 def test_collect_stream_equals_the_batch_job(spark, tmp_path, small):

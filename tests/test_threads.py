@@ -151,3 +151,48 @@ def test_lookup_of_one_user(spark):
     assert [r.note for r in threads.lookup(profiles, "b").collect()] == ["y"]
     with pytest.raises(ValueError):
         threads.lookup(profiles, None)
+
+
+def test_pages_that_are_no_lists_of_replies(spark):
+    pages = [
+        '[{"id": "1", "content": "a"}]', "[]", ' [ {"id": 2} ]', '{"error": "Record not found"}', "[null]",
+        '[{"id": "3"}, {"content": "b"}]', '[{"id": ""}]', "nonsense", None, "7",
+    ]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, page string")
+    rows = threads.parse_pages(df, error="why").orderBy("i").collect()
+    assert [r.page is not None for r in rows] == [True, True, True] + [False] * 7
+    assert [r.why for r in rows if r.why] == ["Record not found"]
+
+
+def test_repeats_count_once(spark):
+    rows = [(1, None, "u1", "a"), (2, 1, "u2", "b"), (3, 2, "u3", "c"), (None, 1, "u4", "d")]
+    df = spark.createDataFrame(rows, "id long, in_reply_to_id long, url string, content string")
+    twice = df.unionByName(df.where("id IS NOT NULL")).unionByName(df.where("id = 2").withColumn("content", F.lit("other")))
+    linked = threads.link_parents(twice).collect()
+    assert sorted((r.id or 0, r.PARENT_URL) for r in linked) == [(0, "u1"), (1, None), (2, "u1"), (3, "u2")] or sorted(
+        (r.id or 0, r.PARENT_URL or "") for r in linked
+    ) == [(0, "u1"), (1, ""), (2, "u1"), (3, "u2")]
+    depth = threads.thread_depth(twice.where("id IS NOT NULL")).collect()
+    assert sorted((r.id, r.reply_depth) for r in depth) == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_listed_twice_is_pulled_once(spark):
+    posts = spark.createDataFrame([("http://x/10",), ("http://x/10",)], "url string")
+    rows = spark.createDataFrame(
+        [(10 + i, 10, 10, i) for i in range(1, 7)] * 2, "id long, root_id long, in_reply_to_id long, created_at int"
+    )
+    got = threads.pull_comments(posts, rows, top_num=4).collect()
+    assert sorted(r.id for r in got) == [11, 12, 13, 14]
+
+
+def test_rows_without_time_come_last(spark):
+    rows = spark.createDataFrame([(1, 5, None), (2, 5, 9), (3, 5, 8)], "id long, root_id long, created_at int")
+    assert sorted(r.id for r in threads.oldest_n(rows, 2).collect()) == [2, 3]
+
+
+def test_one_plan_for_any_number_of_replies(spark):
+    rows = spark.range(100).selectExpr("id", "id % 3 AS root_id", "id AS created_at", "'x' AS content")
+    plans = [
+        threads.oldest_n(rows, n)._jdf.queryExecution().optimizedPlan().toString().count("Window ") for n in (40, 5000)
+    ]
+    assert plans[0] == plans[1] > 0

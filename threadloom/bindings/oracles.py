@@ -151,7 +151,7 @@ ORACLES: dict[str, str] = {
     "flatten_authors": f"""WITH {REPLIES}
       SELECT username, root_id // 1000 AS followers_count, reply_depth AS following_count,
              CAST({EPOCH} AS BIGINT) AS created_at, 'https://social.example/@' || username AS url,
-             id, '<p>I am "' || username || '"</p>' AS note,
+             'account-' || username AS id, '<p>I am "' || username || '"</p>' AS note,
              username = 'system' AS bot, username = 'assistant' AS verified
       FROM replies WHERE id <> root_id""",
     "nested_to_json": f"""WITH {REPLIES}
@@ -298,6 +298,21 @@ ORACLES: dict[str, str] = {
       SELECT f.external_id, CASE WHEN a.external_id IS NULL OR a.first_id % 7 = 3
         THEN f.AM_output ELSE coalesce(a.answer, '{MISSING_ID}') END AS AM_output
       FROM frame f LEFT JOIN answered a ON f.external_id = a.external_id""",
+    "resume_arguments": f"""WITH {ARGUMENT_VALUES}
+      SELECT f.external_id, CASE WHEN a.external_id IS NULL THEN f.AM_output
+        ELSE coalesce(a.answer, '{MISSING_ID}') END AS AM_output
+      FROM frame f LEFT JOIN answered a ON f.external_id = a.external_id""",
+    "stream_retry": f"""SELECT doc_id AS external_id, CASE doc_id % 3
+        WHEN 0 THEN 'The response is argumentative because: of post ' || CAST(doc_id AS VARCHAR)
+        WHEN 1 THEN 'The response is not argumentative because: of post ' || CAST(doc_id AS VARCHAR)
+        ELSE '{MISSING_ID}' END AS AM_output FROM documents""",
+    "reply_rejects": f"""WITH {REPLIES}, posts AS (
+        SELECT root_id, url, root_id // 1000 % 4 AS kind FROM replies WHERE id = root_id)
+      SELECT p.url AS post_url,
+        CASE WHEN kind = 0 THEN count(r.id) END AS n_replies,
+        CASE kind WHEN 0 THEN NULL WHEN 1 THEN 'Record not found' ELSE 'page not readable' END AS error
+      FROM posts p LEFT JOIN replies r ON r.root_id = p.root_id AND r.id <> r.root_id
+      GROUP BY p.url, p.kind""",
     "am_output_projection": f"""WITH {ARGUMENT_VALUES}, {_sliced('')}
       SELECT f.external_id, CASE WHEN a.external_id IS NULL THEN f.AM_output
         ELSE coalesce(s.slice, '{MISSING_ID}') END AS AM_output

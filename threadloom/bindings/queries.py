@@ -49,7 +49,11 @@ def query(fn: Query) -> Query:
 
 @query
 def scan_posts(spark, d):
-    return tables.documents_as_posts(spark, d).select("row", "url", "content", "file", "n_chars")
+    """Posts landed as Parquet, read with an explicit schema."""
+    landed = scratch_path(spark, "posts")
+    append_rows(tables.documents_as_posts(spark, d), landed)
+    schema = schemas._struct(row=schemas.L, url=schemas.S, content=schemas.S, file=schemas.S, n_chars=schemas.L)
+    return read_table(spark, landed, schema)
 
 
 @query
@@ -112,11 +116,7 @@ def flatten_replies(spark, d):
 
 @query
 def flatten_authors(spark, d):
-    authors = threads.author_rows(
-        tables.reply_objects(spark, d).withColumn(
-            "account", F.col("account").withField("id", F.col("id"))
-        )
-    )
+    authors = threads.author_rows(tables.reply_objects(spark, d))
     return authors.withColumn("created_at", F.unix_seconds("created_at"))
 
 
@@ -162,7 +162,8 @@ def renamed_replies(spark, d):
 def prepare_stances(spark, d):
     """Collected replies and the opening posts -> depth and parent of each reply."""
     opening = tables.thread_posts(spark, d).withColumnRenamed("id", "external_id")
-    landed = store(threads.reply_rows(tables.reply_objects(spark, d)), "landed")
+    once = threads.reply_rows(tables.reply_objects(spark, d))
+    landed = store(once.unionByName(once), "landed")
     return prepare(landed, opening).select(
         "external_id",
         "content",
@@ -288,27 +289,26 @@ def dedup_first(spark, d):
 
 @query
 def combine_threads(spark, d):
-    """One landed file per source, united and deduplicated by text."""
+    """Landed folders of ordered files, one folder per source, united and deduplicated by text."""
     landed = scratch_path(spark, "parts")
     (
         tables.documents_as_posts(spark, d)
         .select("row", "content", F.col("file").alias("part"))
-        .repartition("part")
+        .repartitionByRange("part", "row")
         .sortWithinPartitions("part", "row")
         .write.partitionBy("part")
         .parquet(landed)
     )
     schema = schemas._struct(row=schemas.L, content=schemas.S, part=schemas.S)
     combined = collect.combine_threads(spark, landed, schema, key="content")
-    kept = combined.rows.groupBy("file").agg(F.count(F.lit(1)).alias("n_kept"))
+    folder = F.regexp_extract("file", "part=(\\w+)", 1).alias("file")
+    kept = combined.rows.groupBy(folder).agg(F.count(F.lit(1)).alias("n_kept"))
     return (
         combined.per_file.where(F.col("file").isNotNull())
+        .groupBy(folder)
+        .agg(F.sum("n_rows").alias("n_rows"))
         .join(kept, "file", "left")
-        .select(
-            F.regexp_extract("file", "part=(\\w+)", 1).alias("file"),
-            "n_rows",
-            F.coalesce("n_kept", F.lit(0).cast("bigint")).alias("n_kept"),
-        )
+        .select("file", "n_rows", F.coalesce("n_kept", F.lit(0).cast("bigint")).alias("n_kept"))
     )
 
 
@@ -391,18 +391,23 @@ def oldest_n(spark, d):
 def pull_replies(spark, d):
     posts = tables.documents_as_posts(spark, d)
     rows = tables.replies(spark, d).drop("url")
+    posts, rows = posts.unionByName(posts), rows.unionByName(rows)
     return threads.pull_comments(posts, rows, top_num=2).select("post_url", "id", "content")
 
 
 @query
 def link_parents(spark, d):
-    linked = threads.link_parents(tables.replies(spark, d))
+    """Every reply landed twice; each counts once."""
+    rows = tables.replies(spark, d)
+    linked = threads.link_parents(rows.unionByName(rows))
     return linked.select("id", "in_reply_to_id", "PARENT_URL", "PARENT_content")
 
 
 @query
 def thread_depth(spark, d):
-    return threads.thread_depth(tables.replies(spark, d))
+    """Every reply landed twice; each counts once."""
+    rows = tables.replies(spark, d)
+    return threads.thread_depth(rows.unionByName(rows))
 
 
 @query
@@ -548,6 +553,37 @@ def annotate_with_failures(spark, d):
     return done.select("external_id", "AM_output")
 
 
+@query
+def resume_arguments(spark, d):
+    """A run in which batches fail, then the same run over the rows that are left.
+
+    The second run asks only for what has no answer; no row stays without one.
+    """
+    keep = {"run_id": "r", "responses_path": scratch_path(spark, "answers")}
+    frame = tables.argument_frame(spark, d)
+    first = store(argument_mine(frame, model=stub.failing_argument_model, **keep), "first")
+    second = argument_mine(first, model=stub.argument_model, **keep)
+    return second.select("external_id", "AM_output")
+
+
+@query
+def reply_rejects(spark, d):
+    """Pages that are an error object, hold a null or an element without id: outcome and error."""
+    pages = tables.reply_pages(spark, d)
+    rows = tables.thread_posts(spark, d).select(
+        F.col("url").alias("post_url"), F.expr("root_id div 1000 % 4").alias("kind")
+    )
+    broken = rows.where("kind > 0").select(
+        "post_url",
+        F.when(F.col("kind") == 1, F.lit('{"error": "Record not found"}'))
+        .when(F.col("kind") == 2, F.lit("[null]"))
+        .otherwise(F.lit('[{"content": "no id"}]')).alias("page"),
+    )
+    good = pages.join(rows.where("kind = 0").select("post_url"), "post_url", "left_semi")
+    _, _, counts = collect.get_comments(rows, good.unionByName(broken))
+    return counts.select("post_url", "n_replies", "error")
+
+
 @query
 def am_output_projection(spark, d):
     frame = tables.argument_frame(spark, d)
@@ -578,7 +614,7 @@ def _conversation_stream(spark, d):
 @query
 def stream_replies(spark, d):
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
-    rows = jobs.first_seen(_conversation_stream(spark, d), ["id"])
+    rows = jobs.first_seen(_conversation_stream(spark, d), ["id"], "created_at")
     jobs.append_stream(rows, out, checkpoint).awaitTermination()
     return spark.read.schema(rows.schema).parquet(out).select("id", "in_reply_to_id", "content")
 
@@ -624,5 +660,26 @@ def stream_annotate(spark, d):
         return stance_detect(linked, model=stub.stance_model, null_text="nan")
 
     rows = _conversation_stream(spark, d).withColumnRenamed("id", "external_id")
-    jobs.annotate_stream(rows, annotate, out, checkpoint, "SD_output").awaitTermination()
-    return spark.read.parquet(out).select("external_id", "SD_output")
+    jobs.annotate_stream(
+        rows, annotate, out, checkpoint, "SD_output", event_time="created_at"
+    ).awaitTermination()
+    return jobs.latest_results(spark, out, "SD_output").select("external_id", "SD_output")
+
+
+@query
+def stream_retry(spark, d):
+    """A stream whose model fails for some batches; open rows are sent again without new files."""
+    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
+    schema = tables.table(spark, d, "documents").schema
+    rows = jobs.landed_stream(spark, d, schema, files="documents.parquet").select(
+        F.col("doc_id").alias("external_id"), F.col("text").alias("content")
+    )
+
+    def annotate_with(model):
+        return lambda batch: argument_mine(batch, model=model, null_text="nan")
+
+    jobs.annotate_stream(
+        rows, annotate_with(stub.failing_argument_model), out, checkpoint, "AM_output"
+    ).awaitTermination()
+    jobs.retry_open(spark, annotate_with(stub.argument_model), out, "AM_output")
+    return jobs.latest_results(spark, out, "AM_output").select("external_id", "AM_output")

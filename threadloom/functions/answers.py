@@ -13,25 +13,50 @@ from threadloom.functions.text import strip
 # Fixed value: what a row gets whose id the answer does not contain.
 MISSING_ID = "ERROR: HALLUCINATION"
 
-# One answer item, as the instructions ask for it. The value may be unquoted
-# and may hold brackets or line breaks; the item ends where the next begins.
-ANSWER_ITEM = (
-    r'(?s)\[\s*id:\s*(\d+)\s*,\s*annotation:\s*"?(.*?)"?\s*\]'
-    r"(?=\s*,?\s*(?:\[\s*id:|\]|$))"
-)
-
-
-def item_ids(output: Column) -> Column:
-    """Strict mode: ids of the well-formed items, in answer order."""
-    return F.transform(
-        F.regexp_extract_all(output, F.lit(ANSWER_ITEM), F.lit(1)),
-        lambda text: text.try_cast("bigint"),
+# Where an answer item begins; keys and id may be quoted.
+ITEM_START = r"""\[\s*"?id"?\s*:\s*"?(\d+)"?\s*,\s*"?annotation"?\s*:"""
+# A value in quotes ends at its first quote that is followed by a bracket.
+_QUOTED = r'(?s)^\s*"(.*?)"\s*\]'
+# Any other value ends at the last bracket before the next item.
+_PLAIN = r"(?s)^\s*\"?(.*)\]"
+# The bracket that closes the list of all items.
+_LIST_END = r'(?s)"?\s*\]\s*[,;]?\s*$'
+
+
+def _items(output: Column) -> Column:
+    """The text of every item, from its start to that of the next."""
+    return F.split(output, rf"(?={ITEM_START})", -1)
+
+
+def _value(item: Column) -> Column:
+    rest = F.regexp_replace(item, rf"(?s)^{ITEM_START}", "")
+    plain = F.regexp_extract(rest, _PLAIN, 1)
+    # More closing than opening brackets: the last one closes the list.
+    opened = F.length(plain) - F.length(F.replace(plain, F.lit("["), F.lit("")))
+    closed = F.length(plain) - F.length(F.replace(plain, F.lit("]"), F.lit("")))
+    bare = F.when(closed > opened, F.regexp_replace(plain, _LIST_END, "")).otherwise(
+        F.regexp_replace(plain, r'"?\s*$', "")
     )
+    return F.when(rest.rlike(_QUOTED), F.regexp_extract(rest, _QUOTED, 1)).when(
+        rest.rlike(_PLAIN), bare
+    )
+
 
+def found_items(output: Column) -> Column:
+    """Strict mode: (id, value) of the well-formed items, in answer order.
 
-def item_values(output: Column) -> Column:
-    """Strict mode: the values beside ``item_ids``."""
-    return F.regexp_extract_all(output, F.lit(ANSWER_ITEM), F.lit(2))
+    An item begins at ``[id: <number>, annotation:`` and never reaches into the
+    next one, whatever stands between and after the items: commas, semicolons,
+    numbering, a code fence or prose.
+    """
+    items = F.transform(
+        _items(output),
+        lambda item: F.struct(
+            F.regexp_extract(item, rf"^{ITEM_START}", 1).try_cast("bigint").alias("id"),
+            _value(item).alias("value"),
+        ),
+    )
+    return F.filter(items, lambda item: item["id"].isNotNull() & item["value"].isNotNull())
 
 
 def id_marks(ids: Column, output: Column) -> Column:

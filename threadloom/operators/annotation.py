@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from threadloom.session import runtime_conf, scratch_path
+from threadloom.session import runtime_conf, scratch_path, store
 
 # A model takes (prompt, system prompt) and returns text; a factory makes one
 # per task, so clients and connections are never shipped from the driver.
@@ -64,6 +64,27 @@ def model_responses(requests: DataFrame, factory: ModelFactory, system_prompt: s
     return requests.select("batch_id", "ids", "prompt").mapInArrow(run, RESPONSE)
 
 
+def _responses_at(spark: SparkSession, path: str, run_id: str | None) -> str:
+    """The folder of one run's answers, made if it is not there."""
+    if run_id is None:
+        raise ValueError("answers kept at a path need a run_id")
+    target = f"{path.rstrip('/')}/run_id={run_id}"
+    spark.createDataFrame([], RESPONSE).write.mode("append").parquet(target)
+    return target
+
+
+def stored_answers(spark: SparkSession, path: str, run_id: str | None) -> DataFrame:
+    """One answer with text per request (batch_id, ids) of a run; of several the same one always."""
+    return (
+        spark.read.schema(RESPONSE)
+        .parquet(_responses_at(spark, path, run_id))
+        .where("output IS NOT NULL")
+        .groupBy("batch_id", "ids")
+        .agg(F.min("output").alias("output"))
+        .withColumn("error", F.lit(None).cast("string"))
+    )
+
+
 def call_model(
     requests: DataFrame,
     factory: ModelFactory,
@@ -75,8 +96,9 @@ def call_model(
 
     Answers are written before anything reads them, so no later join, action or
     lost executor repeats paid calls. With ``path`` they are kept there under
-    ``run_id``, which names one run over one input: repeating it after a crash
-    or failed calls sends only the batches that have no answer yet.
+    ``run_id``; repeating a run after a crash or failed calls sends only the
+    requests, known by their batch and ids, that have no answer yet. Only the
+    answers to ``requests`` come back.
     """
     spark = requests.sparkSession
     with runtime_conf(
@@ -86,21 +108,19 @@ def call_model(
             target = scratch_path(spark, "responses")
             model_responses(requests, factory, system_prompt).write.parquet(target)
             return spark.read.schema(RESPONSE).parquet(target)
-        if run_id is None:
-            raise ValueError("answers kept at a path need a run_id")
-        target = f"{path.rstrip('/')}/run_id={run_id}"
-        spark.createDataFrame([], RESPONSE).write.mode("append").parquet(target)
-        answered = spark.read.schema(RESPONSE).parquet(target).where("output IS NOT NULL")
-        open_requests = requests.join(answered.select("batch_id"), "batch_id", "left_anti")
+        target = _responses_at(spark, path, run_id)
+        wanted = store(requests.select("batch_id", "ids"), "requests")
+        answered = stored_answers(spark, path, run_id).select("batch_id", "ids")
+        open_requests = requests.join(answered, ["batch_id", "ids"], "left_anti")
         # A finished task's answers stay even if the job as a whole fails.
         model_responses(open_requests, factory, system_prompt).write.mode("append").option(
             "mapreduce.fileoutputcommitter.algorithm.version", "2"
         ).parquet(target)
-    kept = F.max_by(F.struct("ids", "output", "error"), F.col("output").isNotNull())
+    every = spark.read.schema(RESPONSE).parquet(target)
+    rank = F.struct(F.col("output").isNull(), "output", "error")
     return (
-        spark.read.schema(RESPONSE)
-        .parquet(target)
-        .groupBy("batch_id")
-        .agg(kept.alias("_kept"))
-        .select("batch_id", "_kept.*")
+        every.join(wanted, ["batch_id", "ids"], "left_semi")
+        .groupBy("batch_id", "ids")
+        .agg(F.min_by(F.struct("output", "error"), rank).alias("_kept"))
+        .select("batch_id", "ids", "_kept.*")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -28,11 +28,12 @@ def duplicate_stats(df: DataFrame, key: str = "url") -> DataFrame:
     )
 
 
-def keep_first(df: DataFrame, key: str = "url", order_by: Sequence[str] = ("file", "pos")) -> DataFrame:
-    """First row per key along ``order_by``; null keys are one key.
+def keep_first(df: DataFrame, key: str = "url", order_by: Sequence[str | Column] = ("file", "pos")) -> DataFrame:
+    """First row per key along ``order_by``, nulls last; null keys are one key.
 
     Each input task keeps one row per key before the shuffle, so a key that
     fills a third of the table still reaches its task as one row per input task.
     """
-    w = Window.partitionBy(key).orderBy(*order_by)
+    order = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by]
+    w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") == 1).drop("_nth")

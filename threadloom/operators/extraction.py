@@ -4,28 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from threadloom.functions.answers import MISSING_ID, id_marks, item_ids, item_values, slices
+from threadloom.functions.answers import MISSING_ID, found_items, id_marks, slices
 
 
 def _found_strict(responses: DataFrame) -> DataFrame:
-    output = F.col("output")
-    return responses.withColumns(
-        {
-            "_ids": item_ids(output),
-            "_values": item_values(output),
-            "_answered": output.isNotNull(),
-        }
-    )
+    return responses.withColumn("_found", found_items(F.col("output")))
 
 
 def _found_compat(responses: DataFrame) -> DataFrame:
-    output, marks = F.col("output"), F.col("_marks")
-    return responses.withColumn("_marks", id_marks(F.col("ids"), output)).withColumns(
-        {
-            "_ids": marks["id"],
-            "_values": slices(marks, output),
-            "_answered": output.isNotNull(),
-        }
+    marks, output = F.col("_marks"), F.col("output")
+    values = F.transform(slices(marks, output), lambda value: value)
+    return (
+        responses.withColumn("_marks", id_marks(F.col("ids"), output))
+        .withColumn(
+            "_found",
+            F.zip_with(
+                marks, values, lambda mark, value: F.struct(mark["id"].alias("id"), value.alias("value"))
+            ),
+        )
+        .drop("_marks")
     )
 
 
@@ -37,28 +34,25 @@ def extract(responses: DataFrame, mode: str = "strict") -> DataFrame:
 
     A result is the answer's value (of repeated ids the first), or the
     missing-id marker where the answer lacks the id, or null where the whole
-    batch failed. Answers are searched once each, below the explode, which
-    keeps the search from being repeated for every id.
+    batch failed. Answers are searched once each and only (id, result) is exploded.
     """
-    at = F.array_position("_ids", F.col("id")).cast("int")
-    found = F.when(at > 0, F.try_element_at("_values", at))
+    def lookup(pos_id):
+        at = F.array_position("_found.id", pos_id).cast("int")
+        return F.when(at > 0, F.try_element_at("_found.value", at))
+
+    results = F.transform(
+        "ids",
+        lambda i, pos: F.struct(
+            pos.cast("bigint").alias("pos"),
+            i.alias("id"),
+            F.when(F.col("output").isNotNull(), F.coalesce(lookup(i), F.lit(MISSING_ID))).alias("result"),
+        ),
+    )
     return (
         MODES[mode](responses)
-        .select(
-            "batch_id",
-            F.posexplode("ids").alias("pos", "id"),
-            "_ids",
-            "_values",
-            "_answered",
-            "error",
-        )
-        .select(
-            "batch_id",
-            F.col("pos").cast("bigint").alias("pos"),
-            "id",
-            F.when(F.col("_answered"), F.coalesce(found, F.lit(MISSING_ID))).alias("result"),
-            "error",
-        )
+        .select("batch_id", results.alias("_results"), "error")
+        .select("batch_id", F.explode("_results").alias("_r"), "error")
+        .select("batch_id", "_r.pos", "_r.id", "_r.result", "error")
     )
 
 

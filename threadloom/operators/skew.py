@@ -6,30 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from threadloom.session import store
+
 # Rows of one key that one task takes without trouble.
 HEAVY_ROWS = 500_000
-# A heavy key also holds more than this share of all rows, so there are at most
-# 1 / HEAVY_SHARE of them and the list is safe to broadcast at any scale.
-HEAVY_SHARE = 1 / 100_000
 # Null keys match nothing; they are only kept from piling up in one task.
 _NULL_FAN = 1 << 16
 
 
-def heavy_keys(
-    df: DataFrame, key: str, rows: int = HEAVY_ROWS, share: float = HEAVY_SHARE
-) -> DataFrame:
-    """(key, _fan): keys that would overload a task, and the tasks each needs.
+def heavy_keys(df: DataFrame, key: str, rows: int = HEAVY_ROWS) -> DataFrame:
+    """(key, _fan): keys of more than ``rows`` rows, and the tasks each needs.
 
-    Counted with map-side partial sums over the key column alone. At most
-    1 / share rows come back, whatever the size of ``df``.
+    Counted with map-side partial sums over the key column alone. There are at
+    most count(df) / rows of them.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counted = F.count(F.lit(1))
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(counted.alias("_rows"))
-        .where(F.col("_rows") > F.greatest(F.lit(float(rows)), total * F.lit(share)))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > rows)
         .select(key, F.ceil(F.col("_rows") / rows).cast("int").alias("_fan"))
     )
 
@@ -41,23 +36,19 @@ def lookup_join(
     spread_by: Sequence[str],
     how: str = "left",
     rows: int = HEAVY_ROWS,
-    share: float = HEAVY_SHARE,
-    n_facts: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``, whose ``key`` is unique, without hot tasks.
 
     Rows of a heavy key are dealt to as many salts as it fills tasks, by a hash
     of ``spread_by``, and only that key's single lookup row is copied to every
     salt: all copies together are at most count(facts) / rows. The result is
-    that of the plain equi-join on ``key``; a small lookup is still broadcast
-    when Spark measures it below its threshold. ``n_facts``, when known, spares
-    the search for heavy keys where there are too few rows for one.
+    that of the plain equi-join on ``key``. The list of heavy keys is stored
+    first, so Spark knows its true size when it decides whether to broadcast
+    it; the same holds for a lookup table that it can measure.
     """
     if how not in ("left", "inner"):
         raise ValueError("lookup_join does left and inner joins")
-    if n_facts is not None and n_facts <= rows:
-        return facts.join(lookup, key, how)
-    heavy = F.broadcast(heavy_keys(facts, key, rows, share))
+    heavy = store(heavy_keys(facts, key, rows), "heavy")
     spread = F.xxhash64(*spread_by)
     salted = (
         facts.join(heavy, key, "left")

@@ -8,28 +8,39 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from threadloom import schemas
 from threadloom.functions.text import url_tail
+from threadloom.operators.combine import keep_first
 from threadloom.operators.skew import lookup_join
 from threadloom.session import store
 
 # ISO-8601 as the social API writes it.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS]X"
-# Spark prunes "row_number() <= n" before the shuffle only up to this n.
-_GROUP_LIMIT = 1000
 
 
 def parse_pages(
-    pages: DataFrame, page: str = "page", schema: T.DataType = schemas.REPLY_PAGE
+    pages: DataFrame,
+    page: str = "page",
+    schema: T.DataType = schemas.REPLY_PAGE,
+    error: str | None = None,
 ) -> DataFrame:
     """JSON text of a page -> list of reply objects; null when not readable.
 
-    Absent keys become null and unknown keys are dropped, both by the schema.
-    Pages that are lists already stay as they are.
+    A page is readable when it is a JSON list and each of its elements is an
+    object with an id; an error object, a null element or a reply without id
+    makes the page unreadable as a whole. Absent keys become null and unknown
+    keys are dropped, both by the schema. Pages that are lists already are
+    checked in the same way. ``error`` names a column for the page's own error
+    text, if it is an error object.
     """
-    if not isinstance(pages.schema[page].dataType, T.StringType):
-        return pages
-    return pages.withColumn(
-        page, F.from_json(F.col(page), schema, {"timestampFormat": TIMESTAMP_FORMAT})
-    )
+    text = isinstance(pages.schema[page].dataType, T.StringType)
+    raw = F.col(page)
+    parsed = F.from_json(raw, schema, {"timestampFormat": TIMESTAMP_FORMAT}) if text else raw
+    whole = F.forall(parsed, lambda reply: reply.isNotNull() & reply["id"].isNotNull() & (reply["id"] != ""))
+    if text:
+        whole &= F.ltrim(raw).startswith("[")
+    columns = {page: F.when(whole, parsed)}
+    if error is not None:
+        columns[error] = F.get_json_object(raw, "$.error") if text else F.lit(None).cast("string")
+    return pages.withColumns(columns)
 
 
 def unnest_page(pages: DataFrame, page: str = "page") -> DataFrame:
@@ -104,6 +115,16 @@ def direct_replies(replies: DataFrame, post_id: Column, only_first: bool = True)
     return replies.where(F.col("in_reply_to_id") == post_id) if only_first else replies
 
 
+def one_per_id(rows: DataFrame, key: str = "id") -> DataFrame:
+    """One row per non-null ``key``; of different rows always the same one.
+
+    Landed tables repeat rows by design. Rows without a key all stay.
+    """
+    digest = F.xxhash64(*[F.col(c) for c in rows.columns])
+    known = keep_first(rows.where(F.col(key).isNotNull()), key, [digest])
+    return known.unionByName(rows.where(F.col(key).isNull()))
+
+
 def oldest_n(
     replies: DataFrame,
     n: int | None = 40,
@@ -113,24 +134,30 @@ def oldest_n(
 ) -> DataFrame:
     """The ``n`` oldest rows per post, all when ``n`` is None, none below 1.
 
-    Catalyst keeps at most n rows per post and input task before it shuffles.
-    Above its limit for that, a hot post is thinned by salt first.
+    Nulls come last. The rows are chosen on narrow columns, per post and salt
+    and then per post, so a hot post is thinned in many tasks; only the chosen
+    rows are then fetched with all their columns.
     """
     if n is None:
         return replies
     if n < 1:
         return replies.limit(0)
+    order = [F.asc_nulls_last(c) for c in order_by]
 
     def first_rows(df: DataFrame, *keys: str) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order_by)
+        w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= n).drop("_nth")
 
-    if n > _GROUP_LIMIT:
-        salted = replies.withColumn(
-            "_salt", F.pmod(F.xxhash64(*order_by), F.lit(salts)).cast("int")
-        )
-        replies = first_rows(salted, post, "_salt").drop("_salt")
-    return first_rows(replies, post)
+    names = list(dict.fromkeys([post, *order_by]))
+    narrow = replies.select(*names).withColumn(
+        "_salt", F.pmod(F.xxhash64(*order_by), F.lit(salts)).cast("int")
+    )
+    chosen = first_rows(first_rows(narrow, post, "_salt"), post).select(
+        *[F.col(c).alias(f"_{c}") for c in names]
+    ).distinct()
+    match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
+    # Equal rows are all fetched, so they are counted once more.
+    return first_rows(replies.join(chosen, match, "left_semi"), post)
 
 
 def thread_replies(posts: DataFrame, replies: DataFrame, post: str = "root_id") -> DataFrame:
@@ -150,17 +177,18 @@ def pull_comments(
     top_num: int = 40,
     url: str = "url",
 ) -> DataFrame:
-    """The oldest ``top_num`` (or all) replies to every post.
+    """Replies per post: the first ``top_num`` by time, or all of them.
 
     The post id is the last segment of the post's URL. ``replies`` carries
-    ``root_id``, the id of the thread's first post.
+    ``root_id``, the id of the thread's first post. A post that is listed more
+    than once counts once, and so does a reply that landed more than once.
     """
     if top_num < 1:
         return pull_comments(posts, replies, True, only_first, url=url).limit(0)
     keyed = posts.select(
         url_tail(F.col(url)).try_cast("bigint").alias("root_id"), F.col(url).alias("post_url")
-    ).where(F.col("root_id").isNotNull())
-    descendants = replies.where(F.col("id") != F.col("root_id"))
+    ).where(F.col("root_id").isNotNull()).groupBy("root_id").agg(F.min("post_url").alias("post_url"))
+    descendants = one_per_id(replies.where(F.col("id") != F.col("root_id")))
     if only_first:
         descendants = direct_replies(descendants, F.col("root_id"))
     pulled = thread_replies(keyed, descendants)
@@ -176,12 +204,16 @@ def reply_counts(posts: DataFrame, replies: DataFrame, post: str = "root_id") ->
 
 
 def link_parents(replies: DataFrame, **skew) -> DataFrame:
-    """Add PARENT_URL and PARENT_content of the directly answered post."""
+    """Add PARENT_URL and PARENT_content of the directly answered post.
+
+    A post that landed more than once counts once.
+    """
+    replies = one_per_id(replies)
     parents = replies.select(
         F.col("id").alias("in_reply_to_id"),
         F.col("url").alias("PARENT_URL"),
         F.col("content").alias("PARENT_content"),
-    )
+    ).where(F.col("in_reply_to_id").isNotNull())
     return lookup_join(replies, parents, "in_reply_to_id", spread_by=["id"], **skew)
 
 
@@ -196,10 +228,13 @@ def thread_depth(links: DataFrame, **skew) -> DataFrame:
 
     Returns id, root_id, reply_depth and ``status``: ``root`` or ``reply``;
     ``orphan`` when the parent is not in the table, which makes the post a root
-    of its own; ``cycle`` (null root and depth) when the pointers never end.
+    of its own; ``cycle`` (null root and depth) when the pointers never end. An
+    id that landed more than once counts once.
     """
-    links = links.select("id", "in_reply_to_id")
-    known = links.select(F.col("id").alias("in_reply_to_id"), F.lit(True).alias("_known"))
+    links = store(one_per_id(links.select("id", "in_reply_to_id")), "depth-links")
+    known = links.where(F.col("id").isNotNull()).select(
+        F.col("id").alias("in_reply_to_id"), F.lit(True).alias("_known")
+    )
     first = lookup_join(links, known, "in_reply_to_id", spread_by=["id"], **skew)
     is_top = F.col("_known").isNull()
     last = store(
@@ -224,7 +259,7 @@ def thread_depth(links: DataFrame, **skew) -> DataFrame:
             F.col("done").alias("up_done"),
         )
         moved = lookup_join(
-            last.where(~F.col("done")), above, "up", ["id"], "inner", n_facts=open_now, **skew
+            last.where(~F.col("done")), above, "up", ["id"], "inner", **skew
         ).select(
             "id",
             F.col("up_up").alias("up"),

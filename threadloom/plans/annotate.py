@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from threadloom.operators import batching, threads
-from threadloom.operators.annotation import ModelFactory, call_model
+from threadloom.operators.annotation import ModelFactory, call_model, stored_answers
 from threadloom.operators.extraction import attach, extract
 from threadloom.operators.numbering import number_stored
 from threadloom.templates import (
@@ -21,12 +21,13 @@ from threadloom.templates import (
 
 # Model calls per task: what a lost task has to repeat.
 REQUESTS_PER_TASK = 50
-MAX_TASKS = 50_000
+# Tasks of one Spark job; a larger run is a series of jobs that each store answers.
+TASKS_PER_JOB = 20_000
 
 
 def task_count(n_rows: int, batch_size: int, requests_per_task: int = REQUESTS_PER_TASK) -> int:
     requests = math.ceil(n_rows / batch_size)
-    return min(MAX_TASKS, max(1, math.ceil(requests / requests_per_task)))
+    return max(1, math.ceil(requests / requests_per_task))
 
 
 def prepare_stances(replies: DataFrame, posts: DataFrame | None = None) -> DataFrame:
@@ -53,6 +54,18 @@ def prepare_stances(replies: DataFrame, posts: DataFrame | None = None) -> DataF
     return threads.rename_for_annotation(linked.join(depths, "id", "left"))
 
 
+def answered_items(
+    spark: SparkSession, responses_path: str, run_id: str | None, mode: str = "strict"
+) -> DataFrame:
+    """(external_id, _known): one stored result per item of an earlier run."""
+    return (
+        extract(stored_answers(spark, responses_path, run_id), mode)
+        .where(F.col("result").isNotNull() & F.col("id").isNotNull())
+        .groupBy(F.col("id").alias("external_id"))
+        .agg(F.min(F.struct("batch_id", "pos", "result"))["result"].alias("_known"))
+    )
+
+
 def _annotate(
     df: DataFrame,
     wanted: Column,
@@ -81,6 +94,15 @@ def _annotate(
         for text in texts:
             sendable &= F.col(text).isNotNull()
     chosen = F.coalesce(wanted & sendable, F.lit(False))
+    if responses_path is not None:
+        # What an earlier run of this id got for an item is not asked again.
+        known = answered_items(df.sparkSession, responses_path, run_id, mode)
+        df = df.join(known, "external_id", "left").withColumn(
+            result, F.when(chosen, F.coalesce("_known", F.col(result))).otherwise(F.col(result))
+        )
+        chosen = chosen & F.col("_known").isNull()
+        frame = df.withColumn("_chosen", chosen).drop("_known")
+        df, chosen = frame, F.col("_chosen")
     if carry_rest:
         # Few rows stay behind: they are stored after the others, and ``df``,
         # which may hold a wide join, is computed once.
@@ -93,15 +115,21 @@ def _annotate(
         numbered, stored = number_stored(df.where(chosen), order_by)
         rest = df.where(~chosen)
     n_rows = stored.count()  # from Parquet footers
-    requests = requests_of(
-        batching.with_batch(numbered, size),
-        user_template=user_template,
-        tasks=max(task_count(n_rows, size, requests_per_task), parallelism or 1),
-        null_text=null_text,
-    )
-    responses = call_model(requests, model, system_prompt, run_id, responses_path)
+    batched = batching.with_batch(numbered, size)
+    per_job = TASKS_PER_JOB * requests_per_task
+    responses = None
+    for first in range(0, max(1, math.ceil(n_rows / size)), per_job):
+        last = min(n_rows, (first + per_job) * size)
+        requests = requests_of(
+            batched.where(F.col("batch_id").between(first, first + per_job - 1)),
+            user_template=user_template,
+            tasks=max(task_count(last - first * size, size, requests_per_task), parallelism or 1),
+            null_text=null_text,
+        )
+        answers = call_model(requests, model, system_prompt, run_id, responses_path)
+        responses = answers if responses is None else responses.unionByName(answers)
     done = attach(numbered, extract(responses, mode), size, result).drop("rn")
-    return done.unionByName(rest)
+    return done.unionByName(rest).drop("_chosen")
 
 
 def argument_mine(

@@ -13,6 +13,10 @@ from threadloom.session import store
 from threadloom.sources.readers import FILE_ORDER, read_files
 
 
+# What the log says of a post whose page is neither a list of replies nor an error object.
+UNREADABLE = "page not readable"
+
+
 @dataclass(frozen=True)
 class Collected:
     """What one collection run yields: frames over the matched replies."""
@@ -33,26 +37,28 @@ def get_comments(
     each of the three results reads other columns of it.
 
     A post with a page that cannot be read fails as a whole: it gives no rows,
-    and a null count.
+    a null count and the page's own error text, if it has one.
     """
     matched = lookup_join(pages, posts.select("post_url"), "post_url", ["page"], how="inner")
     parsed = store(
-        threads.parse_pages(matched)
+        threads.parse_pages(matched, error="_error")
         .withColumn("_readable", F.col("page").isNotNull())
         .withColumn("_replies", F.coalesce(F.size("page"), F.lit(0))),
         "pages",
     )
     totals = parsed.groupBy("post_url").agg(
-        F.sum("_replies").alias("_n"), F.bool_and("_readable").alias("_good")
+        F.sum("_replies").alias("_n"),
+        F.bool_and("_readable").alias("_good"),
+        F.min(F.when(~F.col("_readable"), F.coalesce("_error", F.lit(UNREADABLE)))).alias("error"),
     )
     counts = posts.select("post_url").join(totals, "post_url", "left").select(
         "post_url",
         F.when(F.coalesce("_good", F.lit(True)), F.coalesce("_n", F.lit(0))).alias("n_replies"),
+        "error",
     )
     readable = parsed.select("post_url", "page")
     broken = parsed.where(~F.col("_readable")).select("post_url")
-    if not broken.isEmpty():
-        readable = readable.join(broken, "post_url", "left_anti")
+    readable = readable.join(broken, "post_url", "left_anti")
     objects = threads.unnest_page(readable)
     return threads.reply_rows(objects), threads.author_rows(objects), counts
 
@@ -88,13 +94,8 @@ def compile_thread(
     good = tried.where(F.col("error").isNull()).select("post_url").distinct()
     replies, authors, counts = get_comments(good, pages)
     outcomes = (
-        tried.join(counts.withColumn("_counted", F.lit(True)), "post_url", "left")
-        .withColumn(
-            "error",
-            F.when(
-                F.col("_counted") & F.col("n_replies").isNull(), "page not readable"
-            ).otherwise(F.col("error")),
-        )
+        tried.join(counts.withColumnRenamed("error", "_page_error"), "post_url", "left")
+        .withColumn("error", F.coalesce("error", "_page_error"))
         .select(
             "row",
             F.when(F.col("error").isNull(), 1).otherwise(0).alias("scraped"),

@@ -57,7 +57,7 @@ REPLY_TEXT_ROW = T.StructType(
 )
 AUTHOR_ROW = _struct(
     username=S, followers_count=L, following_count=L, created_at=TS, url=S,
-    id=L, note=S, bot=B, verified=B,
+    id=S, note=S, bot=B, verified=B,
 )
 
 # Column lists of the collected files.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -67,7 +68,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="threadloom-"))
     return context.getCheckpointDir().rstrip("/")

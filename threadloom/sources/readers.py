@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -59,20 +59,17 @@ def read_csv(
     """CSV files or globs with a header each, aligned by column name.
 
     One Spark reader takes the column order of a single header for all files,
-    so files are grouped by header and each group gets its own reader. Only
-    the first line of each file is looked at for that.
+    so files are grouped by header and each group gets its own reader. One job
+    over all files finds the headers, however many files there are; there is a
+    reader per different header. A header is one line.
 
     ``file_order`` adds ``file``, ``block`` and ``pos`` for keep-first rules.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     options = {**CSV_OPTIONS, **options}
-    files = spark.read.format("text").load(paths).inputFiles()
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(
-            pool.map(lambda f: tuple(spark.read.options(**options).csv(f).columns), files)
-        )
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for file, header in zip(files, headers):
+    for file, line in _first_lines(spark, paths):
+        header = tuple(next(csv.reader([line.removeprefix("\ufeff")], _dialect(options)), ()))
         if header:  # an empty file has none
             by_header[header].append(file)
     types = {f.name: f.dataType for f in schema.fields}
@@ -89,6 +86,24 @@ def read_csv(
     return union_by_name(frames)
 
 
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, str]]:
+    """(file, first line) of every file that is not empty; one row per file."""
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), place.alias("place"), "value"
+    )
+    first = lines.where(F.col("value") != "").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    return [tuple(row) for row in first.orderBy("file").collect()]
+
+
+def _dialect(options: dict[str, str]) -> type[csv.Dialect]:
+    class Header(csv.excel):
+        delimiter = options.get("sep", options.get("delimiter", ","))
+        quotechar = options.get("quote", '"')
+
+    return Header
+
+
 def read_files(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -44,16 +44,13 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
 
 
 def first_seen(
-    rows: DataFrame, keys: Sequence[str], event_time: str | None = None, delay: str = "1 day"
+    rows: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day"
 ) -> DataFrame:
     """Drop repeats of already seen keys.
 
-    With ``event_time`` the state is bounded: a key is forgotten ``delay``
-    after its time. The time column is cast, because a watermark needs a
-    zoned timestamp.
+    The state is bounded: a key is forgotten ``delay`` after its ``event_time``.
+    The time column is cast, because a watermark needs a zoned timestamp.
     """
-    if event_time is None:
-        return rows.dropDuplicates(list(keys))
     return (
         rows.withColumn(event_time, rows[event_time].cast("timestamp"))
         .withWatermark(event_time, delay)
@@ -91,6 +88,77 @@ def collect_stream(
     )
 
 
+def _result_schema(result: str, item_id: str) -> T.StructType:
+    return T.StructType(
+        [T.StructField(item_id, T.LongType()), T.StructField(result, T.StringType())]
+    )
+
+
+def _table_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table of folders ``epoch=...``, made if it is not there."""
+    by_epoch = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
+    spark.createDataFrame([], by_epoch).write.mode("append").partitionBy("epoch").parquet(path)
+    return spark.read.schema(by_epoch).parquet(path)
+
+
+def latest_results(
+    spark: SparkSession, results_path: str, result: str, item_id: str = "external_id"
+) -> DataFrame:
+    """One row per item: its latest result that is not empty, else null."""
+    rows = _table_at(spark, f"{results_path}/results", _result_schema(result, item_id))
+    filled = F.when(F.col(result) != "", F.col(result))
+    return rows.groupBy(item_id).agg(
+        F.max(F.when(filled.isNotNull(), F.struct(F.col("epoch"), filled.alias("value"))))["value"]
+        .alias(result)
+    )
+
+
+def _annotate_epoch(
+    fresh: DataFrame,
+    annotate: Callable[[DataFrame], DataFrame],
+    results_path: str,
+    epoch: int,
+    result: str,
+    item_id: str,
+) -> None:
+    """Results of one epoch, and the rows that got none, each in a folder it replaces."""
+    spark = fresh.sparkSession
+    fresh.write.mode("overwrite").parquet(f"{results_path}/sent/epoch={epoch}")
+    sent = spark.read.schema(fresh.schema).parquet(f"{results_path}/sent/epoch={epoch}")
+    annotate(sent).select(item_id, result).write.mode("overwrite").parquet(
+        f"{results_path}/results/epoch={epoch}"
+    )
+    done = spark.read.schema(_result_schema(result, item_id)).parquet(
+        f"{results_path}/results/epoch={epoch}"
+    ).where(F.col(result).isNotNull() & (F.col(result) != ""))
+    sent.join(done, item_id, "left_anti").write.mode("overwrite").parquet(
+        f"{results_path}/open/epoch={epoch}"
+    )
+
+
+def retry_open(
+    spark: SparkSession,
+    annotate: Callable[[DataFrame], DataFrame],
+    results_path: str,
+    result: str,
+    item_id: str = "external_id",
+) -> None:
+    """Send the rows again that no epoch has answered, whether new files came or not.
+
+    Retries are epochs below zero, counted down, so they never meet a stream's.
+    """
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{results_path}/open")
+    answered = latest_results(spark, results_path, result, item_id).where(F.col(result).isNotNull())
+    still_open = (
+        rows.join(answered, item_id, "left_anti").drop("epoch").dropDuplicates([item_id])
+    )
+    epochs = _table_at(spark, f"{results_path}/results", _result_schema(result, item_id))
+    lowest = epochs.agg(F.min("epoch")).first()[0]
+    _annotate_epoch(
+        still_open, annotate, results_path, min(0, lowest if lowest is not None else 0) - 1, result, item_id
+    )
+
+
 def annotate_stream(
     rows: DataFrame,
     annotate: Callable[[DataFrame], DataFrame],
@@ -98,34 +166,32 @@ def annotate_stream(
     checkpoint: str,
     result: str,
     item_id: str = "external_id",
+    event_time: str | None = None,
+    delay: str = "1 day",
 ) -> StreamingQuery:
-    """Annotate each micro-batch's rows that have no result yet.
+    """Annotate each micro-batch's rows; rows without an answer stay open.
 
     ``annotate`` is a job on a DataFrame, such as ``stance_detect`` with its
-    model bound. A micro-batch owns one folder of ``results_path`` and replaces
-    it when repeated, so a restart neither loses nor doubles results.
+    model bound. A micro-batch owns one folder of ``results``, ``sent`` and
+    ``open`` under ``results_path`` and replaces it when repeated, so a restart
+    neither loses nor doubles results. Open rows are sent again by
+    ``retry_open``; ``latest_results`` has one row per item.
+
+    Items that land again are not sent again: with ``event_time`` by bounded
+    state (see ``first_seen``), without it by the ids of all earlier answers,
+    which a micro-batch then reads.
     """
-    columns = T.StructType(
-        [
-            T.StructField(item_id, T.LongType()),
-            T.StructField(result, T.StringType()),
-            T.StructField("epoch", T.LongType()),
-        ]
-    )
+    if event_time is not None:
+        rows = first_seen(rows, [item_id], event_time, delay)
 
     def run(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        spark.createDataFrame([], columns).write.mode("append").partitionBy("epoch").parquet(
-            results_path
-        )
-        earlier = spark.read.schema(columns).parquet(results_path)
-        answered = earlier.where(
-            (earlier["epoch"] != epoch) & earlier[result].isNotNull() & (earlier[result] != "")
-        ).select(item_id)
-        fresh = batch.join(answered, item_id, "left_anti")
-        annotate(fresh).select(item_id, result).write.mode("overwrite").parquet(
-            f"{results_path}/epoch={epoch}"
-        )
+        if event_time is None:
+            earlier = _table_at(
+                batch.sparkSession, f"{results_path}/results", _result_schema(result, item_id)
+            )
+            answered = earlier.where((F.col("epoch") != epoch) & (F.col(result) != ""))
+            batch = batch.join(answered.select(item_id), item_id, "left_anti")
+        _annotate_epoch(batch, annotate, results_path, epoch, result, item_id)
 
     return (
         rows.writeStream.foreachBatch(run)
