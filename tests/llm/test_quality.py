@@ -50,11 +50,11 @@ def test_learning_from_nothing(spark):
 
 def test_risk_separates_without_negative_labels():
     rng = np.random.default_rng(1)
-    good = rng.normal(size=(2000, quality.FEATURES))
-    bad = rng.normal(size=(600, quality.FEATURES)) + np.r_[2.5, 2.5, np.zeros(quality.FEATURES - 2)]
-    model = quality.fit(good[:1000], np.concatenate([good[1000:], bad[:300]]), prior=1000 / 1300)
-    assert (quality.apply_model(good, model) >= 0.5).mean() > 0.93
-    assert (quality.apply_model(bad[300:], model) < 0.5).mean() > 0.85
+    good = rng.normal(size=(16_000, quality.FEATURES))
+    bad = rng.normal(size=(4800, quality.FEATURES)) + np.r_[2.5, 2.5, np.zeros(quality.FEATURES - 2)]
+    model = quality.fit(good[:8000], np.concatenate([good[8000:], bad[:2400]]), prior=8000 / 10_400)
+    assert (quality.apply_model(good, model) >= 0.7).mean() > 0.95
+    assert (quality.apply_model(bad[2400:], model) < 0.7).mean() > 0.8
 
 
 def test_style_reads_whole_texts():

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from threadloom.llm.common import blocks, flat, mix, word_hashes, word_spans
+from threadloom.llm.common import block_pairs, blocks, flat, mix, runs, word_hashes, word_spans
 from threadloom.llm.components import components
 from threadloom.session import runtime_conf, store
 
@@ -147,6 +147,35 @@ def _prune(batches):
         yield batch.select(["a", "b"]).take(pa.array(keep))
 
 
+def _meet(batches):
+    """(key, root): a node and a component that holds a likely partner of it.
+
+    All pairs of different components in one pair of blocks of a bucket are
+    looked at. Of two components the smaller sends its nodes (by size, then root).
+    """
+    least = least_matches()
+    for group in runs(batches, ["bucket", "_i", "_j"]):
+        key, root, size, side = (
+            group.column(c).to_numpy() for c in ("key", "root", "size", "_side")
+        )
+        sig = _table(group.column("sig"))
+        same = group.column("_i")[0].as_py() == group.column("_j")[0].as_py()
+        lefts = np.flatnonzero(side == 0)
+        rights = lefts if same else np.flatnonzero(side == 1)
+        met = set()
+        for x in lefts.tolist():
+            others = rights[rights > x] if same else rights
+            others = others[root[others] != root[x]]
+            left = np.broadcast_to(sig[x], (len(others), HASHES))
+            for y in others[likely(left, sig[others], least)].tolist():
+                sends, takes = (x, y) if (size[x], root[x]) < (size[y], root[y]) else (y, x)
+                met.add((int(key[sends]), int(root[takes])))
+        nodes, roots = zip(*sorted(met), strict=True) if met else ((), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["key", "root"]
+        )
+
+
 def _sift(batches):
     """(key, root) of the visiting nodes with a likely partner among the signatures of a room."""
     least = least_matches()
@@ -325,11 +354,12 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
        the threshold falls below ``MISS``, and survivors are checked on full
        sets. A large group of near copies so costs a few pairs per member and
        not a pair for every two of them.
-    3. Where a bucket still holds several components, the nodes of the smaller
-       visit the larger: first its signatures, with the same pruning, then, if a
-       likely partner is there, all its full sets, in blocks. So every pair of a
-       bucket is pruned or checked unless a link already joins its components,
-       and none is emitted.
+    3. Where a bucket still holds several components, its nodes visit the largest
+       one: first its signatures, with the same pruning, then, if a likely
+       partner is there, all its full sets, in blocks. The other components of
+       the bucket are compared by signature in the bucket, in blocks, and the
+       smaller of two that may be linked visits the other. So every pair of a
+       bucket is pruned or checked unless a link already joins its components.
     4. Components of the confirmed links; the smallest doc_id names each.
 
     Nodes are 64-bit keys of the sets: among 10**10 different texts about one
@@ -403,15 +433,32 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     weighed = placed.join(sizes, "root", "left").withColumn(
         "rank", F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.col("root"))
     )
-    # The nodes of the smaller component visit the larger one, whose nodes stay.
-    hosts = weighed.select("bucket", F.col("rank").alias("host")).distinct()
-    meetings = store(
-        weighed.select("bucket", "key", "rank")
-        .join(hosts, "bucket")
+    # The nodes of a bucket visit its largest component; among themselves the
+    # others are compared in the bucket.
+    top = weighed.groupBy("bucket").agg(F.max("rank").alias("host"))
+    others = store(
+        weighed.join(top, "bucket")
         .where(F.col("rank") < F.col("host"))
-        .select("key", F.col("host.root").alias("root"))
+        .select("bucket", "key", "root", F.col("rank.size").alias("size"), F.col("host.root").alias("host")),
+        "others",
+    )
+    meetings = others.select("key", F.col("host").alias("root")).distinct()
+    several = (
+        others.groupBy("bucket")
+        .agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        .where("lo <> hi")
+        .select("bucket")
+    )
+    compared = store(
+        block_pairs(
+            others.drop("host").join(several, "bucket", "left_semi").join(signatures, "key"),
+            "bucket", "key", BLOCK,
+        )
+        .repartition("bucket", "_i", "_j")
+        .sortWithinPartitions("bucket", "_i", "_j")
+        .mapInArrow(_meet, "key bigint, root bigint")
         .distinct(),
-        "meetings",
+        "compared",
     )
     everyone = placed.select("key", "root").distinct().unionByName(
         roots.select(F.col("node").alias("key"), "root")
@@ -419,6 +466,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     likely_meetings = store(
         _rooms(meetings, everyone, signatures.withColumnRenamed("sig", "payload"), BLOCK)
         .mapInArrow(_sift, "key bigint, root bigint")
+        .unionByName(compared)
         .distinct(),
         "likely",
     )

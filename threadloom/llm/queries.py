@@ -46,7 +46,37 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(sized)
 
 
-@query("op2_near_duplicates")
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i:
+      words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3] || ' ' || words[i + 4]) END AS shingles
+  FROM w
+), u AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(shingles) AS shingle FROM s
+), n AS (
+  SELECT s.doc_id, count(shingle) AS n_shingles FROM s LEFT JOIN u ON s.doc_id = u.doc_id GROUP BY s.doc_id
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * shared >= 75 * (a.n_shingles + b.n_shingles - shared)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM n
+  UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x
+), first AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN first ON x = doc_id
+"""
+
+
+@query("op2_near_duplicates", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -92,7 +122,26 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(store(format_chats(turns.unionByName(control)), "chats"))
 
 
-@query("op5_embedding_duplicates")
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM v
+  UNION SELECT reach.x, l.y FROM reach JOIN l ON reach.y = l.x
+), first AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+), n AS (
+  SELECT x, count(*) AS n_links FROM l GROUP BY x
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN first ON first.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
+
+@query("op5_embedding_duplicates", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_duplicates(table(spark, sf_dir, "embeddings"))
 

@@ -16,9 +16,9 @@ SUPPORT = 5  # toxic documents that must hold a feature
 Z = 5.0  # how far its rate must be from that of the other documents
 GRADES = 3  # grades above 0
 PREFIXES = (4, 5, 6, 8)
-STEPS = 300
+STEPS = 600
 RATE = 0.1
-DECAY = 1e-3
+DECAY = 1e-5
 
 # Letters, digits and non-ASCII bytes make words here; the rest reads as a blank.
 _WORD = np.full(256, 0x20, np.uint8)
