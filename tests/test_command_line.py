@@ -51,6 +51,22 @@ def test_stances(spark, folder):
     assert sorted(map(tuple, got)) == [(1, "of 2"), (2, "of 2")]
 
 
+def test_run_is_taken_up_again(spark, folder):
+    rows = spark.createDataFrame(
+        [(1, "x"), (2, None)], "external_id BIGINT, content STRING"
+    ).selectExpr(
+        "*", "string(null) AS AM_output", "string(null) AS SD_output", "1 AS reply_depth", "'u' AS PARENT_URL",
+        "'P' AS PARENT_content",
+    )
+    append_rows(rows, folder("in"))
+    keep = ["--run-id=r", f"--responses-path={folder('answers')}", "--null-text=nan", "--parallelism=2"]
+    for out in ("a", "b"):
+        main(["arguments", f"--input={folder('in')}", f"--out={folder(out)}", "--model=test_annotation:echo", *keep])
+    got = [sorted(map(tuple, spark.read.parquet(folder(out)).collect())) for out in ("a", "b")]
+    assert got[0] == got[1] == [(1, "of 2"), (2, "of 2")]
+    assert spark.read.parquet(folder("answers")).count() == 1
+
+
 def test_authors(spark, folder):
     append_rows(spark.createDataFrame([("a",), ("b",)], "username STRING"), folder("names"))
     append_rows(spark.createDataFrame([{"username": "a"}], schemas.AUTHOR_ROW), folder("profiles"))

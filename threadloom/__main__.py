@@ -1,12 +1,12 @@
 """Command line of the batch jobs, for spark-submit or ``python -m threadloom``.
 
-    collect   --posts P --log L --pages G --landed F --out O [--seed K]
+    collect   --posts P --log L --pages G --landed F --out O [--seed K] [--retry-failed]
     combine   --files GLOB --kind replies|authors --out O
     logs      --files GLOB --out O
     authors   --usernames U --profiles P --out O
     prepare   --input REPLIES --posts P --out O
-    arguments --input I --out O --model module:factory
-    stances   --input I --out O --model module:factory
+    arguments --input I --out O --model module:factory [--run-id R --responses-path A]
+    stances   --input I --out O --model module:factory [--run-id R --responses-path A]
 
 Every table is read and written in ``--format`` (parquet unless given). ``--out``
 is a new folder; inputs are never rewritten.
@@ -44,6 +44,8 @@ def run_collect(spark: SparkSession, args) -> None:
         read_table(spark, args.pages, PAGES, fmt),
         read_table(spark, args.landed, LANDED, fmt),
         seed=args.seed,
+        at_least=args.at_least,
+        retry_failed=args.retry_failed,
     )
     append_rows(out.replies, f"{args.out}/replies", fmt)
     append_rows(out.authors, f"{args.out}/authors", fmt)
@@ -94,7 +96,18 @@ def run_annotation(spark: SparkSession, args) -> None:
         "stances": (annotate.stance_detect, "SD_output", "SD_Shots_CoT"),
     }[args.job]
     rows = read_table(spark, args.input, schemas.ANNOTATION_INPUT, args.format)
-    done = job(rows, args.strategy or default, _model(args.model), mode=args.mode)
+    options = {"only_missing": args.only_missing} if args.job == "stances" else {}
+    done = job(
+        rows,
+        args.strategy or default,
+        _model(args.model),
+        mode=args.mode,
+        null_text=args.null_text,
+        run_id=args.run_id,
+        responses_path=args.responses_path,
+        parallelism=args.parallelism,
+        **options,
+    )
     replace_snapshot(result_projection(done, result), args.out, args.format)
 
 
@@ -120,9 +133,17 @@ def main(argv: list[str] | None = None) -> None:
         job.add_argument("--format", default="parquet", choices=["parquet", "orc", "json", "csv"])
         if name == "collect":
             job.add_argument("--seed", type=int)
+            job.add_argument("--at-least", type=int, help="least replies of a post")
+            job.add_argument("--retry-failed", action="store_true")
         if name in ("arguments", "stances"):
             job.add_argument("--strategy")
             job.add_argument("--mode", default="strict", choices=["strict", "compat"])
+            job.add_argument("--null-text", help="what is sent for null text; without it, nothing")
+            job.add_argument("--run-id", help="with --responses-path: repeat a run without asking twice")
+            job.add_argument("--responses-path")
+            job.add_argument("--parallelism", type=int, help="least tasks that call the model at once")
+        if name == "stances":
+            job.add_argument("--only-missing", action="store_true")
     args = parser.parse_args(argv)
     JOBS[args.job][0](build_session(f"threadloom {args.job}"), args)
 
