@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,8 +82,10 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_POWERS = _powers(_BASE, 2 * _PIECE)
-_INVERSES = _powers(_BASE_INVERSE, 2 * _PIECE)
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Made where words are hashed, not in a driver that only imports this."""
+    return _powers(_BASE, 2 * _PIECE), _powers(_BASE_INVERSE, 2 * _PIECE)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +104,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every word (A-Z as a-z), in pieces of bounded size."""
     out = np.empty(len(starts), np.uint64)
+    powers_, inverses_ = _tables()
     first = 0
     while first < len(starts):
         begin = int(starts[first])
@@ -109,8 +113,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         end = int(ends[last - 1])
         n = end - begin
         # A single word may be longer than the tables.
-        powers = _POWERS if n < len(_POWERS) else _powers(_BASE, n + 1)
-        inverses = _INVERSES if n < len(_INVERSES) else _powers(_BASE_INVERSE, n + 1)
+        powers = powers_ if n < len(powers_) else _powers(_BASE, n + 1)
+        inverses = inverses_ if n < len(inverses_) else _powers(_BASE_INVERSE, n + 1)
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(
             (LOWER[data[begin:end]].astype(np.uint64) + np.uint64(1)) * powers[:n], out=total[1:]

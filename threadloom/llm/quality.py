@@ -88,8 +88,14 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> dict[str,
     if not len(both):
         return {"mean": np.zeros(FEATURES), "scale": np.ones(FEATURES), "w": np.zeros(FEATURES + 1)}
     mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-3
-    p = np.hstack([np.clip((positive - mean) / scale, -8, 8), np.ones((len(positive), 1))])
-    u = np.hstack([np.clip((unlabelled - mean) / scale, -8, 8), np.ones((len(unlabelled), 1))])
+    del both
+
+    def scaled(x: np.ndarray) -> np.ndarray:
+        out = np.ones((len(x), FEATURES + 1))
+        np.clip((x - mean) / scale, -8, 8, out=out[:, :-1])
+        return out
+
+    p, u = scaled(positive), scaled(unlabelled)
     w = np.zeros(FEATURES + 1)
     w[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(w), np.zeros_like(w)
@@ -167,7 +173,9 @@ def learn(documents: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
         docs.where(~is_held_out() & F.col("doc_id").isNotNull())
         .select("doc_id").orderBy(F.xxhash64("doc_id", F.lit("draw")), "doc_id").limit(UNLABELLED)
     )
-    return fit(_features(docs, trusted), _features(docs, drawn.distinct()), prior)
+    model = fit(_features(docs, trusted), _features(docs, drawn.distinct()), prior)
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def quality_scores(
