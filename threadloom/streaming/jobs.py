@@ -46,15 +46,23 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
 def first_seen(
     rows: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day"
 ) -> DataFrame:
-    """Drop repeats of already seen keys.
+    """Drop repeats of already seen keys, and nothing else.
 
-    The state is bounded: a key is forgotten ``delay`` after its ``event_time``.
-    The time column is cast, because a watermark needs a zoned timestamp.
+    The state is bounded: a key is forgotten once newer files have landed more
+    than ``delay`` after it; if it lands again later still, it passes again. The
+    watermark stands on the time of the micro-batch, which never runs backwards,
+    so a row whose key was not seen is never late, however old its
+    ``event_time`` is. That column is only cast to a zoned timestamp.
     """
+    landed = "_landed_at"
+    while landed in rows.columns:
+        landed = f"_{landed}"
     return (
         rows.withColumn(event_time, rows[event_time].cast("timestamp"))
-        .withWatermark(event_time, delay)
+        .withColumn(landed, F.current_timestamp())
+        .withWatermark(landed, delay)
         .dropDuplicatesWithinWatermark(list(keys))
+        .drop(landed)
     )
 
 
