@@ -74,3 +74,25 @@ def test_beginnings_of_words_are_features():
     found = dict(toxicity.features(pa.array(["Nastyish!", "nastyest", "other", None])))
     assert len(np.intersect1d(found[0], found[1])) == 2 and not len(found[3])
     assert not len(np.intersect1d(found[0], found[2]))
+
+
+def test_grades_count_words_and_not_their_beginnings(spark):
+    marked = ["disgusting", "worthless", "scum", "idiot", "vile", "pathetic", "loathsome"]
+    rng, docs, labels = random.Random(4), [], []
+    for i in range(800):
+        words = [f"w{rng.randrange(400)}" for _ in range(40)]
+        held = (0, 0, 0, 1, 5)[i % 5]
+        docs.append((i, " ".join([*words, *rng.sample(marked, held)])))
+        labels.append((i, int(held > 0)))
+    model = learn(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+    )
+    texts = [(i, f"w1 w2 {w} w3") for i, w in enumerate(marked)]
+    texts += [(100 + i, "w1 " + " ".join(rng.sample(marked, 5))) for i in range(5)]
+    df = spark.createDataFrame([*texts, (200, "w1 w2")], "doc_id long, text string")
+    got = {r.doc_id: r.toxicity.grade for r in toxicity.toxicity(df, model).collect()}
+    assert got == {i: 0 if i == 200 else 1 if i < 100 else 3 for i in got}
+    chosen = np.unique(np.concatenate([f for _, f in toxicity.features(pa.array(marked))]))
+    held = toxicity._present(chosen)(pa.array(["disgusting", " ".join(marked[:4]), "disgusting disgusting", "x"]))
+    assert held.field("words").to_pylist() == [1, 4, 1, 0]

@@ -26,8 +26,8 @@ for _b in (*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)):
     _WORD[_b] = LOWER[_b]
 
 
-def features(texts: pa.Array):
-    """(row, sorted distinct feature hashes) of every text: words and their beginnings."""
+def _hashed(texts: pa.Array):
+    """(row, feature hashes, hash of the whole word each is of) of every text."""
     data, offsets = flat(texts)
     for first, last in blocks(offsets):
         part = _WORD[data[offsets[first] : offsets[last]]]
@@ -42,11 +42,16 @@ def features(texts: pa.Array):
             long_enough.append(cut)
         for k in range(last - first):
             lo, hi = np.searchsorted(starts, edges[k]), np.searchsorted(starts, edges[k + 1])
-            own = [
-                h[np.searchsorted(c, lo) : np.searchsorted(c, hi)]
-                for h, c in zip(hashes, long_enough, strict=True)
-            ]
-            yield first + k, np.unique(np.concatenate(own))
+            spans = [slice(np.searchsorted(c, lo), np.searchsorted(c, hi)) for c in long_enough]
+            own = [h[span] for h, span in zip(hashes, spans, strict=True)]
+            words = [hashes[0][c[span]] for c, span in zip(long_enough, spans, strict=True)]
+            yield first + k, np.concatenate(own), np.concatenate(words)
+
+
+def features(texts: pa.Array):
+    """(row, sorted distinct feature hashes) of every text: words and their beginnings."""
+    for row, own, _ in _hashed(texts):
+        yield row, np.unique(own)
 
 
 _PLACE = mix(np.arange(max(PREFIXES), dtype=np.uint64)) | np.uint64(1)
@@ -85,19 +90,29 @@ def _counted(batches):
             )
 
 
+_PRESENT = "struct<x:array<int>,words:int>"
+
+
 def _present(chosen: np.ndarray):
-    """Text -> indices of the chosen features it holds."""
+    """Text -> indices of the chosen features it holds, number of distinct words they are of.
+
+    A word counts once, however many of its beginnings are chosen.
+    """
 
     def apply(texts: pa.Array) -> pa.Array:
         out: list[np.ndarray] = [None] * len(texts)
-        for row, own in features(texts):
+        marked = np.zeros(len(texts), np.int32)
+        for row, own, words in _hashed(texts):
             at = np.searchsorted(chosen, own)
             at[at == len(chosen)] = 0
-            out[row] = at[chosen[at] == own] if len(chosen) else at[:0]
+            hit = chosen[at] == own if len(chosen) else np.zeros(len(own), bool)
+            out[row] = np.unique(at[hit])
+            marked[row] = len(np.unique(words[hit]))
         sizes = np.array([len(x) for x in out], np.int64)
         edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         flat_ = np.concatenate(out) if out else np.zeros(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(edges), pa.array(flat_.astype(np.int32)))
+        lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(flat_.astype(np.int32)))
+        return pa.StructArray.from_arrays([lists, pa.array(marked)], ["x", "words"])
 
     return apply
 
@@ -166,7 +181,8 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model:
     and word beginnings are summed in Spark; the features whose rate among toxic
     documents differs most stay (at least ``SUPPORT`` toxic documents, ``Z``
     deviations). Labels only say toxic or not, so the grade of a toxic document
-    is 1 to 3 by the number of marked words it holds (up to 1, up to 3, more).
+    is 1 to 3 by the number of different marked words it holds (up to 1, up to 3,
+    more). A marked word is one that is chosen or begins like a chosen feature.
     Labels without a text and texts without an id are passed over.
     """
     docs = documents.select(
@@ -198,12 +214,12 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model:
     rows = (
         sample.select(
             "doc_id", "toxic", F.xxhash64("text").alias("h"),
-            arrow_udf(_present(chosen), "array<int>")(F.col("text")).alias("x"),
-        ).toArrow().sort_by([("doc_id", "ascending"), ("h", "ascending")])
+            arrow_udf(_present(chosen), _PRESENT)(F.col("text")).alias("p"),
+        ).select("doc_id", "toxic", "h", "p.x", "p.words").toArrow().sort_by([("doc_id", "ascending"), ("h", "ascending")])
     )
     held = [x.values.to_numpy(zero_copy_only=False) if len(x) else np.zeros(0, np.int32) for x in rows.column("x")]
     toxic = rows.column("toxic").to_numpy()
-    number = np.array([len(x) for x in held], np.int64)
+    number = rows.column("words").to_numpy()
     grades = np.where(toxic > 0, 1 + (number > 1).astype(int) + (number > 3), 0)
     return Model(chosen, *fit(held, grades, len(chosen)))
 
