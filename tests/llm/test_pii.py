@@ -153,3 +153,32 @@ def test_random_texts_are_never_harmed(spark):
     mask = lambda s: re.sub(r"[0-9]", "0", re.sub(r"[a-z]", "a", s))
     loose = lambda s: re.sub(r"0+", "0", mask(s))
     assert [loose(r.text) for r in out] == [loose(t) for _, t in rows]
+
+
+def test_secrets_are_hidden_whole(spark):
+    hide = lambda v: text(v, "secret")
+    long_ = "".join(random.Random(1).choice("0123456789abcdef") for _ in range(1500))
+    cases = [
+        ("token = \"{}\" end", long_), ("token={} end", long_),
+        ("api_key: {}, next", "sk-proj_Ab1.cd/EF+gh2=="), ("token={}&x=1", "eyJhbGciOi.eyJzdWIi.Sfl-Kx_wRJ"),
+        ('{{"token": "{}", "n": 1}}', "ab12-cd34-ef56-gh78"), ('{{\\"token\\": \\"{}\\"}}', "ab12cd34ef56gh78"),
+        ("password: {} end", "p@ss1"), ("password='{}'", "x"), ('"password" : "{}"', "correct horse, battery"),
+        ('password = "{}" and "more"', 'a1\\"b2'), ("secret={};", "4111111111111112"), ("password={}", "2023-02-30"),
+        ("password={}", "jo@ex.org"), ("token: Bearer {} end", "ab12cd34.ef56gh78"),
+    ]
+    df = spark.createDataFrame([(i, a.format(v)) for i, (a, v) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n) for r in pseudonymise(df, name="n").collect()}
+    assert got == {i: (a.format(hide(v)), 1) for i, (a, v) in enumerate(cases)}
+    plain = ['token = "short" and "another one here"', "the password is long", "tokens: none, token = ab", "a token=, b"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(plain)], "doc_id long, text string")
+    assert [r.text for r in pseudonymise(df).orderBy("doc_id").collect()] == plain
+
+
+def test_telephone_numbers_in_pairs(spark):
+    values = ["+33 1 42 68 53 00", "+33 (0)1 42 68 53 00", "01 42 68 53 00", "+45 12 34 56 78", "+32 2 123 45 67", "+41 44 668 18 00"]
+    df = spark.createDataFrame([(i, f"call {v}, or not") for i, v in enumerate(values)], "doc_id long, text string")
+    rows = pseudonymise(df, name="n").orderBy("doc_id").collect()
+    for v, r in zip(values, rows, strict=True):
+        head = v[:3] if v[0] == "+" else ""
+        rest = v[len(head) :]
+        assert (r.text, r.n) == (f"call {head}{refill(rest, text(re.sub(r'[^0-9]', '', rest), 'phone'))}, or not", 1)

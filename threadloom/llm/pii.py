@@ -20,12 +20,36 @@ _PHONE = (
 _CARD = (
     r"(?:\d{13,19}|\d{4}[ -]\d{6}[ -]\d{5}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7})(?![\p{L}\p{N}])"
 )
-_SECRET = (
-    r"(?=[0-9A-Za-z]{12})(?<=(?i:token|password|secret|api_key|apikey)[ ]{0,2}[=:][ ]{0,2}[\"']?)"
-    r"[0-9A-Za-z]{12,512}+"
+# Groups that end in pairs, with a country or as ten national digits.
+_PAIRS = (
+    r"(?:\+\d{1,3}(?:[ .-]?\(0\)[ .-]?|[ .-])\d{1,4}(?:[ .-]\d{2,3}){1,2}(?:[ .-]\d{2}){2}"
+    r"|0[1-9](?:[ .-]\d{2}){4})(?![\p{L}\p{N}])"
+)
+_PHONE = rf"(?:{_PAIRS}|{_PHONE})"
+
+# What stands between the name of a secret and its value; \\ and quotes as in JSON.
+_IS = r"\\?[\"']?\]?[ \t]{0,4}(?:[=:]{1,2}>?|=>)[ \t]{0,4}"
+_TOKEN = rf"(?i:token|secret|api_key|apikey){_IS}"
+_PASSWORD = rf"(?i:password){_IS}"
+_SCHEME = r"(?i:bearer |basic )?"
+# A quoted value ends at the next quote that is not escaped, on the same line.
+_CLOSED = "|".join(
+    rf"(?<=(?<!\\){q})(?:(?<={_PASSWORD}{q}{_SCHEME})(?=[^{q}])|(?<={_TOKEN}{q}{_SCHEME})(?=[^{q}\r\n]{{12}}))"
+    rf"[^\r\n]+?(?<!(?<!\\)\\)(?={q})"
+    for q in "\"'"
+)
+# Any other value ends at a blank, a quote or a separator.
+_VALUE = r"[^\s\"'`,;&<>(){}\[\]|]"
+_OPEN = (
+    rf"(?:(?<={_PASSWORD}(?:\\?[\"'])?{_SCHEME})(?![=:>\\])(?={_VALUE})"
+    rf"|(?<={_TOKEN}(?:\\?[\"'])?{_SCHEME})(?![=:>\\])(?={_VALUE}{{12}})){_VALUE}+(?<!\\)"
+)
+# The first look-behind is cheap and fails at nearly every place.
+_SECRET = rf"(?<=[=:>][ \t]{{0,4}}\\?[\"']?{_SCHEME})(?:{_CLOSED}|{_OPEN})"
+# A value begins where no letter, digit or underscore stands before it. Group 1 holds secrets.
+PATTERN = (
+    rf"(?<![\p{{L}}\p{{N}}_])(?:({_SECRET})|{_EMAIL}|(?<!\d\.){_IP}|{_DATE}|{_PHONE}|{_CARD})"
 )
-# A value begins where no letter, digit or underscore stands before it.
-PATTERN = rf"(?<![\p{{L}}\p{{N}}_])(?:{_EMAIL}|{_SECRET}|(?<!\d\.){_IP}|{_DATE}|{_PHONE}|{_CARD})"
 
 # 400 years from here repeat the calendar; their number of days is 189 * 773.
 _FIRST_DAY, _HIGH, _LOW = "1800-01-01", 189, 773
@@ -241,7 +265,11 @@ def pseudonymise(
 
     E-mail addresses (the part before @), IPv4 addresses, dates, telephone
     numbers, card numbers with a right check digit and values of tokens and
-    passwords are permuted within their format by a keyed Feistel network. Equal
+    passwords are permuted within their format by a keyed Feistel network. A
+    secret is taken whole, of any length: up to its closing quote, or without
+    quotes up to a blank, quote or separator; its letters A-Z and digits change,
+    the rest keeps its place. Tokens, secrets and API keys have at least 12
+    characters, passwords one. Equal
     values get equal pseudonyms in every document, different ones different
     ones; all other text stays byte for byte. ``name``, if given, is a column for
     the number of values changed.
@@ -252,16 +280,25 @@ def pseudonymise(
     """
     old = F.col(text).cast("string")
     pattern = F.lit(PATTERN)
-    found = F.regexp_extract_all(old, pattern, F.lit(0))
+    # A secret may look like a date or a card, so what was found as one is marked.
+    found = F.zip_with(
+        F.regexp_extract_all(old, pattern, F.lit(0)),
+        F.regexp_extract_all(old, pattern, F.lit(1)),
+        lambda v, secret: F.struct(v.alias("v"), (secret != "").alias("secret")),
+    )
+
+    def hidden(x: Column) -> Column:
+        return F.when(x["secret"], permute_text(x["v"], "secret", key)).otherwise(pseudonym(x["v"], key))
+
     new = F.zip_with(
         F.split(old, PATTERN, -1),
-        F.transform(found, lambda v: pseudonym(v, key)),
+        F.transform(found, hidden),
         lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))),
     )
     changed = F.when(old.rlike(PATTERN), F.array_join(new, "")).otherwise(old)
     out = documents.withColumn(text, changed)
     if name is not None:
-        changes = F.size(F.filter(found, lambda v: pseudonym(v, key) != v))
+        changes = F.size(F.filter(found, lambda x: hidden(x) != x["v"]))
         out = documents.withColumns(
             {text: changed, name: F.when(old.rlike(PATTERN), changes).otherwise(0)}
         )
