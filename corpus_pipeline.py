@@ -30,19 +30,38 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest id.
 
-    Rows that repeat an id and its text are one document; documents without an
-    id are in no group and all stay.
+    A document is an id and a text: rows that repeat both are one, other texts of
+    an id are documents of their own. Of texts of one id in a group, that of the
+    smallest hash stays. Documents without an id are compared like the others; as
+    none of them can be named by a smallest id, one of each group stays beside
+    the one with an id. Texts without words are in no group.
     """
-    groups = near_duplicates(docs)
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+    groups = store(
+        near_duplicates(keyed, doc_id=key, carry="doc_id")
+        .where("n_shingles > 0")
+        .select(
+            "component_id", F.col("carried").isNull().alias("unnamed"),
+            F.struct(F.col("carried").alias("id"), F.col("doc_id").alias("key")).alias("rank"),
+        ),
+        "groups",
+    )
+    first = (
+        groups.groupBy("component_id", "unnamed")
+        .agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+        .where("first <> last")
+        .drop("last")
+    )
     gone = store(
-        groups.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id", "n_shingles"),
+        groups.join(first, ["component_id", "unnamed"])
+        .where(F.col("rank") > F.col("first"))
+        .select(F.col("rank.key").alias(key)),
         "gone",
-    ).select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
-    # Only rows that repeat an id of those kept need to be looked at again.
+    ).distinct()
     return (
-        known.dropDuplicates(["doc_id", "text"])
-        .unionByName(docs.where(F.col("doc_id").isNull()))
+        keyed.join(gone, key, "left_anti")
+        .dropDuplicates(["doc_id", "text"])
         .select(docs.columns)
     )
 

@@ -36,6 +36,27 @@ def test_near_duplicate_stage(spark, small, docs):
     assert ids.count(None) == 1
 
 
+def test_near_duplicate_stage_decides_per_row(spark, small, docs):
+    words = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c, d, e = (words(x) for x in "abcde")
+    near = lambda t: t + " more"
+    rows = [
+        (3, b), (5, a), (5, b),  # only the copy of 3 goes, not the other text of its id
+        (7, c), (7, near(c)), (7, c),  # near copies under one id
+        (None, d), (None, near(d)), (None, d), (None, e),  # copies without an id
+        (8, ""), (9, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s"))
+    out = pipeline.drop_near_duplicates(spark, df, small)
+    assert out.columns == df.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    known = sorted(r for r in got if r[0] is not None and r[0] != 7)
+    assert known == [(3, b), (5, a), (8, ""), (9, "")]
+    assert [t in (c, near(c)) for i, t in got if i == 7] == [True]
+    unnamed = [t for i, t in got if i is None]
+    assert len(unnamed) == 2 and e in unnamed and (d in unnamed or near(d) in unnamed)
+
+
 def test_benchmark_stage(spark, small, docs):
     out = pipeline.drop_benchmark(spark, docs.withColumn("hits", F.lit(1)), small)
     assert out.columns == [*docs.columns, "hits"]

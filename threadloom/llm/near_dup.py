@@ -342,7 +342,9 @@ def _signed_key(texts: pa.Array) -> pa.Array:
     return pa.array(mix(keys).view(np.int64))
 
 
-def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: str | None = None
+) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
 
     1. Every text gives its set of five-word shingles (lower-cased A-Z), a key
@@ -369,15 +371,18 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     Null or empty text, or a text without words: no shingles, its own component.
     A null doc_id keeps its row, with null component and ``kept`` false, and
     links nothing. Repeated rows stay and share a component; repeated ids with
-    other texts are separate documents. Other columns are ignored; an empty
-    table gives no rows.
+    other texts are separate documents. Other columns are ignored, but for
+    ``carry``, which is given on as ``carried``; an empty table gives no rows.
     """
     docs = documents.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.col(text).cast("string").alias("text"),
+        *([] if carry is None else [F.col(carry).alias("carried")]),
     )
+    carried = docs.columns[2:]
     signed = store(
-        docs.select("doc_id", arrow_udf(_signed, _SIGNED)(F.col("text")).alias("s"))
-        .select("doc_id", "s.*"),
+        docs.select("doc_id", *carried, arrow_udf(_signed, _SIGNED)(F.col("text")).alias("s"))
+        .select("doc_id", *carried, "s.*"),
         "signed",
     )
     nodes = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -483,7 +488,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
             roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more)
         )
     named = (
-        signed.select("doc_id", F.col("n").alias("n_shingles"), "key")
+        signed.select("doc_id", *carried, F.col("n").alias("n_shingles"), "key")
         .join(roots.withColumnRenamed("node", "key"), "key", "left")
         .withColumn("root", F.coalesce("root", "key"))
     )
@@ -501,5 +506,6 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
             "n_shingles",
             component.alias("component_id"),
             F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+            *carried,
         )
     )
