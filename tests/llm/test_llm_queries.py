@@ -19,11 +19,11 @@ def test_query_equals_sql(spark, small, con, name):
 
 def test_all_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", ["op3_token_counts", "op6_benchmark_decontamination", "op9_toxicity_severity", "op10_pii_pseudonyms"])
+@pytest.mark.parametrize("name", ["op3_token_counts", "op6_benchmark_decontamination", "op9_toxicity_severity", "op10_pii_pseudonyms", "op11_token_blocks"])
 def test_one_row_per_document(spark, small, name):
     ids = [r.doc_id for r in QUERIES[name](spark, small).select("doc_id").collect()]
     want = [r.doc_id for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id").collect()]

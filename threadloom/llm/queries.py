@@ -10,11 +10,14 @@ from threadloom.llm.chat import chat_digests, format_chats
 from threadloom.llm.common import table, word_count
 from threadloom.llm.decontaminate import benchmark_hits, contaminated
 from threadloom.llm.embeddings import embedding_duplicates
+from threadloom.llm.fill_middle import fill_in_middle_digests
+from threadloom.llm.hard_negatives import hard_negatives
 from threadloom.llm.mixing import mix_sources
 from threadloom.llm.near_dup import near_duplicates
 from threadloom.llm.pii import pseudonymise
 from threadloom.llm.quality import THRESHOLD, is_held_out, quality_scores
 from threadloom.llm.quality import learn as learn_quality
+from threadloom.llm.token_blocks import read_tokens, write_tokens
 from threadloom.llm.tokens import load_vocabulary, token_counts
 from threadloom.llm.toxicity import learn as learn_toxicity
 from threadloom.llm.toxicity import toxicity
@@ -23,6 +26,7 @@ from threadloom.session import store
 
 # A public vocabulary file; its place is a parameter of the operator.
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_PIECES = "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -208,3 +212,76 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymise(docs, name="n_changed")
+
+
+@query("op11_token_blocks")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return read_tokens(write_tokens(docs, public_tokenizers.path(BYTE_PIECES)))
+
+
+OP12_SQL = r"""
+WITH l AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units FROM documents
+), d AS (
+  SELECT *, len(units) AS n,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS c1,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS c2,
+    text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 100 AS plain,
+    CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 50 AS suffix_first FROM l
+), p AS (
+  SELECT doc_id, text, n, CASE WHEN plain THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(units[1:least(c1, c2)], '') AS prefix,
+    array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+    array_to_string(units[greatest(c1, c2) + 1:], '') AS suffix FROM d
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    relabelled = rows.withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return hard_negatives(relabelled, F.col("vec_id") % 100 == 0)
