@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from threadloom.llm import near_dup
@@ -67,7 +68,8 @@ def test_groups_around_the_threshold(spark):
 
 def test_small_blocks_and_one_hub_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "BLOCK", 5)
-    monkeypatch.setattr(near_dup, "ROOM", 4)
+    monkeypatch.setattr(near_dup, "NODES", 4)
+    monkeypatch.setattr(near_dup, "SHINGLES", 900)
     monkeypatch.setattr(near_dup, "HUBS", 1)
     rows = near_copies(seed=2, groups=3)
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
@@ -135,3 +137,49 @@ def test_components_of_random_links(spark, seed):
         i: top(i) for a, b in links if a != b for i in (a, b)
     }
     assert len(got) == len({r.node for r in got})
+
+
+def test_likely_pairs_that_are_no_links_stay_in_their_task():
+    """Texts of one group, none of them linked, nearly all of them likely: at most a row per text."""
+    rng = np.random.default_rng(3)
+    base = [f"w{k}" for k in range(80)]
+    sets, sigs = [], []
+    for k in range(150):
+        words = list(base)
+        for at in rng.choice(16, 3, replace=False):
+            words[5 * at] = f"x{k}-{at}"
+        (found,) = near_dup.shingle_sets(pa.array([" ".join(words)]))
+        sets.append(found)
+        sigs.append(near_dup.signature(found).astype(np.uint8).tobytes())
+    n = len(sets)
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array([1] * n), pa.array([0] * n, pa.int32()), pa.array([0] * n, pa.int32()), pa.array(range(n)),
+            pa.array(range(n)), pa.array([0] * n, pa.int32()), pa.array(sigs, pa.binary()),
+            pa.array([s.tobytes() for s in sets], pa.binary()),
+        ],
+        ["bucket", "_i", "_j", "key", "root", "_side", "sig", "shingles"],
+    )
+    table = np.stack([np.frombuffer(s, np.uint8) for s in sigs])
+    least = near_dup.least_matches()
+    pairs = sum(len(near_dup.likely(np.broadcast_to(t, table.shape), table, least)) - 1 for t in table) // 2
+    assert pairs > 3 * n
+    (met,) = near_dup._meet([batch])
+    assert met.num_rows < n
+    (links,) = near_dup._verify([batch.rename_columns(["cluster", *batch.schema.names[1:]])])
+
+    def linked(x, y):
+        shared = len(np.intersect1d(sets[x], sets[y]))
+        return 100 * shared >= 75 * (len(sets[x]) + len(sets[y]) - shared)
+
+    top = list(range(n))
+    for x in range(n):
+        for y in range(x):
+            if linked(x, y) and top[x] != top[y]:
+                top = [top[y] if t == top[x] else t for t in top]
+    joined = list(range(n))
+    for x, y in zip(*(c.to_pylist() for c in links.columns), strict=True):
+        assert linked(x, y)
+        joined = [joined[y] if t == joined[x] else t for t in joined]
+    same = {(x, y) for x in range(n) for y in range(n) if top[x] == top[y]}
+    assert same == {(x, y) for x in range(n) for y in range(n) if joined[x] == joined[y]}

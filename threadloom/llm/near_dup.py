@@ -21,7 +21,7 @@ BATCH = 36  # signature entries compared before the next decision
 MISS = 1e-6  # chance that a pruned pair is a link after all
 HUBS = 6  # hubs that a node is held against before components are compared
 BLOCK = 2000  # signatures of a component that one task holds
-ROOM = 250  # full sets of a component that one task holds
+NODES, SHINGLES = 8192, 1 << 21  # nodes and shingles of their full sets in a block that is verified
 
 _rng = np.random.RandomState(20240229)
 _SEEDS = _rng.randint(0, 2**32, (HASHES, 1), dtype=np.uint64).astype(np.uint32)
@@ -148,32 +148,28 @@ def _prune(batches):
 
 
 def _meet(batches):
-    """(key, root): a node and a component that holds a likely partner of it.
+    """(a, b): components that likely pairs join, at most one row per node of a pair of blocks.
 
-    All pairs of different components in one pair of blocks of a bucket are
-    looked at. Of two components the smaller sends its nodes (by size, then root).
+    Two components that are already joined by earlier rows are not compared again.
     """
     least = least_matches()
     for group in runs(batches, ["bucket", "_i", "_j"]):
-        key, root, size, side = (
-            group.column(c).to_numpy() for c in ("key", "root", "size", "_side")
-        )
+        root, side = group.column("root").to_numpy(), group.column("_side").to_numpy()
         sig = _table(group.column("sig"))
         same = group.column("_i")[0].as_py() == group.column("_j")[0].as_py()
         lefts = np.flatnonzero(side == 0)
         rights = lefts if same else np.flatnonzero(side == 1)
-        met = set()
+        top = root.copy()
+        a, b = [], []
         for x in lefts.tolist():
             others = rights[rights > x] if same else rights
-            others = others[root[others] != root[x]]
-            left = np.broadcast_to(sig[x], (len(others), HASHES))
-            for y in others[likely(left, sig[others], least)].tolist():
-                sends, takes = (x, y) if (size[x], root[x]) < (size[y], root[y]) else (y, x)
-                met.add((int(key[sends]), int(root[takes])))
-        nodes, roots = zip(*sorted(met), strict=True) if met else ((), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["key", "root"]
-        )
+            others = others[top[others] != top[x]]
+            hits = others[likely(np.broadcast_to(sig[x], (len(others), HASHES)), sig[others], least)]
+            for other in np.unique(top[hits]).tolist():
+                a.append(int(top[x]))
+                b.append(other)
+                top[top == other] = top[x]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def _sift(batches):
@@ -203,38 +199,41 @@ def _sift(batches):
         )
 
 
-def _search(batches):
-    """First link of every visiting node to each block of a component's full sets."""
-    held_key, owners, shingles, keys, sizes = None, None, None, [], []
-    parts: list[np.ndarray] = []
-    for batch in batches:
-        places = zip(batch.column("root").to_pylist(), batch.column("block").to_pylist(), strict=True)
-        visits = batch.column("visits").to_pylist()
-        column, nodes = batch.column("payload"), batch.column("key").to_pylist()
+def _verify(batches):
+    """Links between nodes of different components, at most one row per component of a pair of blocks.
+
+    Nodes of two components are held against each other by size, then by signature,
+    then by their full sets, until a link joins the components.
+    """
+    least = least_matches()
+    for group in runs(batches, ["cluster", "_i", "_j"]):
+        key, root, side = (group.column(c).to_numpy() for c in ("key", "root", "_side"))
+        sig = _table(group.column("sig"))
+        data, offsets = flat(group.column("shingles"))
+        shingles, edges = data.view(np.uint64), offsets // 8
+        size = np.diff(edges)
+        same = group.column("_i")[0].as_py() == group.column("_j")[0].as_py()
+        lefts = np.flatnonzero(side == 0)
+        rights = lefts if same else np.flatnonzero(side == 1)
+        top = root.copy()
         a, b = [], []
-        for row, place in enumerate(places):
-            found = np.frombuffer(column[row].as_buffer(), np.uint64)
-            if place != held_key:
-                held_key, parts, keys, shingles = place, [], [], None
-            if not visits[row]:
-                parts.append(found.copy())
-                keys.append(nodes[row])
-                continue
-            if not parts:
+        for x in lefts.tolist():
+            others = rights[rights > x] if same else rights
+            near = (100 * size[others] >= PERCENT * size[x]) & (100 * size[x] >= PERCENT * size[others])
+            others = others[near & (top[others] != top[x])]
+            others = others[likely(np.broadcast_to(sig[x], (len(others), HASHES)), sig[others], least)]
+            if not len(others):
                 continue
-            if shingles is None:
-                sizes = np.array([len(x) for x in parts])
-                shingles = np.concatenate(parts)
-                order = np.argsort(shingles, kind="stable")
-                shingles, owners = shingles[order], np.repeat(np.arange(len(parts)), sizes)[order]
-            lo, hi = np.searchsorted(shingles, found), np.searchsorted(shingles, found, "right")
-            count = hi - lo
-            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
-            shared = np.bincount(owners[at], minlength=len(parts))
-            linked = np.flatnonzero(100 * shared >= PERCENT * (sizes + len(found) - shared))
-            if len(linked):
-                a.append(keys[linked[0]])
-                b.append(nodes[row])
+            own = shingles[edges[x] : edges[x + 1]]
+            found = np.concatenate([shingles[edges[y] : edges[y + 1]] for y in others.tolist()])
+            at = np.searchsorted(own, found)
+            at[at == len(own)] = 0
+            shared = np.add.reduceat(own[at] == found, np.append(0, np.cumsum(size[others])[:-1]), dtype=np.int64)
+            linked = others[100 * shared >= PERCENT * (size[x] + size[others] - shared)]
+            for other, y in zip(*np.unique(top[linked], return_index=True), strict=True):
+                a.append(int(key[x]))
+                b.append(int(key[linked[y]]))
+                top[top == other] = top[x]
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
@@ -356,12 +355,14 @@ def near_duplicates(
        the threshold falls below ``MISS``, and survivors are checked on full
        sets. A large group of near copies so costs a few pairs per member and
        not a pair for every two of them.
-    3. Where a bucket still holds several components, its nodes visit the largest
-       one: first its signatures, with the same pruning, then, if a likely
-       partner is there, all its full sets, in blocks. The other components of
-       the bucket are compared by signature in the bucket, in blocks, and the
-       smaller of two that may be linked visits the other. So every pair of a
-       bucket is pruned or checked unless a link already joins its components.
+    3. Where a bucket still holds several components, its nodes visit the signatures
+       of the largest one, and those of the others are compared in the bucket, in
+       blocks, both with the same pruning. Only the components that likely pairs
+       join come out, never the pairs: at most a row per node. Components joined in
+       any chain are a cluster, whose nodes are held against each other in blocks,
+       by size, signature and full set, until a link joins their components. So
+       every pair of a bucket is pruned or checked unless a link already joins its
+       components, and a node moves its set once per block of its cluster.
     4. Components of the confirmed links; the smallest doc_id names each.
 
     Nodes are 64-bit keys of the sets: among 10**10 different texts about one
@@ -454,34 +455,39 @@ def near_duplicates(
         .where("lo <> hi")
         .select("bucket")
     )
-    compared = store(
+    compared = (
         block_pairs(
-            others.drop("host").join(several, "bucket", "left_semi").join(signatures, "key"),
+            others.drop("size", "host").join(several, "bucket", "left_semi").join(signatures, "key"),
             "bucket", "key", BLOCK,
         )
         .repartition("bucket", "_i", "_j")
         .sortWithinPartitions("bucket", "_i", "_j")
-        .mapInArrow(_meet, "key bigint, root bigint")
-        .distinct(),
-        "compared",
+        .mapInArrow(_meet, "a bigint, b bigint")
     )
     everyone = placed.select("key", "root").distinct().unionByName(
         roots.select(F.col("node").alias("key"), "root")
     ).distinct()
-    likely_meetings = store(
+    visited = (
         _rooms(meetings, everyone, signatures.withColumnRenamed("sig", "payload"), BLOCK)
         .mapInArrow(_sift, "key bigint, root bigint")
-        .unionByName(compared)
-        .distinct(),
-        "likely",
+        .join(everyone.withColumnRenamed("root", "a"), "key")
+        .select("a", F.col("root").alias("b"))
+    )
+    # Components that likely pairs join, in whatever chain, are verified together.
+    clusters = components(store(compared.unionByName(visited).distinct(), "likely"))
+    searched = store(
+        everyone.join(clusters.select(F.col("node").alias("root"), F.col("root").alias("cluster")), "root"),
+        "clusters",
     )
-    searched = everyone.join(likely_meetings.select("root").distinct(), "root", "left_semi")
-    needed = searched.select("key").unionByName(likely_meetings.select("key")).distinct()
     with runtime_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="200"):
-        sets = _sets(needed, nodes, docs).withColumnRenamed("shingles", "payload")
+        sets = _sets(searched.select("key"), nodes, docs)
+        full = searched.join(signatures, "key").join(sets, "key")
         more = store(
-            _rooms(likely_meetings, searched, sets, ROOM).mapInArrow(_search, "a bigint, b bigint"),
-            "searched",
+            block_pairs(full, "cluster", "key", NODES, F.length("shingles") / 8, SHINGLES)
+            .repartition("cluster", "_i", "_j")
+            .sortWithinPartitions("cluster", "_i", "_j")
+            .mapInArrow(_verify, "a bigint, b bigint"),
+            "verified",
         )
     if not more.isEmpty():
         roots = components(
