@@ -106,3 +106,25 @@ def test_pieces_of_a_long_text_overlap(monkeypatch):
         text = "z" * lead + item + "y" * 150
         (hit,) = find(pa.array([text]))[0].as_py()
         assert (hit["start"], hit["stop"]) == (lead, lead + len(item))
+
+
+@pytest.mark.parametrize("run", [1, 2, 20, 60, 1000])
+def test_white_space_does_not_part_a_passage(monkeypatch, run):
+    """A passage whose words stand far apart, begun at every offset around a border."""
+    monkeypatch.setattr(decontaminate, "_PIECE", 500)
+    rng = random.Random(run)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(12)]
+    find = decontaminate._finder([(7, " ".join(words))], RATE)
+    item = "".join(w + (" " if k % 2 else "\n") * run for k, w in enumerate(words)).strip()
+    for lead in [*range(440, 510, 7 if run > 100 else 1), 900, 999, 1000, 1001]:
+        text = "z" * lead + " " + item + " " + "y" * 1500
+        (hit,) = find(pa.array([text]))[0].as_py()
+        assert (hit["start"], hit["stop"], hit["edits"]) == (lead + 1, lead + 1 + len(item), 0)
+
+
+def test_pieces_cover_a_text():
+    data = np.frombuffer(b"ab " * 50 + b" " * 3000 + b"word " * 100, np.uint8)
+    found = list(decontaminate.pieces(data, 40, 100))
+    assert [lo for lo, _ in found] == list(range(0, len(data), 100)) and found[-1][1] == len(data)
+    for lo, hi in found:
+        assert hi == len(data) or len(decontaminate.normalised(data[min(len(data), lo + 100) : hi])[0]) >= 40

@@ -31,6 +31,23 @@ def normalised(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(space[at], np.uint8(0x20), LOWER[data[at]]), at
 
 
+def pieces(data: np.ndarray, overlap: int, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of a long text, each going on for ``overlap`` normalised bytes into the next.
+
+    A stretch of that many normalised bytes lies whole in the range it begins in,
+    however much white space it holds.
+    """
+    for lo in range(0, len(data), size):
+        end = hi = min(len(data), lo + size)
+        held = 0
+        while held < overlap and end < len(data):
+            more = data[end - 1 : min(len(data), end + max(overlap, 4096))]
+            space = SPACE[more]
+            held += int((~(space[1:] & space[:-1])).sum())
+            end += len(more) - 1
+        yield lo, max(hi, end)
+
+
 def grams(data: np.ndarray) -> np.ndarray:
     """Every window of Q bytes as an integer."""
     if len(data) < Q:
@@ -177,10 +194,11 @@ def _finder(items: Sequence[tuple[int, str]], rate: float):
         found: list[dict] = [{} for _ in range(len(texts))]
         for first, last in blocks(offsets):
             begin, end = int(offsets[first]), int(offsets[last])
-            # A longer text is read in pieces that overlap by more than an occurrence.
-            for lo in range(begin, max(end, begin + 1), _PIECE if last == first + 1 else end - begin + 1):
-                hi = min(end, lo + _PIECE + 4 * passages.overlap) if last == first + 1 else end
-                _look(passages, data, offsets, first, last, lo, hi, found)
+            if end - begin <= 2 * _PIECE:
+                _look(passages, data, offsets, first, last, begin, end, found)
+                continue
+            for lo, hi in pieces(data[begin:end], 4 * passages.overlap, _PIECE):  # one long text
+                _look(passages, data, offsets, first, last, begin + lo, begin + hi, found)
         return _as_hits(found, texts)
 
     return apply
