@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from threadloom.llm import quality
+from threadloom.llm import common, quality
 from threadloom.llm.queries import QUERIES
 
 
@@ -61,3 +61,21 @@ def test_style_reads_whole_texts():
     tail = ["plain words here " * 1000, "plain words here " * 1000 + "!!! $$$ " * 500]
     found = quality.style(pa.array(tail))
     assert not np.allclose(found[0], found[1])
+
+
+def test_rows_of_a_repeated_id_do_not_grow_the_fit(spark):
+    texts = [(k, f"text {k}, of a few words.") for k in range(30)]
+    docs = spark.createDataFrame(texts + [(5, "the same row, again and again")] * 400, "doc_id long, text string")
+    ids = spark.createDataFrame([(k,) for k in range(20)], "doc_id long")
+    x = quality._features(docs, ids, 10)
+    assert x.shape == (10, quality.FEATURES)
+    assert quality._features(docs, ids, 100).shape[0] == 21
+
+
+def test_smallest_is_a_sorted_limit(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    rank = F.xxhash64("k")
+    for n in (1, 10, 700, 6000):
+        want = {r.k for r in df.orderBy(rank, "k").limit(n).collect()}
+        assert {r.k for r in common.smallest(df, rank, ["k"], n).collect()} == want
+    assert common.smallest(df.limit(0), rank, ["k"], 5).collect() == []

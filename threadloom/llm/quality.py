@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from threadloom.llm.common import blocks, flat, word_hashes, word_spans
+from threadloom.llm.common import blocks, flat, smallest, word_hashes, word_spans
+from threadloom.session import store
 
 POSITIVES = 20_000  # most trusted positives to learn from
 UNLABELLED = 20_000  # most unlabelled texts to learn from
@@ -142,12 +143,17 @@ def is_held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _features(documents: DataFrame, ids: DataFrame) -> np.ndarray:
-    """Features of a bounded set of documents; ``ids`` holds at most its documented bound."""
-    chosen = documents.join(F.broadcast(ids), "doc_id", "left_semi")
-    rows = chosen.select(
-        "doc_id", F.xxhash64("text").alias("h"), arrow_udf(_styled, "array<double>")(F.col("text")).alias("x")
-    ).toArrow().sort_by([("doc_id", "ascending"), ("h", "ascending")])
+def _features(documents: DataFrame, ids: DataFrame, most: int) -> np.ndarray:
+    """Features of at most ``most`` different texts of the documents in ``ids``, itself as bounded."""
+    hashed = documents.withColumn("h", F.xxhash64("text"))
+    texts = hashed.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "h").distinct()
+    chosen = store(smallest(texts, F.xxhash64("doc_id", "h"), ["doc_id", "h"], most), "chosen")
+    rows = (
+        hashed.join(F.broadcast(chosen), ["doc_id", "h"], "left_semi")
+        .dropDuplicates(["doc_id", "h"])
+        .select("doc_id", "h", arrow_udf(_styled, "array<double>")(F.col("text")).alias("x"))
+        .toArrow().sort_by([("doc_id", "ascending"), ("h", "ascending")])
+    )
     x = rows.column("x").combine_chunks()
     return x.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), FEATURES)
 
@@ -156,8 +162,8 @@ def learn(documents: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
     """A model from texts and (doc_id, quality), without the held-out rows.
 
     Trusted positives are at most ``POSITIVES`` documents labelled 1, unlabelled
-    texts at most ``UNLABELLED`` others or the same, both those of smallest hash;
-    no label of the latter is used. The class prior is the share of 1 among all
+    texts at most ``UNLABELLED`` others or the same, both those of smallest hash,
+    and as many different texts where ids repeat; no label of the latter is used. The class prior is the share of 1 among all
     labels that may be learnt from. Documents with conflicting labels count as
     both. Labels without a text and texts without an id are passed over.
     """
@@ -165,15 +171,13 @@ def learn(documents: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     known = labels.where(~is_held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
-    rank = [F.xxhash64("doc_id", F.lit("rank")), F.col("doc_id")]
     share = known.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
     prior = min(0.98, max(0.02, share if share is not None else 0.5))
-    trusted = known.where("quality = 1").select("doc_id").distinct().orderBy(*rank).limit(POSITIVES)
-    drawn = (
-        docs.where(~is_held_out() & F.col("doc_id").isNotNull())
-        .select("doc_id").orderBy(F.xxhash64("doc_id", F.lit("draw")), "doc_id").limit(UNLABELLED)
-    )
-    model = fit(_features(docs, trusted), _features(docs, drawn.distinct()), prior)
+    positives = known.where("quality = 1").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    trusted = smallest(positives, F.xxhash64("doc_id", F.lit("rank")), ["doc_id"], POSITIVES)
+    others = docs.where(~is_held_out() & F.col("doc_id").isNotNull()).select("doc_id")
+    drawn = smallest(others, F.xxhash64("doc_id", F.lit("draw")), ["doc_id"], UNLABELLED).distinct()
+    model = fit(_features(docs, trusted, POSITIVES), _features(docs, drawn, UNLABELLED), prior)
     pa.default_memory_pool().release_unused()
     return model
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from threadloom.llm.common import LOWER, blocks, flat, mix, word_hashes, word_spans
+from threadloom.llm.common import LOWER, blocks, flat, mix, smallest, word_hashes, word_spans
 from threadloom.session import store
 
 SAMPLE = 40_000  # most labelled documents to learn from
@@ -177,7 +177,8 @@ class Model:
 def learn(documents: DataFrame, labels: DataFrame) -> Model:
     """A model from texts and (doc_id, toxic), on at most ``SAMPLE`` labelled documents.
 
-    The documents are those of smallest hash. Document counts of all their words
+    The documents are those of smallest hash, and as many different texts where
+    ids repeat. Document counts of all their words
     and word beginnings are summed in Spark; the features whose rate among toxic
     documents differs most stay (at least ``SUPPORT`` toxic documents, ``Z``
     deviations). Labels only say toxic or not, so the grade of a toxic document
@@ -191,11 +192,16 @@ def learn(documents: DataFrame, labels: DataFrame) -> Model:
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     )
+    known = smallest(known, F.xxhash64("doc_id"), ["doc_id"], SAMPLE)
     known = known.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     # At most SAMPLE pairs of numbers, so sending them to every task is safe.
-    sample = store(docs.join(F.broadcast(known), "doc_id"), "labelled")
+    hashed = docs.withColumn("h", F.xxhash64("text"))
+    texts = hashed.join(F.broadcast(known), "doc_id").select("doc_id", "h", "toxic").distinct()
+    chosen = store(smallest(texts, F.xxhash64("doc_id", "h"), ["doc_id", "h"], SAMPLE), "chosen")
+    sample = store(
+        hashed.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).drop("h"), "labelled"
+    )
     n1, n = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
     n1, n0 = float(max(n1, 1)), float(max(n - n1, 1))
     counts = (
