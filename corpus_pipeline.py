@@ -30,7 +30,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the smallest id.
 
-    A document is an id and a text: rows that repeat both are one, other texts of
+    A document is an id and a text: of rows that repeat both, that of the smallest
+    source, then lang, then hash of all columns stays, nulls first; other texts of
     an id are documents of their own. Of texts of one id in a group, that of the
     smallest hash stays. Documents without an id are compared like the others; as
     none of them can be named by a smallest id, one of each group stays beside
@@ -59,11 +60,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .select(F.col("rank.key").alias(key)),
         "gone",
     ).distinct()
-    return (
-        keyed.join(gone, key, "left_anti")
-        .dropDuplicates(["doc_id", "text"])
-        .select(docs.columns)
+    hashed = free_name(docs, "row_hash")
+    kept = keyed.join(gone, key, "left_anti").withColumn(hashed, F.xxhash64(*docs.columns))
+    rank = F.struct(*[F.col(c) for c in ("source", "lang") if c in docs.columns], F.col(hashed))
+    repeated = store(
+        kept.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(rank).alias("_first"))
+        .where("_rows > 1")
+        .select(key, F.col(f"_first.{hashed}").alias("_first")),
+        "repeated",
     )
+    # Only rows whose id and text repeat are shuffled whole.
+    single = kept.join(repeated, key, "left_anti").select(docs.columns)
+    several = kept.join(repeated, key).where(F.col(hashed) == F.col("_first")).dropDuplicates([key])
+    return single.unionByName(several.select(docs.columns))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,7 +95,7 @@ def hide_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the mix takes, with size, source_size, target, copies and taken.
 
-    Rows that are equal in every column become one row with the copies of all.
+    Columns of those names in ``docs`` give way to the new ones. Rows that are equal in every column become one row with the copies of all.
     """
     kept = [c for c in docs.columns if c not in {"size", "source_size", "target", "copies", "taken"}]
     docs = docs.select(kept)

@@ -116,3 +116,16 @@ def test_checked_by_mixing_rules(spark, small, docs):
     from threadloom.llm.queries import QUERIES
 
     check(QUERIES["op1_source_mix"](spark, small).collect())
+
+
+def test_the_row_that_stays_does_not_depend_on_the_order(spark):
+    text = "one text of quite enough words to make some shingles"
+    rows = [(7, text, "b", "en", 1), (7, text, "a", "fr", 2), (7, text, "a", "en", 3), (7, text, "a", "en", 3), (8, "other words", None, "en", 4)]
+    rows += [(None, "no id", "z", "en", 5), (None, "no id", "y", "en", 6), (9, None, "c", "en", 7), (9, None, None, "en", 8)]
+    schema = "doc_id long, text string, source string, lang string, row_hash int"
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        for parts in (1, 4):
+            docs = spark.createDataFrame(order, schema).repartition(parts)
+            got = pipeline.drop_near_duplicates(spark, docs, "")
+            assert got.columns == docs.columns
+            assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[2], rows[4], rows[6], rows[8]], key=str)
