@@ -32,6 +32,25 @@ STRICT = [
     ([113456789012345679], '[id: 113456789012345679, annotation: "x"]', ["x"]),
     ([1], "", [M]),
     ([1], '[id: 99999999999999999999, annotation: "x"]', [M]),
+    ([1], '[[id: 1, annotation: "FOR because: see ["x"] and more"]]', ['FOR because: see ["x"] and more']),
+    (
+        [1, 2],
+        '[[id: 1, annotation: "FOR because: they quote "[id: 2, annotation: x]" here"], [id: 2, annotation: "AGAINST"]]',
+        ['FOR because: they quote "[id: 2, annotation: x]" here', "AGAINST"],
+    ),
+    (
+        [1, 2, 3],
+        '[[id: 1, annotation: "a "[id: 2, annotation: x], [id: 3, annotation: "y"]" b"],\n[id: 2, annotation: "c"]; 3) [id: 3, annotation: d]]',
+        ['a "[id: 2, annotation: x], [id: 3, annotation: "y"]" b', "c", "d"],
+    ),
+    ([1, 2], "[id: 1, annotation: FOR, says [id: 2, annotation: no] there], [id: 2, annotation: AGAINST [sic]]", ["FOR, says [id: 2, annotation: no] there", "AGAINST [sic]"]),
+    ([1, 2], '[id: 1, annotation: "open [ bracket"],[id: 2, annotation: "shut ] bracket"]', ["open [ bracket", "shut ] bracket"]),
+    ([1], '[[id: 1, annotation: "open [ bracket"]]', ["open [ bracket"]),
+    ([1, 2], '[id: 1, annotation: "no quote], [id: 2, annotation: no bracket', ["no quote", M]),
+    ([1, 2], '[id: 1, annotation: "A"] and then [id: 2, annotation: "B"]] Note ["x"].', ["A", "B"]),
+    ([1, 2], '1. [id: 1, annotation: ""]\n2. [id: 2, annotation: "deep [[a] [b "c"]] end"]\n```', ["", 'deep [[a] [b "c"]] end']),
+    ([1], '[id: 1, annotation: "é😀 [ü "ß"] 日本"]', ['é😀 [ü "ß"] 日本']),
+    ([1, 2], '{"x": [{"id": 1}]} ["id": "1", "annotation": "A"], ["id": "2", "annotation": B "b"]', ["A", 'B "b']),
 ]
 
 

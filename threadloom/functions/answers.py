@@ -13,50 +13,100 @@ from threadloom.functions.text import strip
 # Fixed value: what a row gets whose id the answer does not contain.
 MISSING_ID = "ERROR: HALLUCINATION"
 
-# Where an answer item begins; keys and id may be quoted.
-ITEM_START = r"""\[\s*"?id"?\s*:\s*"?(\d+)"?\s*,\s*"?annotation"?\s*:"""
-# A value in quotes ends at its first quote that is followed by a bracket.
-_QUOTED = r'(?s)^\s*"(.*?)"\s*\]'
-# Any other value ends at the last bracket before the next item.
-_PLAIN = r"(?s)^\s*\"?(.*)\]"
-# The bracket that closes the list of all items.
-_LIST_END = r'(?s)"?\s*\]\s*[,;]?\s*$'
-
-
-def _items(output: Column) -> Column:
-    """The text of every item, from its start to that of the next."""
-    return F.split(output, rf"(?={ITEM_START})", -1)
-
-
-def _value(item: Column) -> Column:
-    rest = F.regexp_replace(item, rf"(?s)^{ITEM_START}", "")
-    plain = F.regexp_extract(rest, _PLAIN, 1)
-    # More closing than opening brackets: the last one closes the list.
-    opened = F.length(plain) - F.length(F.replace(plain, F.lit("["), F.lit("")))
-    closed = F.length(plain) - F.length(F.replace(plain, F.lit("]"), F.lit("")))
-    bare = F.when(closed > opened, F.regexp_replace(plain, _LIST_END, "")).otherwise(
-        F.regexp_replace(plain, r'"?\s*$', "")
-    )
-    return F.when(rest.rlike(_QUOTED), F.regexp_extract(rest, _QUOTED, 1)).when(
-        rest.rlike(_PLAIN), bare
-    )
+# An answer item up to its value; keys, id and value may be quoted.
+_ITEM = r"""\[\s*"?id"?\s*:\s*"?\d+"?\s*,\s*"?annotation"?\s*:\s*"?"""
+# What stands behind the bracket that ends an item: a next item, the list's end, a new line.
+_AFTER = rf"""(?=\s*(?:[,;.]\s*)?(?:{_ITEM}|\]|```|$)|[ \t]*\r?\n)"""
+# Put behind every such bracket, so that a token tells it from others.
+_MARK = "\u0001"
+_CLOSE = rf'"\s*\]{_MARK}?'
+_TOKEN = rf'{_ITEM}|{_CLOSE}|\]{_MARK}?|[\["]|[^\[\]"]+'
+_STATE = (
+    "struct<at:int,open:boolean,quoted:boolean,id:string,start:int,depth:int,near:int,outer:int,"
+    "ending:int,inner:int,bare:int,items:array<struct<id:string,start:int,end:int>>>"
+)
+
+
+def _scan(state: Column, token: Column) -> Column:
+    """One step over an answer: the state after ``token``.
+
+    depth: brackets open inside the value. Ends the value may have: near, with
+    nothing but separators behind it; outer, the last bracket outside of inner
+    ones; ending, inner ones that look like the end of an item; inner, any inner
+    one; bare, a bracket without the closing quote of a quoted value. 0 is none.
+    """
+    first, marked = F.substring(token, 1, 1), F.endswith(token, F.lit(_MARK))
+    is_item = F.length(token) > 1
+    is_item &= first == "["
+    is_close = token.rlike(rf"^{_CLOSE}$") | ((first == "]") & ~state["quoted"])
+    is_bracket = (first == "]") & state["quoted"]
+    opened, nested, at = state["open"], state["depth"] > 0, state["at"]
+    none = F.lit(0)
+    starts = is_item & (~opened | (state["near"] > 0) | (state["outer"] > 0))
+    ends = opened & is_close & ~nested & marked
+    done = F.when(starts & opened, F.when(state["near"] > 0, state["near"]).otherwise(state["outer"])).when(ends, at)
+    item = F.struct(state["id"].alias("id"), state["start"].alias("start"), done.alias("end"))
+    closing = is_close | is_bracket
+    step = {
+        "at": at + F.length(token),
+        "open": starts | (opened & ~ends),
+        "quoted": F.when(starts, F.endswith(token, F.lit('"'))).otherwise(state["quoted"]),
+        "id": F.when(starts, F.regexp_extract(token, r"(\d+)", 1)).otherwise(state["id"]),
+        "start": F.when(starts, at + F.length(token)).otherwise(state["start"]),
+        "depth": F.when(starts, none)
+        .when(is_item | (token == "["), state["depth"] + 1)
+        .when(closing & nested, state["depth"] - 1)
+        .otherwise(state["depth"]),
+        "near": F.when(starts, none)
+        .when(is_close | (is_bracket & ~nested), at)
+        .when(token.rlike(r"^[\s,;.]+$"), state["near"])
+        .otherwise(none),
+        "outer": F.when(starts, none).when(is_close & ~nested, at).otherwise(state["outer"]),
+        "ending": F.when(starts, none)
+        .when(is_close & nested & marked & (state["ending"] == 0), at)
+        .otherwise(state["ending"]),
+        "inner": F.when(starts, none).when(is_close & nested, at).otherwise(state["inner"]),
+        "bare": F.when(starts, none).when(is_bracket, at).otherwise(state["bare"]),
+        "items": F.when(done.isNotNull(), F.array_append(state["items"], item)).otherwise(state["items"]),
+    }
+    return F.struct(*[value.alias(name) for name, value in step.items()]).cast(_STATE)
+
+
+def _last(state: Column) -> Column:
+    """All items, also one that the text ends in."""
+    ends = [state[name] for name in ("outer", "ending", "inner", "bare")]
+    end = F.coalesce(*[F.when(e > 0, e) for e in ends])
+    item = F.struct(state["id"].alias("id"), state["start"].alias("start"), end.alias("end"))
+    return F.when(state["open"] & end.isNotNull(), F.array_append(state["items"], item)).otherwise(state["items"])
 
 
 def found_items(output: Column) -> Column:
     """Strict mode: (id, value) of the well-formed items, in answer order.
 
-    An item begins at ``[id: <number>, annotation:`` and never reaches into the
-    next one, whatever stands between and after the items: commas, semicolons,
-    numbering, a code fence or prose.
+    A scanner goes over the answer once, with the brackets open inside a value as
+    its state. A value ends at ``"]`` (unquoted ones: at ``]``) outside of inner
+    brackets, where a next item, the end of the list or a new line follows; if none
+    does, at the last one before the next item. An item start inside a value that
+    has not ended yet is part of it: a justification may quote an item. Commas,
+    semicolons, numbering, a code fence or prose may stand between and after items.
+    Brackets that are opened and never closed, or the reverse, cost no item.
     """
-    items = F.transform(
-        _items(output),
-        lambda item: F.struct(
-            F.regexp_extract(item, rf"^{ITEM_START}", 1).try_cast("bigint").alias("id"),
-            _value(item).alias("value"),
-        ),
-    )
-    return F.filter(items, lambda item: item["id"].isNotNull() & item["value"].isNotNull())
+    marked = F.regexp_replace(F.replace(output, F.lit(_MARK), F.lit("")), rf"\]{_AFTER}", f"]{_MARK}")
+    fresh = {
+        "at": F.lit(1), "open": F.lit(False), "quoted": F.lit(False), "id": F.lit(""),
+        "items": F.array().cast("array<struct<id:string,start:int,end:int>>"),
+    }
+    names = [part.split(":")[0] for part in _STATE[7:].split(",")[:11]] + ["items"]
+    start = F.struct(*[fresh.get(name, F.lit(0)).alias(name) for name in names]).cast(_STATE)
+    places = F.aggregate(F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0)), start, _scan, _last)
+
+    def item(place: Column) -> Column:
+        value = F.replace(F.substring(marked, place["start"], place["end"] - place["start"]), F.lit(_MARK), F.lit(""))
+        quoted = F.substring(marked, place["start"] - 1, F.lit(1)) == '"'
+        bare = F.regexp_replace(strip(value), r'"?\s*$', "")
+        return F.struct(place["id"].try_cast("bigint").alias("id"), F.when(quoted, value).otherwise(bare).alias("value"))
+
+    return F.filter(F.transform(places, item), lambda found: found["id"].isNotNull())
 
 
 def id_marks(ids: Column, output: Column) -> Column:
