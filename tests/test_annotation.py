@@ -1,15 +1,18 @@
 """Batches, prompts, model calls and the two annotation jobs."""
 
+import collections
 import os
 import re
+import threading
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from threadloom.functions.answers import MISSING_ID
-from threadloom.operators import batching
-from threadloom.operators.annotation import call_model, model_responses, route
+from threadloom.operators import annotation, batching
+from threadloom.operators.annotation import Calls, call_model, model_responses, route
 from threadloom.operators.numbering import number_rows
 from threadloom.plans.annotate import argument_mine, stance_detect, task_count
 
@@ -307,3 +310,95 @@ def test_resume_over_fewer_rows_loses_none(spark, tmp_path):
     import pathlib
 
     assert not pathlib.Path(calls).exists()
+
+
+def _slow_model():
+    def answer(prompt, system):
+        time.sleep(0.1)
+        if prompt.endswith("7"):
+            raise ValueError("seven")
+        return f"{prompt} by {threading.get_ident()}"
+
+    return answer
+
+
+def _requests(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("batch_id"), F.array("id").alias("ids"), F.concat(F.lit("p"), "id").alias("prompt"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("model"),
+    ).coalesce(1)
+
+
+def test_requests_in_flight_overlap_and_keep_their_order(spark):
+    took = {}
+    for in_flight in (1, 10):
+        begun = time.time()
+        rows = annotation.model_responses(_requests(spark, 40), _slow_model, calls=Calls(in_flight=in_flight)).collect()
+        took[in_flight] = time.time() - begun
+        assert [r.batch_id for r in rows] == list(range(40))
+        for r in rows:
+            if r.batch_id % 10 == 7:
+                assert (r.output, r.error) == (None, "ValueError: seven")
+            else:
+                assert r.output.startswith(f"p{r.batch_id} by ") and r.error is None
+        threads = len({r.output.split(" by ")[1] for r in rows if r.output})
+        assert threads == 1 if in_flight == 1 else 5 <= threads <= in_flight
+    assert took[1] > 4 and took[10] < took[1] - 2.5
+
+
+def test_a_task_reads_on_only_as_far_as_its_window(spark):
+    """Batches are asked for once those under way no longer fill the window."""
+    read = []
+
+    def batches():
+        for k in range(20):
+            read.append(k)
+            yield pa.RecordBatch.from_pydict({"batch_id": [k], "ids": [[k]], "prompt": [str(k)]})
+
+    class Frame:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = annotation.model_responses(Frame(), lambda: lambda prompt, system: prompt, calls=Calls(in_flight=3))
+    out = run(batches())
+    next(out)
+    assert len(read) <= 4
+    assert [b.column("output")[0].as_py() for b in out] == [str(k) for k in range(1, 20)]
+
+
+def _shaky_model():
+    tries = collections.Counter()
+
+    def answer(prompt, system):
+        tries[prompt] += 1
+        if tries[prompt] < 3:
+            raise TimeoutError("busy")
+        return f"after {tries[prompt]}"
+
+    return answer
+
+
+def test_a_failing_request_is_tried_again(spark):
+    calls = Calls(attempts=3, wait=0.01)
+    rows = annotation.model_responses(_requests(spark, 4), _shaky_model, calls=calls).collect()
+    assert {r.output for r in rows} == {"after 3"}
+    rows = annotation.model_responses(_requests(spark, 4), _shaky_model, calls=Calls(attempts=2, wait=0.01)).collect()
+    assert {(r.output, r.error) for r in rows} == {(None, "TimeoutError: busy")}
+    for wrong in ({"in_flight": 0}, {"attempts": 0}, {"wait": -1}):
+        with pytest.raises(ValueError):
+            Calls(**wrong)
+
+
+def test_each_batch_goes_to_its_model(spark):
+    models = {"a": lambda: lambda prompt, system: "A" + prompt, "b": lambda: lambda prompt, system: system + prompt}
+    rows = annotation.model_responses(_requests(spark, 9), models, "S", Calls(in_flight=2)).collect()
+    want = {0: lambda i: (f"Ap{i}", None), 1: lambda i: (f"Sp{i}", None), 2: lambda i: (None, "no model is called c")}
+    assert [(r.output, r.error) for r in rows] == [want[i % 3](i) for i in range(9)]
+
+
+def test_a_name_needs_the_mapping(spark):
+    with pytest.raises(ValueError):
+        argument_mine(posts(spark, 3), model="a")

@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession, types as T
 
 from threadloom import schemas
 from threadloom.operators import progress
+from threadloom.operators.annotation import Calls
 from threadloom.plans import annotate, collect
 from threadloom.session import build_session
 from threadloom.sources.readers import read_table
@@ -100,12 +101,14 @@ def run_annotation(spark: SparkSession, args) -> None:
     done = job(
         rows,
         args.strategy or default,
-        _model(args.model),
+        args.model if args.models else _model(args.model),
         mode=args.mode,
         null_text=args.null_text,
         run_id=args.run_id,
         responses_path=args.responses_path,
         parallelism=args.parallelism,
+        models=_model(args.models) if args.models else None,
+        calls=Calls(args.in_flight, args.attempts, args.wait),
         **options,
     )
     replace_snapshot(result_projection(done, result), args.out, args.format)
@@ -142,6 +145,10 @@ def main(argv: list[str] | None = None) -> None:
             job.add_argument("--run-id", help="with --responses-path: repeat a run without asking twice")
             job.add_argument("--responses-path")
             job.add_argument("--parallelism", type=int, help="least tasks that call the model at once")
+            job.add_argument("--models", help="module:mapping of names to factories; --model is then a name")
+            job.add_argument("--in-flight", type=int, default=1, help="requests a task has under way at once")
+            job.add_argument("--attempts", type=int, default=1, help="tries of a request that fails")
+            job.add_argument("--wait", type=float, default=1.0, help="seconds before the second try, then doubled")
         if name == "stances":
             job.add_argument("--only-missing", action="store_true")
     args = parser.parse_args(argv)

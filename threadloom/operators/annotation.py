@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -32,36 +37,117 @@ def route(models: Mapping[str, ModelFactory], name: str) -> ModelFactory:
     return models.get(name, lambda: lambda prompt, system: None)
 
 
-def model_responses(requests: DataFrame, factory: ModelFactory, system_prompt: str = "") -> DataFrame:
+@dataclass(frozen=True)
+class Calls:
+    """How a task calls the model.
+
+    in_flight: requests a task has under way at once; each of as many threads has
+    a model of its own. attempts: tries of a request that fails; wait: seconds
+    before the second try, doubled before every further one.
+    """
+
+    in_flight: int = 1
+    attempts: int = 1
+    wait: float = 1.0
+
+    def __post_init__(self):
+        if self.in_flight < 1 or self.attempts < 1 or self.wait < 0:
+            raise ValueError("in_flight and attempts are at least 1, wait at least 0")
+
+
+class _Unknown(Exception):
+    """A request names a model that nobody registered."""
+
+
+class _Caller:
+    """Models made as they are needed, one per thread and name."""
+
+    def __init__(self, factory: ModelFactory | Mapping[str, ModelFactory], system_prompt: str, calls: Calls):
+        self.factory, self.system_prompt, self.calls = factory, system_prompt, calls
+        self.held = threading.local()
+
+    def _model(self, name: str | None) -> Model:
+        models = self.held.__dict__.setdefault("models", {})
+        if name not in models:
+            if isinstance(self.factory, Mapping):
+                if name not in self.factory:
+                    raise _Unknown(f"no model is called {name}")
+                models[name] = route(self.factory, name)()
+            else:
+                models[name] = self.factory()
+        return models[name]
+
+    def answer(self, prompt: str, name: str | None) -> tuple[str | None, str | None]:
+        """(output, error) of one request."""
+        wait, error = self.calls.wait, None
+        for attempt in range(self.calls.attempts):
+            if attempt:
+                time.sleep(wait)
+                wait *= 2
+            try:
+                output = self._model(name)(prompt, self.system_prompt)
+            except _Unknown as unknown:
+                return None, str(unknown)
+            except Exception as failure:
+                error = f"{type(failure).__name__}: {failure}"
+            else:
+                if output is not None:
+                    return output, None
+                error = "no text returned"
+        return None, error
+
+
+def model_responses(
+    requests: DataFrame,
+    factory: ModelFactory | Mapping[str, ModelFactory],
+    system_prompt: str = "",
+    calls: Calls = Calls(),
+) -> DataFrame:
     """(batch_id, ids, output, error), not evaluated yet.
 
+    ``factory`` makes the model, or is a mapping of names to factories; then the
+    requests have a column ``model`` with a name, and one that is not in the
+    mapping leaves its batch without an answer. A task keeps ``calls.in_flight``
+    requests under way while it reads on, holds at most that many and one Arrow
+    batch more, and returns answers in the order of the requests.
+
     A call that raises or returns no text leaves its batch with a null output
     and the error text; the other batches go on.
     """
-
-    def answer(model: Model, prompt: str) -> tuple[str | None, str | None]:
-        try:
-            output = model(prompt, system_prompt)
-        except Exception as failure:
-            return None, f"{type(failure).__name__}: {failure}"
-        return output, "no text returned" if output is None else None
+    routed = isinstance(factory, Mapping)
+
+    def collected(batch: pa.RecordBatch, answers: list[Future]) -> pa.RecordBatch:
+        found = [answer.result() for answer in answers]
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("batch_id"),
+                batch.column("ids"),
+                pa.array([output for output, _ in found], pa.string()),
+                pa.array([error for _, error in found], pa.string()),
+            ],
+            names=RESPONSE.names,
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
-        for batch in batches:
-            model = model or factory()
-            answers = [answer(model, prompt) for prompt in batch.column("prompt").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("batch_id"),
-                    batch.column("ids"),
-                    pa.array([output for output, _ in answers], pa.string()),
-                    pa.array([error for _, error in answers], pa.string()),
-                ],
-                names=RESPONSE.names,
-            )
-
-    return requests.select("batch_id", "ids", "prompt").mapInArrow(run, RESPONSE)
+        caller = _Caller(factory, system_prompt, calls)
+        waiting: deque[tuple[pa.RecordBatch, list[Future]]] = deque()
+        ahead = 0
+        with ThreadPoolExecutor(calls.in_flight) as pool:
+            for batch in batches:
+                prompts = batch.column("prompt").to_pylist()
+                names = batch.column("model").to_pylist() if routed else [None] * len(prompts)
+                answers = [pool.submit(caller.answer, *pair) for pair in zip(prompts, names, strict=True)]
+                waiting.append((batch, answers))
+                ahead += len(answers)
+                # The oldest batch is waited for once those behind it keep all threads busy.
+                while waiting and ahead - len(waiting[0][1]) >= calls.in_flight:
+                    ahead -= len(waiting[0][1])
+                    yield collected(*waiting.popleft())
+            while waiting:
+                yield collected(*waiting.popleft())
+
+    columns = ["batch_id", "ids", "prompt"] + (["model"] if routed else [])
+    return requests.select(*columns).mapInArrow(run, RESPONSE)
 
 
 def _responses_at(spark: SparkSession, path: str, run_id: str | None) -> str:
@@ -87,10 +173,11 @@ def stored_answers(spark: SparkSession, path: str, run_id: str | None) -> DataFr
 
 def call_model(
     requests: DataFrame,
-    factory: ModelFactory,
+    factory: ModelFactory | Mapping[str, ModelFactory],
     system_prompt: str = "",
     run_id: str | None = None,
     path: str | None = None,
+    calls: Calls = Calls(),
 ) -> DataFrame:
     """Call the model once per request and return a scan of the stored answers.
 
@@ -106,14 +193,14 @@ def call_model(
     ):
         if path is None:
             target = scratch_path(spark, "responses")
-            model_responses(requests, factory, system_prompt).write.parquet(target)
+            model_responses(requests, factory, system_prompt, calls).write.parquet(target)
             return spark.read.schema(RESPONSE).parquet(target)
         target = _responses_at(spark, path, run_id)
         wanted = store(requests.select("batch_id", "ids"), "requests")
         answered = stored_answers(spark, path, run_id).select("batch_id", "ids")
         open_requests = requests.join(answered, ["batch_id", "ids"], "left_anti")
         # A finished task's answers stay even if the job as a whole fails.
-        model_responses(open_requests, factory, system_prompt).write.mode("append").option(
+        model_responses(open_requests, factory, system_prompt, calls).write.mode("append").option(
             "mapreduce.fileoutputcommitter.algorithm.version", "2"
         ).parquet(target)
     every = spark.read.schema(RESPONSE).parquet(target)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,39 +27,78 @@ def number_rows(
     change between the two uses below. Only the row counts, one per partition,
     are then summed up and broadcast.
     """
-    return number_stored(df, order_by, name, partitions)[0]
+    stored = store(_placed(df, order_by, partitions), "numbered")
+    starts = _starts(stored).select("_part", F.col("_before").alias("_offset"))
+    return (
+        stored.join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_offset") + F.col("_place"))
+        .drop("_part", "_place", "_offset")
+    )
 
 
-def number_stored(
-    df: DataFrame,
-    order_by: Sequence[str | Column],
-    name: str = "rn",
-    partitions: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(numbered rows, the stored table they are read from)."""
+def _placed(df: DataFrame, order_by: Sequence[str | Column], partitions: int | None) -> DataFrame:
+    """The rows in ranges of the order, each with its range and its place inside."""
     ranged = (
         df.repartitionByRange(*order_by)
         if partitions is None
         else df.repartitionByRange(partitions, *order_by)
     )
-    stored = store(
-        ranged.sortWithinPartitions(*order_by).withColumn(
-            "_place", F.monotonically_increasing_id()
-        ),
-        "numbered",
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    return ranged.sortWithinPartitions(*order_by).select(
+        "*", inside.alias("_place"), F.spark_partition_id().alias("_part")
     )
-    part = F.shiftright("_place", _POSITION_BITS)
+
+
+def _starts(stored: DataFrame) -> DataFrame:
+    """(_part, _before, _rows): one row per range, with the rows before it."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        stored.groupBy(part.alias("_part"))
+    return (
+        stored.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"), "_rows")
     )
-    position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    numbered = (
-        stored.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + position)
-        .drop("_part", "_place", "_offset")
-    )
-    return numbered, stored
+
+
+@dataclass(frozen=True)
+class Numbered:
+    """A stored table in a global order: a folder per range of it, and where each range begins."""
+
+    stored: DataFrame  # with _part, the folder, and _place, the position inside it
+    starts: list[tuple[int, int, int]]  # (_part, rows before it, its rows), one per range partition
+    name: str
+
+    @property
+    def rows(self) -> int:
+        return sum(rows for _, _, rows in self.starts)
+
+    def numbered(self, first: int = 0, last: int | None = None) -> DataFrame:
+        """The rows numbered ``first`` to ``last`` - 1; only the folders that hold any are opened."""
+        last = self.rows if last is None else last
+        within = [(part, before) for part, before, rows in self.starts if before < last and before + rows > first]
+        parts = [part for part, _ in within]
+        low, high = (min(parts), max(parts)) if parts else (0, -1)
+        # One small row per range partition of the span.
+        offsets = self.stored.sparkSession.createDataFrame(within, "_part int, _offset bigint")
+        number = F.col("_offset") + F.col("_place")
+        out = (
+            self.stored.where(F.col("_part").between(low, high))
+            .join(F.broadcast(offsets), "_part")
+            .withColumn(self.name, number)
+            .drop("_part", "_place", "_offset")
+        )
+        return out if (first, last) == (0, self.rows) else out.where(F.col(self.name).between(first, last - 1))
+
+    def plain(self) -> DataFrame:
+        """The stored rows as they came, without numbers."""
+        return self.stored.drop("_part", "_place")
+
+
+def number_stored(
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    name: str = "rn",
+    partitions: int | None = None,
+) -> Numbered:
+    """Sort and store once, a folder per range, to be read by spans of numbers; see ``number_rows``."""
+    stored = store(_placed(df, order_by, partitions), "numbered", partition_by="_part")
+    return Numbered(stored, [tuple(row) for row in _starts(stored).collect()], name)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from threadloom.operators import batching, threads
-from threadloom.operators.annotation import ModelFactory, call_model, stored_answers
+from threadloom.operators.annotation import Calls, ModelFactory, call_model, stored_answers
 from threadloom.operators.extraction import attach, extract
 from threadloom.operators.numbering import number_stored
 from threadloom.templates import (
@@ -74,7 +74,7 @@ def _annotate(
     requests_of: Callable[..., DataFrame],
     user_template: str,
     system_prompt: str,
-    model: ModelFactory,
+    model: ModelFactory | str | Column,
     result: str,
     mode: str,
     texts: Sequence[str],
@@ -84,9 +84,15 @@ def _annotate(
     responses_path: str | None,
     requests_per_task: int,
     parallelism: int | None,
+    models: Mapping[str, ModelFactory] | None,
+    calls: Calls,
 ) -> DataFrame:
     if model is None:
         raise ValueError("a model factory is needed")
+    named = isinstance(model, (str, Column))
+    if named and models is None:
+        raise ValueError("a model's name needs the mapping ``models``")
+    name_of = F.lit(model) if isinstance(model, str) else model
     if df.schema["external_id"].dataType != T.LongType():
         raise TypeError("external_id must be BIGINT; see batching.split_ids")
     sendable = F.col("external_id").isNotNull()
@@ -106,28 +112,30 @@ def _annotate(
     if carry_rest:
         # Few rows stay behind: they are stored after the others, and ``df``,
         # which may hold a wide join, is computed once.
-        flagged = df.withColumn("_sent", chosen)
-        every, stored = number_stored(flagged, [F.desc("_sent"), *order_by])
-        numbered = every.where("_sent").drop("_sent")
-        rest = stored.where(~F.col("_sent")).select(df.columns)
+        stored = number_stored(df.withColumn("_sent", chosen), [F.desc("_sent"), *order_by])
+        n_rows = stored.stored.where("_sent").count()
+        rest = stored.plain().where(~F.col("_sent")).select(df.columns)
     else:
         # Many rows may be done already: they are only filtered, not moved.
-        numbered, stored = number_stored(df.where(chosen), order_by)
+        stored = number_stored(df.where(chosen), order_by)
+        n_rows = stored.rows
         rest = df.where(~chosen)
-    n_rows = stored.count()  # from Parquet footers
-    batched = batching.with_batch(numbered, size)
     per_job = TASKS_PER_JOB * requests_per_task
     responses = None
     for first in range(0, max(1, math.ceil(n_rows / size)), per_job):
+        # A job reads only the ranges of the stored table that its batches lie in.
         last = min(n_rows, (first + per_job) * size)
         requests = requests_of(
-            batched.where(F.col("batch_id").between(first, first + per_job - 1)),
+            batching.with_batch(stored.numbered(first * size, last), size),
             user_template=user_template,
             tasks=max(task_count(last - first * size, size, requests_per_task), parallelism or 1),
             null_text=null_text,
         )
-        answers = call_model(requests, model, system_prompt, run_id, responses_path)
+        if named:
+            requests = requests.withColumn("model", name_of)
+        answers = call_model(requests, models if named else model, system_prompt, run_id, responses_path, calls)
         responses = answers if responses is None else responses.unionByName(answers)
+    numbered = stored.numbered(0, n_rows).drop("_sent")
     done = attach(numbered, extract(responses, mode), size, result).drop("rn")
     return done.unionByName(rest).drop("_chosen")
 
@@ -135,7 +143,7 @@ def _annotate(
 def argument_mine(
     df: DataFrame,
     prompting_method: str = "AM_Shots_CoT",
-    model: ModelFactory | None = None,
+    model: ModelFactory | str | Column | None = None,
     order_by: Sequence[str | Column] = ("external_id",),
     mode: str = "strict",
     null_text: str | None = None,
@@ -146,12 +154,19 @@ def argument_mine(
     responses_path: str | None = None,
     requests_per_task: int = REQUESTS_PER_TASK,
     parallelism: int | None = None,
+    models: Mapping[str, ModelFactory] | None = None,
+    calls: Calls = Calls(),
 ) -> DataFrame:
     """``df`` with AM_output filled for the posts that had none.
 
     Runs the model at once (answers are stored), the rest when read. Rows with
     a null id, or null text unless ``null_text`` names it, keep their null.
     ``order_by`` must order the rows uniquely; it stands for the row order.
+
+    ``model`` is a factory, or with ``models`` a name in that mapping, or a column
+    over ``batch_id`` that names the model of each batch; a batch whose name is
+    unknown fails. ``calls`` says how many requests a task has under way and how
+    often one that fails is tried.
     """
     df = batching.with_result_column(df, "AM_output")
     return _annotate(
@@ -172,13 +187,15 @@ def argument_mine(
         responses_path,
         requests_per_task,
         parallelism,
+        models,
+        calls,
     )
 
 
 def stance_detect(
     df: DataFrame,
     prompting_method: str = "SD_Shots_CoT",
-    model: ModelFactory | None = None,
+    model: ModelFactory | str | Column | None = None,
     only_missing: bool = False,
     mode: str = "strict",
     null_text: str | None = None,
@@ -190,13 +207,16 @@ def stance_detect(
     responses_path: str | None = None,
     requests_per_task: int = REQUESTS_PER_TASK,
     parallelism: int | None = None,
+    models: Mapping[str, ModelFactory] | None = None,
+    calls: Calls = Calls(),
 ) -> DataFrame:
     """``df`` with SD_output: the stance of each reply to its parent's text.
 
     All replies are annotated, those with a result again, unless
     ``only_missing``. Replies are sent by depth and parent URL, so that a
     parent's text is sent once per run of its replies. A reply whose own or
-    parent's text is null is not sent unless ``null_text`` names it.
+    parent's text is null is not sent unless ``null_text`` names it. ``model``,
+    ``models`` and ``calls`` are those of ``argument_mine``.
     """
     df = batching.with_result_column(df, "SD_output")
     return _annotate(
@@ -217,4 +237,6 @@ def stance_detect(
         responses_path,
         requests_per_task,
         parallelism,
+        models,
+        calls,
     )

@@ -79,13 +79,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+def store(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of it.
 
     Used where a frame must not be computed twice (costly or not repeatable
     work) and to cut lineage: what is written survives the loss of executors,
-    and later readers prune columns as in any Parquet table.
+    and later readers prune columns as in any Parquet table. ``partition_by``, the
+    last column, gets a folder per value, so readers prune those too.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    if partition_by is None:
+        df.write.parquet(path)
+    else:
+        # A few folders may be open at once, so rows need no sort by folder.
+        with runtime_conf(df.sparkSession, spark__sql__maxConcurrentOutputFileWriters="2"):
+            df.write.partitionBy(partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
