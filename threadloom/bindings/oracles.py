@@ -136,6 +136,18 @@ ORACLES: dict[str, str] = {
     "scan_posts": f"""SELECT doc_id AS "row", {_url('doc_id * 1000')} AS url, text AS content,
       source AS file, n_chars FROM documents""",
     "scan_typed": f"WITH {REPLIES} SELECT id AS external_id, content, reply_depth FROM replies",
+    "snapshot_commit": """SELECT doc_id AS "row", text AS content, source AS file FROM documents
+      UNION ALL SELECT -doc_id, text, source FROM documents""",
+    "input_rejects": f"""WITH {REPLIES}, tagged AS (
+        SELECT r.id AS external_id, CASE WHEN r.id IS NULL THEN 'null id' WHEN r.content IS NULL THEN 'null text'
+          WHEN p.content IS NULL THEN 'null parent' WHEN r.username = 'system' THEN 'null handle' END AS reason
+        FROM replies r LEFT JOIN replies p ON r.in_reply_to_id = p.id)
+      SELECT external_id, reason, CAST(1 AS BIGINT) AS n FROM tagged WHERE reason IS NOT NULL
+      UNION ALL SELECT NULL, name, count(external_id) FROM
+        (SELECT unnest(['null id', 'null text', 'null parent', 'null handle']) AS name)
+        LEFT JOIN tagged ON reason = name GROUP BY name
+      UNION ALL SELECT NULL, 'rows', count(*) FROM tagged
+      UNION ALL SELECT NULL, 'kept', count(*) FROM tagged WHERE reason IS NULL""",
     "scan_files_union": """SELECT doc_id AS "row", text AS content,
       CASE WHEN length(source) = 4 THEN lang END AS lang, source AS file FROM documents""",
     "annotation_file": f"""WITH {ARGUMENTS}
@@ -286,6 +298,14 @@ ORACLES: dict[str, str] = {
     "extract_strict": f"""WITH {STANCE_VALUES}
       SELECT batch_id, external_id AS id, coalesce(answer, '{MISSING_ID}') AS result
       FROM answered""",
+    "extract_nested": f"""WITH {REPLIES}
+      SELECT id // 20 AS batch_id, id, CASE id % 6
+        WHEN 0 THEN 'FOR because: see ["x' || CAST(id AS VARCHAR) || '"] and more'
+        WHEN 1 THEN 'AGAINST because: they quote "[id: ' || CAST(id + 1 AS VARCHAR) || ', annotation: x]" here'
+        WHEN 2 THEN 'NEUTRAL because: [sic] and' || chr(10) || 'a new line'
+        WHEN 3 THEN 'FOR because: open [ bracket'
+        WHEN 4 THEN 'AGAINST because: shut ] bracket'
+        ELSE '{MISSING_ID}' END AS result FROM replies""",
     "am_label": f"""WITH {ARGUMENTS}
       SELECT external_id, CASE WHEN AM_output = 'argumentative' THEN AM_output
         ELSE replace({_ARGUMENT_WORD}, ' ', '_') END AS AM_label FROM frame""",
@@ -298,6 +318,10 @@ ORACLES: dict[str, str] = {
       SELECT f.external_id, CASE WHEN a.external_id IS NULL OR a.first_id % 7 = 3
         THEN f.AM_output ELSE coalesce(a.answer, '{MISSING_ID}') END AS AM_output
       FROM frame f LEFT JOIN answered a ON f.external_id = a.external_id""",
+    "routed_arguments": f"""WITH {ARGUMENT_VALUES}
+      SELECT f.external_id, CASE WHEN a.external_id IS NULL OR a.batch_id % 3 = 2 THEN f.AM_output
+        WHEN a.batch_id % 3 = 1 THEN 'argumentative' ELSE coalesce(a.answer, '{MISSING_ID}') END AS AM_output
+      FROM frame f LEFT JOIN answered a ON f.external_id = a.external_id""",
     "resume_arguments": f"""WITH {ARGUMENT_VALUES}
       SELECT f.external_id, CASE WHEN a.external_id IS NULL THEN f.AM_output
         ELSE coalesce(a.answer, '{MISSING_ID}') END AS AM_output
@@ -330,3 +354,12 @@ ORACLES: dict[str, str] = {
     "stream_annotate": f"""WITH {STANCE_VALUES}
       SELECT external_id, coalesce(answer, '{MISSING_ID}') AS SD_output FROM answered""",
 }
+
+ORACLES["progress_counts"] = f"""WITH names AS (
+    SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS username FROM orders),
+  log AS ({ORACLES['merge_logs']})
+  SELECT (SELECT count(*) FROM log) AS n_rows, (SELECT count(*) FROM log WHERE scraped = 1) AS n_done,
+    (SELECT count(*) FROM log WHERE scraped = 0) AS n_failed,
+    (SELECT count(*) FROM log WHERE scraped IS NULL) AS n_open,
+    (SELECT count(*) FROM names) AS n_names, (SELECT count(*) FROM names WHERE username IS NULL) AS n_null,
+    (SELECT count(DISTINCT username) FROM names) AS n_authors"""

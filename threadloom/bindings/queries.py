@@ -17,8 +17,8 @@ from threadloom.functions.text import (
     system_prompt,
     url_tail,
 )
-from threadloom.operators import batching, combine, progress, threads
-from threadloom.operators.annotation import call_model
+from threadloom.operators import batching, combine, progress, rejects, threads
+from threadloom.operators.annotation import Calls, call_model
 from threadloom.operators.extraction import extract
 from threadloom.operators.numbering import number_rows
 from threadloom.operators.skew import lookup_join
@@ -26,6 +26,7 @@ from threadloom.plans import collect
 from threadloom.plans.annotate import argument_mine, stance_detect
 from threadloom.plans.annotate import prepare_stances as prepare
 from threadloom.session import scratch_path, store
+from threadloom.sources import manifest
 from threadloom.sources.readers import read_csv, read_table
 from threadloom.sources.writers import append_results, append_rows, result_projection
 from threadloom.streaming import jobs
@@ -67,6 +68,19 @@ def scan_typed(spark, d):
     return typed.select("external_id", "content", F.col("reply_depth").cast("bigint"))
 
 
+@query
+def snapshot_commit(spark, d):
+    """A snapshot, a write that dies before its commit, a new snapshot, one run added twice."""
+    rows = tables.documents_as_posts(spark, d).select("row", "content", "file")
+    path = scratch_path(spark, "snapshot")
+    manifest.publish(rows.where("row % 2 = 0"), path, replace=True)
+    rows.write.parquet(f"{path}/data/lost")
+    manifest.publish(rows, path, replace=True)
+    for _ in range(2):
+        manifest.publish(rows.withColumn("row", -F.col("row")), path, run_id="r1")
+    return manifest.read_published(spark, path, rows.schema)
+
+
 @query
 def scan_files_union(spark, d):
     """CSV files with two column orders, one without ``lang``, read back by name."""
@@ -505,6 +519,37 @@ def sd_prompts(spark, d):
     return batching.stance_requests(_stance_batches(spark, d)).select("batch_id", "prompt")
 
 
+@query
+def input_rejects(spark, d):
+    """Rejected rows with their reason, and the counts of the same pass (without an id)."""
+    linked = threads.link_parents(tables.replies(spark, d)).select(
+        F.col("id").alias("external_id"), "content", "PARENT_content",
+        F.nullif("username", F.lit("system")).alias("username"),
+    )
+    rules = rejects.null_rules(id="external_id", text="content", parent="PARENT_content", handle="username")
+    split = rejects.split_rejects(linked, rules)
+    counted = spark.createDataFrame(list(split.counts.items()), "reason string, n bigint")
+    return (
+        split.rejected.select("external_id", "reason", F.lit(1).cast("bigint").alias("n"))
+        .unionByName(counted.withColumn("external_id", F.lit(None).cast("bigint")))
+        .unionByName(
+            split.kept.agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(None).cast("bigint").alias("external_id"), F.lit("kept").alias("reason"), "n")
+        )
+    )
+
+
+@query
+def progress_counts(spark, d):
+    """What a run reports: rows done, failed and open, names, authors and null names."""
+    names = tables.table(spark, d, "orders").select(
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")).alias("username")
+    )
+    log = progress.log_summary(tables.merged_log(spark, d)).withColumn("_one", F.lit(1))
+    authors = threads.author_summary(names).withColumn("_one", F.lit(1))
+    return log.join(authors, "_one").drop("_one")  # one row each
+
+
 # --- model, answers, labels ------------------------------------------------
 
 
@@ -524,6 +569,34 @@ def extract_strict(spark, d):
     return extract(_stance_answers(spark, d), "strict").select("batch_id", "id", "result")
 
 
+@query
+def extract_nested(spark, d):
+    """Answers whose justifications hold brackets, quotes and items of their own."""
+    i = F.col("id")
+    inner = [
+        F.concat(F.lit('FOR because: see ["x'), i, F.lit('"] and more')),
+        F.concat(F.lit('AGAINST because: they quote "[id: '), i + 1, F.lit(', annotation: x]" here')),
+        F.lit("NEUTRAL because: [sic] and\na new line"),
+        F.lit("FOR because: open [ bracket"),
+        F.lit("AGAINST because: shut ] bracket"),
+    ]
+    value = F.get(F.array(*inner), (i % 6).cast("int"))
+    item = F.concat(F.lit("[id: "), i, F.lit(', annotation: "'), value, F.lit('"]'))
+    answers = (
+        tables.replies(spark, d)
+        .select(F.expr("id div 20").alias("batch_id"), "id", item.alias("item"))
+        .groupBy("batch_id")
+        .agg(F.sort_array(F.collect_list(F.struct("id", "item"))).alias("asked"))  # at most 20 ids
+        .select(
+            "batch_id",
+            F.col("asked.id").alias("ids"),
+            F.concat(F.lit("["), F.array_join("asked.item", ",\n"), F.lit("]\nThat is all [of them].")).alias("output"),
+            F.lit(None).cast("string").alias("error"),
+        )
+    )
+    return extract(answers).select("batch_id", "id", "result")
+
+
 @query
 def am_label(spark, d):
     done = argument_mine(
@@ -553,6 +626,15 @@ def annotate_with_failures(spark, d):
     return done.select("external_id", "AM_output")
 
 
+@query
+def routed_arguments(spark, d):
+    """Batches in turn to two models and to a name that no model has."""
+    name = F.get(F.array(F.lit("full"), F.lit("brief"), F.lit("none")), (F.col("batch_id") % 3).cast("int"))
+    models = {"full": stub.argument_model, "brief": stub.brief_argument_model}
+    done = argument_mine(tables.argument_frame(spark, d), model=name, models=models, calls=Calls(in_flight=4))
+    return done.select("external_id", "AM_output")
+
+
 @query
 def resume_arguments(spark, d):
     """A run in which batches fail, then the same run over the rows that are left.

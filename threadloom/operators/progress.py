@@ -91,3 +91,14 @@ def merge_logs(parts: DataFrame, order: str) -> DataFrame:
         return F.min_by(name, F.when(F.col(name).isNotNull(), F.col(order))).alias(name)
 
     return parts.groupBy("row").agg(first_value("scraped"), first_value("output"))
+
+
+def log_summary(log: DataFrame) -> DataFrame:
+    """One row: n_rows, n_done, n_failed and n_open, by the distinct rows of a log."""
+    state = log.groupBy("row").agg(F.max("scraped").alias("scraped"))
+    return state.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("scraped") == 1).alias("n_done"),
+        F.count_if(F.col("scraped") == 0).alias("n_failed"),
+        F.count_if(F.col("scraped").isNull()).alias("n_open"),
+    )

@@ -288,6 +288,15 @@ def distinct_authors(usernames: DataFrame, name: str = "username") -> DataFrame:
     return usernames.select(name).where(F.col(name).isNotNull()).distinct()
 
 
+def author_summary(usernames: DataFrame, name: str = "username") -> DataFrame:
+    """One row: n_names, n_null and n_authors, the number of distinct names."""
+    return usernames.agg(
+        F.count(F.lit(1)).alias("n_names"),
+        F.count_if(F.col(name).isNull()).alias("n_null"),
+        F.count_distinct(name).alias("n_authors"),
+    )
+
+
 def lookup(profiles: DataFrame, user_handle: str, name: str = "username") -> DataFrame:
     """The profile of one user."""
     if user_handle is None:
