@@ -1,0 +1,78 @@
+"""Block-wise CSV against the plain reader."""
+
+import random
+
+import pyarrow as pa
+import pytest
+
+from threadloom import schemas
+from threadloom.session import runtime_conf
+from threadloom.sources import readers
+from threadloom.sources.csv_blocks import HEAD, OPEN, WHOLE, _Block
+
+SCHEMA = schemas._struct(url=schemas.S, n=schemas.L, text=schemas.S)
+
+
+def write(path, rows, columns, end="\n"):
+    def cell(v):
+        v = "" if v is None else str(v)
+        return '"' + v.replace('"', '""') + '"' if any(c in v for c in ',"\n\r') else v
+
+    lines = [",".join(columns)] + [",".join(cell(row[c]) for c in columns) for row in rows]
+    path.write_text(end.join(lines) + end, newline="")
+
+
+def some_rows(seed, n):
+    rng = random.Random(seed)
+    parts = ["a", "word ", "\n", '"', ",", "é", "\n\n", "x\ny", '""', "long " * 30]
+    return [{"url": f"u{k}", "n": k, "text": "t" + "".join(rng.choices(parts, k=rng.randrange(1, 9))) + "z"} for k in range(n)]
+
+
+@pytest.mark.parametrize("size", ["100", "257", "1000", "1m"])
+def test_agrees_with_the_plain_reader(spark, tmp_path, size):
+    write(tmp_path / "a.csv", some_rows(1, 120), ["url", "n", "text"])
+    write(tmp_path / "b.csv", some_rows(2, 60), ["text", "n"])
+    write(tmp_path / "c.csv", some_rows(3, 30), ["n", "url"], end="\r\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text("\n\nurl,n\n\nx,1\n\n,2")
+    plain = readers.read_csv(spark, f"{tmp_path}/*.csv", SCHEMA)
+    with runtime_conf(spark, spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="0"):
+        split = readers.read_csv(spark, f"{tmp_path}/*.csv", SCHEMA, splittable=True)
+        got = sorted(map(tuple, split.collect()), key=str)
+    assert split.columns == plain.columns
+    assert got == sorted(map(tuple, plain.collect()), key=str)
+    assert len(got) == 212
+
+
+def test_one_file_fills_many_tasks_and_keeps_its_order(spark, tmp_path):
+    write(tmp_path / "a.csv", some_rows(4, 400), ["url", "n", "text"])
+    with runtime_conf(spark, spark__sql__files__maxPartitionBytes="2000", spark__sql__files__openCostInBytes="0"):
+        rows = readers.read_csv(spark, f"{tmp_path}/a.csv", SCHEMA, file_order=True, splittable=True).collect()
+    assert len({r.block for r in rows}) > 10
+    assert [r.n for r in sorted(rows, key=lambda r: (r.block, r.pos))] == list(range(400))
+
+
+def test_a_cell_over_many_blocks(spark, tmp_path):
+    long = "\n".join(f"line {k}" for k in range(500))
+    rows = [{"url": "a", "n": 1, "text": "x"}, {"url": "b", "n": 2, "text": long}, {"url": "c", "n": 3, "text": "y\nz"}]
+    write(tmp_path / "a.csv", rows, ["url", "n", "text"])
+    with runtime_conf(spark, spark__sql__files__maxPartitionBytes="64", spark__sql__files__openCostInBytes="0"):
+        got = readers.read_csv(spark, f"{tmp_path}/a.csv", SCHEMA, splittable=True).collect()
+    assert sorted((r.n, r.text) for r in got) == [(1, "x"), (2, long), (3, "y\nz")]
+
+
+def test_no_files_with_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert readers.read_csv(spark, f"{tmp_path}/a.csv", SCHEMA, splittable=True).collect() == []
+    (tmp_path / "a.csv").write_text("url,n\n")
+    assert readers.read_csv(spark, f"{tmp_path}/a.csv", SCHEMA, splittable=True).collect() == []
+
+
+def test_pieces_of_a_block():
+    block = _Block(1)
+    block.add(pa.array(["end of a cell", 'here",1', "a,2", "", 'b,"x']))
+    block.add(pa.array(["goes on"]))
+    assert block.close() == [(0, HEAD, 'end of a cell\nhere",1'), (1, WHOLE, "a,2"), (2, OPEN, 'b,"x\ngoes on')]
+    inside = _Block(1)
+    inside.add(pa.array(["all", "inside"]))
+    assert inside.close() == [(0, HEAD, "all\ninside")]

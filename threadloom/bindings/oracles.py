@@ -363,3 +363,5 @@ ORACLES["progress_counts"] = f"""WITH names AS (
     (SELECT count(*) FROM log WHERE scraped IS NULL) AS n_open,
     (SELECT count(*) FROM names) AS n_names, (SELECT count(*) FROM names WHERE username IS NULL) AS n_null,
     (SELECT count(DISTINCT username) FROM names) AS n_authors"""
+
+ORACLES["scan_csv_blocks"] = ORACLES["scan_files_union"]

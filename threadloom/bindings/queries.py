@@ -25,7 +25,7 @@ from threadloom.operators.skew import lookup_join
 from threadloom.plans import collect
 from threadloom.plans.annotate import argument_mine, stance_detect
 from threadloom.plans.annotate import prepare_stances as prepare
-from threadloom.session import scratch_path, store
+from threadloom.session import runtime_conf, scratch_path, store
 from threadloom.sources import manifest
 from threadloom.sources.readers import read_csv, read_table
 from threadloom.sources.writers import append_results, append_rows, result_projection
@@ -93,6 +93,19 @@ def scan_files_union(spark, d):
     return read_csv(spark, f"{landed}/*/*.csv", schema)
 
 
+@query
+def scan_csv_blocks(spark, d):
+    """The same files, each read by as many tasks as it has blocks."""
+    docs = tables.documents_as_posts(spark, d)
+    landed = scratch_path(spark, "blocks")
+    short = F.length("file") == 4
+    append_rows(docs.where(short).select("row", "content", "lang", "file"), f"{landed}/a", "csv")
+    append_rows(docs.where(~short).select("file", "row", "content"), f"{landed}/b", "csv")
+    schema = schemas._struct(row=schemas.L, content=schemas.S, lang=schemas.S, file=schemas.S)
+    with runtime_conf(spark, spark__sql__files__maxPartitionBytes="1m"):
+        return store(read_csv(spark, f"{landed}/*/*.csv", schema, splittable=True), "read")
+
+
 @query
 def annotation_file(spark, d):
     """Results appended run by run, read back as one table."""

@@ -12,6 +12,7 @@ from threadloom import schemas
 from threadloom.functions.text import safe_id
 from threadloom.operators.combine import union_by_name
 from threadloom.operators.threads import TIMESTAMP_FORMAT, project_fields, unnest_page
+from threadloom.sources.csv_blocks import read_blocks
 
 # Text cells may hold line breaks and doubled quotes.
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
@@ -54,6 +55,7 @@ def read_csv(
     paths: str | Sequence[str],
     schema: T.StructType,
     file_order: bool = False,
+    splittable: bool = False,
     **options: str,
 ) -> DataFrame:
     """CSV files or globs with a header each, aligned by column name.
@@ -64,9 +66,17 @@ def read_csv(
     reader per different header. A header is one line.
 
     ``file_order`` adds ``file``, ``block`` and ``pos`` for keep-first rules.
+
+    ``splittable`` lets many tasks read one file although cells hold line breaks,
+    for large files whose cells with quotes are quoted; see ``csv_blocks``. Without
+    it a task reads a whole file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     options = {**CSV_OPTIONS, **options}
+    if splittable:
+        found = read_blocks(spark, paths, schema, options, _dialect(options))
+        places = [F.col(f"_{name}").alias(name) for name in FILE_ORDER] if file_order else []
+        return found.select(*[f.name for f in schema.fields], *places)
     by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for file, line in _first_lines(spark, paths):
         header = tuple(next(csv.reader([line.removeprefix("\ufeff")], _dialect(options)), ()))
