@@ -176,3 +176,29 @@ def test_collect_stream_equals_the_batch_job(spark, tmp_path, small):
         assert got.columns == rows.columns
         assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))
     assert [(r.post_url, r.page) for r in spark.read.parquet(rejects).collect()] == [("u", "[{broken")]
+
+
+def test_retries_send_the_last_text_and_set_aside_what_cannot_go(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = "external_id long, content string"
+    asked = []
+
+    def annotate(df):
+        asked.append(sorted(map(tuple, df.select("external_id", "content").collect()), key=str))
+        return df.select("external_id", F.lit(None).cast("string").alias("AM_output"))
+
+    # Nothing has landed yet.
+    assert jobs.retry_open(spark, annotate, out, "AM_output").collect() == [] and asked == []
+    schema = spark.createDataFrame([], rows).schema
+    assert jobs.retry_open(spark, annotate, out, "AM_output", schema=schema).collect() == []
+    for epoch, landed in enumerate(([(1, "old"), (2, None), (3, "x")], [(1, "new"), (3, "x")], [(4, None)])):
+        jobs._annotate_epoch(spark.createDataFrame(landed, rows), annotate, out, epoch, "AM_output", "external_id")
+    asked.clear()
+    lost = jobs.retry_open(spark, annotate, out, "AM_output", texts=["content"]).collect()
+    assert asked == [[(1, "new"), (3, "x")]] and sorted(map(tuple, lost)) == [(2, None), (4, None)]
+    # A newer text that lands after a retry wins; what was set aside stays there.
+    newer = spark.createDataFrame([(3, "y")], rows)
+    jobs._annotate_epoch(newer, annotate, out, 3, "AM_output", "external_id")
+    asked.clear()
+    assert jobs.retry_open(spark, annotate, out, "AM_output", texts=["content"]).collect() == []
+    assert asked == [[(1, "new"), (3, "y")]]

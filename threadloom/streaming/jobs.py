@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -144,27 +145,71 @@ def _annotate_epoch(
     )
 
 
+def open_rows(
+    spark: SparkSession,
+    results_path: str,
+    result: str,
+    schema: T.StructType,
+    item_id: str = "external_id",
+) -> DataFrame:
+    """One row per item that no epoch has answered: the one that landed last.
+
+    What retries left open are copies of rows that the stream left open, so only
+    the stream's epochs are read. Of several rows of one epoch that of the largest
+    hash stays. Empty before anything landed.
+    """
+    rows = _table_at(spark, f"{results_path}/open", schema).where("epoch >= 0")
+    answered = latest_results(spark, results_path, result, item_id).where(F.col(result).isNotNull())
+    rank = F.struct(F.col("epoch"), F.xxhash64(*schema.names).alias("hash"))
+    last = rows.groupBy(item_id).agg(F.max(rank).alias("_last"))
+    kept = rows.withColumn("_rank", rank).join(last.where(F.col(item_id).isNotNull()), item_id)
+    return (
+        kept.where(F.col("_rank") == F.col("_last"))
+        .drop("_rank", "_last", "epoch")
+        .join(answered, item_id, "left_anti")
+        .dropDuplicates([item_id])
+        .select(schema.names)
+    )
+
+
 def retry_open(
     spark: SparkSession,
     annotate: Callable[[DataFrame], DataFrame],
     results_path: str,
     result: str,
     item_id: str = "external_id",
-) -> None:
+    schema: T.StructType | None = None,
+    texts: Sequence[str] = (),
+) -> DataFrame:
     """Send the rows again that no epoch has answered, whether new files came or not.
 
-    Retries are epochs below zero, counted down, so they never meet a stream's.
+    Retries are epochs below zero, counted down, so they never meet a stream's. An
+    item that landed with several texts is sent with its last. ``schema`` is that of
+    the stream's rows; without it, it is read from the open rows, if there are any.
+    Rows whose ``texts`` hold a null can never be sent: they go to
+    ``unsendable/epoch=...`` once, are not open any more, and come back from here.
     """
-    rows = spark.read.option("mergeSchema", "true").parquet(f"{results_path}/open")
-    answered = latest_results(spark, results_path, result, item_id).where(F.col(result).isNotNull())
-    still_open = (
-        rows.join(answered, item_id, "left_anti").drop("epoch").dropDuplicates([item_id])
-    )
+    if schema is None:
+        try:
+            found = spark.read.option("mergeSchema", "true").parquet(f"{results_path}/open").schema
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return spark.createDataFrame([], T.StructType([T.StructField(item_id, T.LongType())]))
+        schema = T.StructType([field for field in found if field.name != "epoch"])
     epochs = _table_at(spark, f"{results_path}/results", _result_schema(result, item_id))
     lowest = epochs.agg(F.min("epoch")).first()[0]
-    _annotate_epoch(
-        still_open, annotate, results_path, min(0, lowest if lowest is not None else 0) - 1, result, item_id
+    epoch = min(0, lowest if lowest is not None else 0) - 1
+    given_up = _table_at(spark, f"{results_path}/unsendable", schema).select(item_id)
+    still_open = store(
+        open_rows(spark, results_path, result, schema, item_id).join(given_up, item_id, "left_anti"), "open"
     )
+    lost = F.lit(False)
+    for text in texts:
+        lost = lost | F.col(text).isNull()
+    still_open.where(lost).write.mode("overwrite").parquet(f"{results_path}/unsendable/epoch={epoch}")
+    _annotate_epoch(still_open.where(~lost), annotate, results_path, epoch, result, item_id)
+    return spark.read.schema(schema).parquet(f"{results_path}/unsendable/epoch={epoch}")
 
 
 def annotate_stream(
