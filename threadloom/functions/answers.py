@@ -6,6 +6,8 @@ row do it; nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from threadloom.functions.text import strip
@@ -19,14 +21,43 @@ _ITEM = r"""\[\s*"?id"?\s*:\s*"?\d+"?\s*,\s*"?annotation"?\s*:\s*"?"""
 _AFTER = rf"""(?=\s*(?:[,;.]\s*)?(?:{_ITEM}|\]|```|$)|[ \t]*\r?\n)"""
 # Put behind every such bracket, so that a token tells it from others.
 _MARK = "\u0001"
-_CLOSE = rf'"\s*\]{_MARK}?'
-_TOKEN = rf'{_ITEM}|{_CLOSE}|\]{_MARK}?|[\["]|[^\[\]"]+'
+_TOKEN = rf'{_ITEM}|"\s*\]{_MARK}?|\]{_MARK}?|[\["]|[^\[\]"]+'
+# Kinds of tokens.
+_TEXT, _SEPARATOR, _START, _CLOSE, _BRACKET, _INNER = range(6)
 _STATE = (
-    "struct<at:int,open:boolean,quoted:boolean,id:string,start:int,depth:int,near:int,outer:int,"
-    "ending:int,inner:int,bare:int,items:array<struct<id:string,start:int,end:int>>>"
+    "at", "open", "quoted", "id", "start", "depth", "near", "outer", "ending", "inner", "bare", "items",
 )
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once however often it is used.
+
+    Spark may put an expression in place of each use of a column; it never does
+    so with the argument of a function.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _token(text: Column) -> Column:
+    """What the scanner needs to know of a token, found out once."""
+    first, n = F.substring(text, 1, 1), F.char_length(text)
+    long = n > 1
+    kind = (
+        F.when(first == "[", F.when(long, _START).otherwise(_INNER))
+        .when(first == '"', F.when(long, _CLOSE).otherwise(_TEXT))
+        .when(first == "]", _BRACKET)
+        .when(text.rlike(r"^[\s,;.]+$"), _SEPARATOR)
+        .otherwise(_TEXT)
+    )
+    return F.struct(
+        kind.alias("kind"),
+        n.alias("n"),
+        F.endswith(text, F.lit(_MARK)).alias("marked"),
+        F.endswith(text, F.lit('"')).alias("quote"),
+        F.when((first == "[") & long, F.regexp_extract(text, r"(\d+)", 1)).otherwise("").alias("id"),
+    )
+
+
 def _scan(state: Column, token: Column) -> Column:
     """One step over an answer: the state after ``token``.
 
@@ -35,31 +66,29 @@ def _scan(state: Column, token: Column) -> Column:
     ones; ending, inner ones that look like the end of an item; inner, any inner
     one; bare, a bracket without the closing quote of a quoted value. 0 is none.
     """
-    first, marked = F.substring(token, 1, 1), F.endswith(token, F.lit(_MARK))
-    is_item = F.length(token) > 1
-    is_item &= first == "["
-    is_close = token.rlike(rf"^{_CLOSE}$") | ((first == "]") & ~state["quoted"])
-    is_bracket = (first == "]") & state["quoted"]
+    kind, marked = token["kind"], token["marked"]
     opened, nested, at = state["open"], state["depth"] > 0, state["at"]
+    is_close = (kind == _CLOSE) | ((kind == _BRACKET) & ~state["quoted"])
+    is_bracket = (kind == _BRACKET) & state["quoted"]
     none = F.lit(0)
-    starts = is_item & (~opened | (state["near"] > 0) | (state["outer"] > 0))
-    ends = opened & is_close & ~nested & marked
+    starts = (kind == _START) & (~opened | (state["near"] > 0) | (state["outer"] > 0))
+    ends = is_close & opened & ~nested & marked
+    after = at + token["n"]
     done = F.when(starts & opened, F.when(state["near"] > 0, state["near"]).otherwise(state["outer"])).when(ends, at)
     item = F.struct(state["id"].alias("id"), state["start"].alias("start"), done.alias("end"))
-    closing = is_close | is_bracket
     step = {
-        "at": at + F.length(token),
+        "at": after,
         "open": starts | (opened & ~ends),
-        "quoted": F.when(starts, F.endswith(token, F.lit('"'))).otherwise(state["quoted"]),
-        "id": F.when(starts, F.regexp_extract(token, r"(\d+)", 1)).otherwise(state["id"]),
-        "start": F.when(starts, at + F.length(token)).otherwise(state["start"]),
+        "quoted": F.when(starts, token["quote"]).otherwise(state["quoted"]),
+        "id": F.when(starts, token["id"]).otherwise(state["id"]),
+        "start": F.when(starts, after).otherwise(state["start"]),
         "depth": F.when(starts, none)
-        .when(is_item | (token == "["), state["depth"] + 1)
-        .when(closing & nested, state["depth"] - 1)
+        .when((kind == _START) | (kind == _INNER), state["depth"] + 1)
+        .when((is_close | is_bracket) & nested, state["depth"] - 1)
         .otherwise(state["depth"]),
         "near": F.when(starts, none)
         .when(is_close | (is_bracket & ~nested), at)
-        .when(token.rlike(r"^[\s,;.]+$"), state["near"])
+        .when(kind == _SEPARATOR, state["near"])
         .otherwise(none),
         "outer": F.when(starts, none).when(is_close & ~nested, at).otherwise(state["outer"]),
         "ending": F.when(starts, none)
@@ -69,7 +98,7 @@ def _scan(state: Column, token: Column) -> Column:
         "bare": F.when(starts, none).when(is_bracket, at).otherwise(state["bare"]),
         "items": F.when(done.isNotNull(), F.array_append(state["items"], item)).otherwise(state["items"]),
     }
-    return F.struct(*[value.alias(name) for name, value in step.items()]).cast(_STATE)
+    return F.struct(*[value.alias(name) for name, value in step.items()])
 
 
 def _last(state: Column) -> Column:
@@ -96,17 +125,19 @@ def found_items(output: Column) -> Column:
         "at": F.lit(1), "open": F.lit(False), "quoted": F.lit(False), "id": F.lit(""),
         "items": F.array().cast("array<struct<id:string,start:int,end:int>>"),
     }
-    names = [part.split(":")[0] for part in _STATE[7:].split(",")[:11]] + ["items"]
-    start = F.struct(*[fresh.get(name, F.lit(0)).alias(name) for name in names]).cast(_STATE)
-    places = F.aggregate(F.regexp_extract_all(marked, F.lit(_TOKEN), F.lit(0)), start, _scan, _last)
+    start = F.struct(*[fresh.get(name, F.lit(0)).alias(name) for name in _STATE])
 
-    def item(place: Column) -> Column:
-        value = F.replace(F.substring(marked, place["start"], place["end"] - place["start"]), F.lit(_MARK), F.lit(""))
-        quoted = F.substring(marked, place["start"] - 1, F.lit(1)) == '"'
+    def item(text: Column, place: Column) -> Column:
+        value = F.replace(F.substring(text, place["start"], place["end"] - place["start"]), F.lit(_MARK), F.lit(""))
+        quoted = F.substring(text, place["start"] - 1, F.lit(1)) == '"'
         bare = F.regexp_replace(strip(value), r'"?\s*$', "")
         return F.struct(place["id"].try_cast("bigint").alias("id"), F.when(quoted, value).otherwise(bare).alias("value"))
 
-    return F.filter(F.transform(places, item), lambda found: found["id"].isNotNull())
+    def items(text: Column) -> Column:
+        tokens = F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), _token)
+        return F.transform(F.aggregate(tokens, start, _scan, _last), lambda place: item(text, place))
+
+    return F.filter(once(marked, items), lambda found: found["id"].isNotNull())
 
 
 def id_marks(ids: Column, output: Column) -> Column:

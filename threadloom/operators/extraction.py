@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from threadloom.functions.answers import MISSING_ID, found_items, id_marks, slices
+from threadloom.functions.answers import MISSING_ID, found_items, id_marks, once, slices
 
 
-def _found_strict(responses: DataFrame) -> DataFrame:
-    return responses.withColumn("_found", found_items(F.col("output")))
+def _found_strict(ids: Column, output: Column) -> Column:
+    return found_items(output)
 
 
-def _found_compat(responses: DataFrame) -> DataFrame:
-    marks, output = F.col("_marks"), F.col("output")
-    values = F.transform(slices(marks, output), lambda value: value)
-    return (
-        responses.withColumn("_marks", id_marks(F.col("ids"), output))
-        .withColumn(
-            "_found",
-            F.zip_with(
-                marks, values, lambda mark, value: F.struct(mark["id"].alias("id"), value.alias("value"))
-            ),
-        )
-        .drop("_marks")
+def _found_compat(ids: Column, output: Column) -> Column:
+    return once(
+        id_marks(ids, output),
+        lambda marks: F.zip_with(
+            marks,
+            slices(marks, output),
+            lambda mark, value: F.struct(mark["id"].alias("id"), value.alias("value")),
+        ),
     )
 
 
+# (id, value) of the items of an answer, in its order.
 MODES = {"strict": _found_strict, "compat": _found_compat}
 
 
@@ -36,21 +33,23 @@ def extract(responses: DataFrame, mode: str = "strict") -> DataFrame:
     missing-id marker where the answer lacks the id, or null where the whole
     batch failed. Answers are searched once each and only (id, result) is exploded.
     """
-    def lookup(pos_id):
-        at = F.array_position("_found.id", pos_id).cast("int")
-        return F.when(at > 0, F.try_element_at("_found.value", at))
-
-    results = F.transform(
-        "ids",
-        lambda i, pos: F.struct(
-            pos.cast("bigint").alias("pos"),
-            i.alias("id"),
-            F.when(F.col("output").isNotNull(), F.coalesce(lookup(i), F.lit(MISSING_ID))).alias("result"),
+    def lookup(found: Column, item_id: Column) -> Column:
+        at = F.array_position(found["id"], item_id).cast("int")
+        return F.when(at > 0, F.try_element_at(found["value"], at))
+
+    results = once(
+        MODES[mode](F.col("ids"), F.col("output")),
+        lambda found: F.transform(
+            "ids",
+            lambda i, pos: F.struct(
+                pos.cast("bigint").alias("pos"),
+                i.alias("id"),
+                F.when(F.col("output").isNotNull(), F.coalesce(lookup(found, i), F.lit(MISSING_ID))).alias("result"),
+            ),
         ),
     )
     return (
-        MODES[mode](responses)
-        .select("batch_id", results.alias("_results"), "error")
+        responses.select("batch_id", results.alias("_results"), "error")
         .select("batch_id", F.explode("_results").alias("_r"), "error")
         .select("batch_id", "_r.pos", "_r.id", "_r.result", "error")
     )
