@@ -118,11 +118,28 @@ def direct_replies(replies: DataFrame, post_id: Column, only_first: bool = True)
 def one_per_id(rows: DataFrame, key: str = "id") -> DataFrame:
     """One row per non-null ``key``; of different rows always the same one.
 
-    Landed tables repeat rows by design. Rows without a key all stay.
+    Landed tables repeat rows by design. Rows without a key all stay. The keys that
+    repeat are found on two numbers per row and stored with the hash of the row that
+    stays, so Spark knows their size; only their rows are shuffled whole, the others
+    are filtered where they are.
     """
     digest = F.xxhash64(*[F.col(c) for c in rows.columns])
-    known = keep_first(rows.where(F.col(key).isNotNull()), key, [digest])
-    return known.unionByName(rows.where(F.col(key).isNull()))
+    repeated = store(
+        rows.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(digest).alias("_first"))
+        .where("_rows > 1")
+        .select(key, "_first"),
+        "repeated",
+    )
+    single = rows.join(repeated.select(key), key, "left_anti")
+    several = (
+        rows.withColumn("_digest", digest)
+        .join(repeated, key)
+        .where(F.col("_digest") == F.col("_first"))
+        .dropDuplicates([key])
+    )
+    return single.select(rows.columns).unionByName(several.select(rows.columns))
 
 
 def oldest_n(

@@ -11,6 +11,8 @@ from threadloom.operators import batching, threads
 from threadloom.operators.annotation import Calls, ModelFactory, call_model, stored_answers
 from threadloom.operators.extraction import attach, extract
 from threadloom.operators.numbering import number_stored
+from threadloom.operators.skew import lookup_join
+from threadloom.session import store
 from threadloom.templates import (
     ARGUMENT_SYSTEM,
     ARGUMENT_USER,
@@ -103,7 +105,8 @@ def _annotate(
     if responses_path is not None:
         # What an earlier run of this id got for an item is not asked again.
         known = answered_items(df.sparkSession, responses_path, run_id, mode)
-        df = df.join(known, "external_id", "left").withColumn(
+        known = store(known, "known")
+        df = lookup_join(df, known, "external_id", spread_by=texts).withColumn(
             result, F.when(chosen, F.coalesce("_known", F.col(result))).otherwise(F.col(result))
         )
         chosen = chosen & F.col("_known").isNull()
