@@ -358,10 +358,12 @@ ORACLES: dict[str, str] = {
 ORACLES["progress_counts"] = f"""WITH names AS (
     SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS username FROM orders),
   log AS ({ORACLES['merge_logs']})
-  SELECT (SELECT count(*) FROM log) AS n_rows, (SELECT count(*) FROM log WHERE scraped = 1) AS n_done,
-    (SELECT count(*) FROM log WHERE scraped = 0) AS n_failed,
-    (SELECT count(*) FROM log WHERE scraped IS NULL) AS n_open,
-    (SELECT count(*) FROM names) AS n_names, (SELECT count(*) FROM names WHERE username IS NULL) AS n_null,
-    (SELECT count(DISTINCT username) FROM names) AS n_authors"""
+  SELECT 'n_rows' AS what, count(*) AS n FROM log
+  UNION ALL SELECT 'n_done', count(*) FROM log WHERE scraped = 1
+  UNION ALL SELECT 'n_failed', count(*) FROM log WHERE scraped = 0
+  UNION ALL SELECT 'n_open', count(*) FROM log WHERE scraped IS NULL
+  UNION ALL SELECT 'n_names', count(*) FROM names
+  UNION ALL SELECT 'n_null', count(*) FROM names WHERE username IS NULL
+  UNION ALL SELECT 'n_authors', count(DISTINCT username) FROM names"""
 
 ORACLES["scan_csv_blocks"] = ORACLES["scan_files_union"]

@@ -558,9 +558,9 @@ def progress_counts(spark, d):
     names = tables.table(spark, d, "orders").select(
         F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")).alias("username")
     )
-    log = progress.log_summary(tables.merged_log(spark, d)).withColumn("_one", F.lit(1))
-    authors = threads.author_summary(names).withColumn("_one", F.lit(1))
-    return log.join(authors, "_one").drop("_one")  # one row each
+    summaries = [progress.log_summary(tables.merged_log(spark, d)), threads.author_summary(names)]
+    long = [one.unpivot([], one.columns, "what", "n") for one in summaries]
+    return long[0].unionByName(long[1])
 
 
 # --- model, answers, labels ------------------------------------------------
