@@ -72,3 +72,11 @@ def test_every_near_pair_meets_in_a_cell():
     assert near.sum() > 100
     rows = np.arange(len(x))
     assert ((hx == hy) | mx[rows, hy] | my[rows, hx])[near].all()
+
+
+def test_vectors_of_any_magnitude(spark):
+    near = [[1.0, 1.0], [1.0, 1.01], [1.0, -1.0], [1.0, -1.02]]
+    scales = [1e200, 1e300, 1.0, 1e-200, 1e-310, 1e-30]
+    x = [[c * scales[i % 6] for c in near[i % 4]] for i in range(24)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert result(df) == brute(np.array([near[i % 4] for i in range(24)]), np.arange(24))

@@ -182,3 +182,61 @@ def test_telephone_numbers_in_pairs(spark):
         head = v[:3] if v[0] == "+" else ""
         rest = v[len(head) :]
         assert (r.text, r.n) == (f"call {head}{refill(rest, text(re.sub(r'[^0-9]', '', rest), 'phone'))}, or not", 1)
+
+
+def rest_97(value):
+    return int("".join(str(int(c, 36)) for c in value)) % 97
+
+
+def iban(value):
+    flat = value.replace(" ", "")
+    account = text(flat[4:], "iban")
+    new = f"{flat[:2]}{98 - rest_97(account + flat[:2] + '00'):02d}{account}"
+    left = iter(new)
+    return "".join(c if c == " " else next(left) for c in value)
+
+
+def test_bank_accounts_keep_country_and_check_digits(spark):
+    good = ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", "NO9386011117947"]
+    got = apply(spark, good)
+    assert got == [iban(v) for v in good] and got[0] == got[1].replace(" ", "")
+    flat = [v.replace(" ", "") for v in got]
+    assert all(rest_97(v[4:] + v[:4]) == 1 for v in flat) and not set(got) & set(good)
+    assert apply(spark, ["GB83WEST12345698765432", "AB12CDEF3456GHIJ"]) == ["GB83WEST12345698765432", "AB12CDEF3456GHIJ"]
+    number_ = "4111 1111 1111 1111"
+    df = spark.createDataFrame([(1, f"pay {good[1]}, or ID12 {number_}.")], "doc_id long, text string")
+    assert pseudonymise(df).first().text == f"pay {iban(good[1])}, or ID12 {card(number_)}."
+
+
+def test_social_security_numbers_are_permuted_among_valid_ones(spark):
+    def plain(value):
+        a, g, n = map(int, value.split("-"))
+        code = number(((a - 1 - (a > 666)) * 99 + g - 1) * 9999 + n - 1, 898 * 99, 9999, "social")
+        high, serial = divmod(code, 9999)
+        area, group = divmod(high, 99)
+        return f"{area + 1 + (area >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
+
+    values = ["078-05-1120", "899-99-9999", "001-01-0001", *(f"{a}-{a % 99 + 1:02d}-{a * 7 % 9999 + 1:04d}" for a in range(100, 899, 7) if a != 666)]
+    got = apply(spark, values)
+    assert got == [plain(v) for v in values] and len(set(got)) == len(set(values))
+    assert all(re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", v) for v in got)
+    stay = ["000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"]
+    df = spark.createDataFrame([(i, f"no {v} here") for i, v in enumerate(stay)], "doc_id long, text string")
+    assert [r.text for r in pseudonymise(df).orderBy("doc_id").collect()] == [f"no {v} here" for v in stay]
+
+
+def test_versions_are_not_addresses_and_short_names_of_passwords_count(spark):
+    cases = ["v 1.2.3.4", "v1.2.3.4", "version 10.0.19.1", "Version: 1.2.3.4", "release 4.3.2.1 is out"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")
+    assert [r.text for r in pseudonymise(df).orderBy("doc_id").collect()] == cases
+    hide = lambda v: text(v, "secret")
+    df = spark.createDataFrame([(1, "pwd: hunter2 passwd=abc at 10.1.2.3")], "doc_id long, text string")
+    (row,) = pseudonymise(df, name="n").collect()
+    assert row.text.startswith(f"pwd: {hide('hunter2')} passwd={hide('abc')} at ") and row.n == 3
+    assert not row.text.endswith("10.1.2.3")
+
+
+def test_a_long_secret_takes_linear_time(spark):
+    long_ = "".join(random.Random(2).choices("abcdefABCDEF0123456789", k=200_000))
+    df = spark.createDataFrame([(1, f"token={long_} end")], "doc_id long, text string")
+    assert pseudonymise(df).first().text == f"token={text(long_, 'secret')} end"

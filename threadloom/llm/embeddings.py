@@ -22,6 +22,9 @@ _STRIP = 256
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Unit vectors; first scaled by powers of two, so that no square over- or underflows."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    x = np.ldexp(x, -exponent)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -230,8 +233,11 @@ def embedding_duplicates(
         "classes",
     )
     n = classes.count()
+    # Twice the sample's share of hashes holds the smallest SAMPLE; only those are sorted.
+    least = -(2**63) + 2**64 * min(1.0, 2 * SAMPLE / max(n, 1))
     sample = (
-        classes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").toArrow()
+        classes.where(F.xxhash64("node") <= F.lit(least))
+        .orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").toArrow()
         .column("vector")
     )
     by_length: dict[int, list] = {}

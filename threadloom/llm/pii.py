@@ -11,7 +11,11 @@ KEY = "pseudonyms-1"  # a default for tests; give a secret key
 
 _EMAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,6}+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
+# Four numbers after a version word are a version, not an address.
+_VERSION = r"(?<!(?i:\bv|\bver|\bversion|\brelease)[ .:]{0,2})"
+_IP = rf"{_VERSION}{_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)"
+_IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+_SOCIAL = r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\p{L}\p{N}]|-\d)"
 _DATE = r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\p{L}\p{N}])"
 _PHONE = (
     r"(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}"
@@ -30,7 +34,7 @@ _PHONE = rf"(?:{_PAIRS}|{_PHONE})"
 # What stands between the name of a secret and its value; \\ and quotes as in JSON.
 _IS = r"\\?[\"']?\]?[ \t]{0,4}(?:[=:]{1,2}>?|=>)[ \t]{0,4}"
 _TOKEN = rf"(?i:token|secret|api_key|apikey){_IS}"
-_PASSWORD = rf"(?i:password){_IS}"
+_PASSWORD = rf"(?i:password|passwd|pwd){_IS}"
 _SCHEME = r"(?i:bearer |basic )?"
 # A quoted value ends at the next quote that is not escaped, on the same line.
 _CLOSED = "|".join(
@@ -48,7 +52,8 @@ _OPEN = (
 _SECRET = rf"(?<=[=:>][ \t]{{0,4}}\\?[\"']?{_SCHEME})(?:{_CLOSED}|{_OPEN})"
 # A value begins where no letter, digit or underscore stands before it. Group 1 holds secrets.
 PATTERN = (
-    rf"(?<![\p{{L}}\p{{N}}_])(?:({_SECRET})|{_EMAIL}|(?<!\d\.){_IP}|{_DATE}|{_PHONE}|{_CARD})"
+    rf"(?<![\p{{L}}\p{{N}}_])(?:({_SECRET})|{_EMAIL}|(?<!\d\.){_IP}|{_DATE}"
+    rf"|{_IBAN}|(?<!\d-){_SOCIAL}|{_PHONE}|{_CARD})"
 )
 
 # 400 years from here repeat the calendar; their number of days is 189 * 773.
@@ -61,11 +66,8 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 
 def _characters(text: Column, then: Callable[[Column, Column], Column]) -> Column:
-    """Every character (with its place from 1) replaced by ``then``."""
-    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-    return F.array_join(
-        F.transform(places, lambda j: then(F.substring(text, j, F.lit(1)), j)), ""
-    )
+    """Every character (with its place from 1) replaced by ``then``, in linear time."""
+    return F.array_join(F.transform(F.split(text, ""), lambda c, j: then(c, j + 1)), "")
 
 
 def _number(digest: Column, place, width: int = 4) -> Column:
@@ -101,15 +103,10 @@ def permute_text(text: Column, kind: str, key: str) -> Column:
     """
 
     def shift(c: Column, by: Column) -> Column:
-        def turn(first: str, size: int) -> Column:
-            return F.char(F.lit(ord(first)) + (F.ascii(c) - ord(first) + by) % size)
-
-        return (
-            F.when(c.rlike("^[0-9]$"), turn("0", 10))
-            .when(c.rlike("^[a-z]$"), turn("a", 26))
-            .when(c.rlike("^[A-Z]$"), turn("A", 26))
-            .otherwise(c)
-        )
+        digit = c.rlike("^[0-9]$")
+        first = F.when(digit, ord("0")).when(c >= "a", ord("a")).otherwise(ord("A"))
+        turned = first + (F.ascii(c) - first + by) % F.when(digit, 10).otherwise(26)
+        return F.when(c.rlike("^[0-9a-zA-Z]$"), F.char(turned)).otherwise(c)
 
     def step(half: Column, other: Column, i: Column, is_left: bool) -> Column:
         return _let(
@@ -142,14 +139,21 @@ def _only_digits(text: Column) -> Column:
     return F.regexp_replace(text, r"[^0-9]", "")
 
 
-def _refill(shape: Column, digits: Column) -> Column:
-    """``shape`` with its digits replaced, in order, by ``digits``."""
-    return _characters(
-        shape,
-        lambda c, j: F.when(
-            c.rlike("^[0-9]$"),
-            F.substring(digits, F.length(_only_digits(F.substring(shape, F.lit(1), j))), F.lit(1)),
-        ).otherwise(c),
+def _refill(shape: Column, new: Column, kept: str = "0-9") -> Column:
+    """``shape`` with its characters of class ``kept`` replaced, in order, by ``new``."""
+    return _let(
+        new,
+        lambda n: _characters(
+            shape,
+            lambda c, j: F.when(
+                c.rlike(f"^[{kept}]$"),
+                F.substring(
+                    n,
+                    F.length(F.regexp_replace(F.substring(shape, F.lit(1), j), f"[^{kept}]", "")),
+                    F.lit(1),
+                ),
+            ).otherwise(c),
+        ),
     )
 
 
@@ -180,6 +184,63 @@ def _card(value: Column, key: str) -> Column:
     )
 
 
+def _rest_97(text: Column) -> Column:
+    """The number that digits and capitals (A is 10, Z is 35) spell, modulo 97."""
+
+    def add(total: Column, c: Column) -> Column:
+        return F.when(c.rlike("^[0-9]$"), (total * 10 + F.ascii(c) - 48) % 97).otherwise(
+            (total * 100 + F.ascii(c) - 55) % 97
+        )
+
+    return F.aggregate(F.split(text, ""), F.lit(0), add)
+
+
+def _iban(value: Column, key: str) -> Column:
+    """The account is permuted, the country stays, the check digits are set.
+
+    What only looks like one stays, but for a card number after its first group.
+    """
+
+    def renew(flat: Column) -> Column:
+        country = F.substring(flat, F.lit(1), F.lit(2))
+        return _let(
+            permute_text(F.substring(flat, F.lit(5), F.length(flat)), "iban", key),
+            lambda account: F.concat(
+                country,
+                F.lpad((98 - _rest_97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"),
+                account,
+            ),
+        )
+
+    turned = lambda flat: F.concat(F.substring(flat, F.lit(5), F.length(flat)), F.substring(flat, F.lit(1), F.lit(4)))
+    card = F.substring(value, F.lit(6), F.length(value))
+    return _let(
+        F.replace(value, F.lit(" "), F.lit("")),
+        lambda flat: F.when(
+            F.length(flat).between(15, 34) & (_rest_97(turned(flat)) == 1),
+            _refill(value, renew(flat), "A-Z0-9"),
+        )
+        .when(value.rlike(rf"^.{{4}} {_CARD}$"), F.concat(F.substring(value, F.lit(1), F.lit(5)), _card(card, key)))
+        .otherwise(value),
+    )
+
+
+def _social(value: Column, key: str) -> Column:
+    """A social security number, permuted among the valid ones (898 areas, 99 groups, 9999 serials)."""
+    part = lambda n: F.element_at(F.split(value, "-"), n).try_cast("int")
+    area = part(1) - F.when(part(1) > 666, 2).otherwise(1)
+    number = (area.cast("bigint") * 99 + part(2) - 1) * 9999 + part(3) - 1
+
+    def shown(n: Column) -> Column:
+        high = F.floor(n / 9999)
+        place = F.floor(high / 99)
+        return F.format_string(
+            "%03d-%02d-%04d", place + F.when(place >= 665, 2).otherwise(1), high % 99 + 1, n % 9999 + 1
+        )
+
+    return _let(_permute_number(number, 898 * 99, 9999, "social", key), shown)
+
+
 def _phone(value: Column, key: str) -> Column:
     country = F.regexp_extract(value, r"^(\+(?:1|\d{2})(?=\D|\d{7})|)", 1)
     rest = F.substring(value, F.length(country) + 1, F.length(value))
@@ -251,6 +312,8 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
         F.when(value.contains("@"), _email(value, key))
         .when(value.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"), _address(value, key))
         .when(value.rlike(rf"^{_DATE}$"), _date(value, key))
+        .when(value.rlike(rf"^{_IBAN}$"), _iban(value, key))
+        .when(value.rlike(rf"^{_SOCIAL}$"), _social(value, key))
         .when(value.rlike(rf"^{_PHONE}$"), _phone(value, key))
         .when(value.rlike(rf"^{_CARD}$"), _card(value, key))
         .otherwise(permute_text(value, "secret", key))
@@ -264,8 +327,8 @@ def pseudonymise(
     """``documents`` with personal data in ``text`` replaced by pseudonyms.
 
     E-mail addresses (the part before @), IPv4 addresses, dates, telephone
-    numbers, card numbers with a right check digit and values of tokens and
-    passwords are permuted within their format by a keyed Feistel network. A
+    numbers, card numbers and IBANs with right check digits, social security numbers
+    and values of tokens and passwords are permuted within their format by a keyed Feistel network. A
     secret is taken whole, of any length: up to its closing quote, or without
     quotes up to a blank, quote or separator; its letters A-Z and digits change,
     the rest keeps its place. Tokens, secrets and API keys have at least 12
@@ -290,15 +353,15 @@ def pseudonymise(
     def hidden(x: Column) -> Column:
         return F.when(x["secret"], permute_text(x["v"], "secret", key)).otherwise(pseudonym(x["v"], key))
 
+    values = F.transform(found, hidden)
     new = F.zip_with(
-        F.split(old, PATTERN, -1),
-        F.transform(found, hidden),
-        lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))),
+        F.split(old, PATTERN, -1), values, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))
     )
     changed = F.when(old.rlike(PATTERN), F.array_join(new, "")).otherwise(old)
     out = documents.withColumn(text, changed)
     if name is not None:
-        changes = F.size(F.filter(found, lambda x: hidden(x) != x["v"]))
+        moved = F.zip_with(found, values, lambda x, y: x["v"] != y)
+        changes = F.size(F.filter(moved, lambda x: x))
         out = documents.withColumns(
             {text: changed, name: F.when(old.rlike(PATTERN), changes).otherwise(0)}
         )
