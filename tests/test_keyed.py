@@ -42,7 +42,7 @@ def items(spark, tmp_path):
 
     def run(**options):
         stream = jobs.landed_stream(spark, landed, spark.createDataFrame([], ROWS).schema)
-        with runtime_conf(spark, spark__sql__shuffle__partitions="2"):
+        with runtime_conf(spark, spark__sql__shuffle__partitions="1"):
             keyed.annotate_items(
                 stream, asked, out, state, "AM_output", skew=NOW, **{"texts": ["content"], **options}
             ).awaitTermination()

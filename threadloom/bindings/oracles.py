@@ -367,3 +367,5 @@ ORACLES["progress_counts"] = f"""WITH names AS (
   UNION ALL SELECT 'n_authors', count(DISTINCT username) FROM names"""
 
 ORACLES["scan_csv_blocks"] = ORACLES["scan_files_union"]
+ORACLES["stream_items"] = ORACLES["stream_retry"]
+ORACLES["stream_late_parents"] = ORACLES["link_parents"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -29,7 +30,7 @@ from threadloom.session import runtime_conf, scratch_path, store
 from threadloom.sources import manifest
 from threadloom.sources.readers import read_csv, read_table
 from threadloom.sources.writers import append_results, append_rows, result_projection
-from threadloom.streaming import jobs
+from threadloom.streaming import jobs, keyed
 from threadloom.templates import ARGUMENT_SYSTEM, ARGUMENT_USER, STANCE_SYSTEM, STRATEGIES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -778,3 +779,38 @@ def stream_retry(spark, d):
     ).awaitTermination()
     jobs.retry_open(spark, annotate_with(stub.argument_model), out, "AM_output")
     return jobs.latest_results(spark, out, "AM_output").select("external_id", "AM_output")
+
+
+@query
+def stream_items(spark, d):
+    """Items in keyed state: a model that fails for some batches, then, by timer alone, one that answers."""
+    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
+    schema = tables.table(spark, d, "documents").schema
+
+    def run(model):
+        rows = jobs.landed_stream(spark, d, schema, files="documents.parquet").select(
+            F.col("doc_id").alias("external_id"), F.col("text").alias("content")
+        )
+        keyed.annotate_items(
+            rows, lambda batch: argument_mine(batch, model=model, null_text="nan"),
+            out, checkpoint, "AM_output", retry_after=timedelta(0), skew=timedelta(0),
+        ).awaitTermination()
+
+    run(stub.failing_argument_model)
+    run(stub.argument_model)
+    return jobs.latest_results(spark, out, "AM_output").select("external_id", "AM_output")
+
+
+@query
+def stream_late_parents(spark, d):
+    """Replies that land a run before the posts they answer."""
+    landed, out, checkpoint = (scratch_path(spark, "stream") for _ in range(3))
+    rows = tables.replies(spark, d)
+    for half in (F.col("reply_depth") % 2 == 1, F.col("reply_depth") % 2 == 0):
+        rows.where(half).write.mode("append").parquet(landed)
+        found = keyed.late_parents(jobs.landed_stream(spark, landed, rows.schema))
+        sink = found.writeStream.format("parquet").option("path", out)
+        keyed.start(sink.option("checkpointLocation", checkpoint), spark).awaitTermination()
+    return spark.read.schema(found.schema).parquet(out).select(
+        "id", "in_reply_to_id", "PARENT_URL", "PARENT_content"
+    )

@@ -12,11 +12,14 @@ from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from threadloom.session import runtime_conf
 
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Keys are text and never null: with a null among them, pandas would turn ids into floats.
+_ITEM, _BEGAN = "item:", "began"
 # Timestamps keep their microseconds on the way through JSON.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -27,80 +30,72 @@ def start(writer, spark: SparkSession) -> StreamingQuery:
         return writer.trigger(availableNow=True).start()
 
 
-class Items(StatefulProcessor):
-    """State per item: its row while it has no answer, and whether it has one.
+STATE = "payload string, sent int, due long, answered boolean"
+OUT = "item string, payload string, sent int, given_up boolean"
 
-    A new item is sent and gets a timer. When that expires without an answer, the
-    item is sent again, ``tries`` times in all, and then given up. An answer ends
-    the timer; ``forget_ms`` later, if set, the item is as if it had never landed.
+
+def item_state(retry_ms: int, tries: int, forget_ms: int | None):
+    """The step of one item in one micro-batch, for ``applyInPandasWithState``.
+
+    The state is the item's row while it has no answer, how often it was sent, when
+    its timer is due (0: none) and whether it has an answer. A new item is sent and
+    gets a timer. When that expires without an answer, the item is sent again,
+    ``tries`` times in all, and then given up. An answer ends the timer; ``forget_ms``
+    later, if set, the item is as if it had never landed.
     """
 
-    def __init__(self, retry_ms: int, tries: int, forget_ms: int | None):
-        # A timer set for the very time that fires would be dropped with the one that fired.
-        self.retry_ms, self.tries, self.forget_ms = max(1, retry_ms), tries, forget_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getValueState("waiting", "payload string, sent int, due long")
-        self.answered = handle.getValueState("answered", "answered boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        answer, landed, good, bad = False, 0, None, None
-        for part in rows:
-            landed = max(landed, int(part["landed"].max()))
-            answer = answer or bool(part["answer"].any())
-            texts = part[part["payload"].notna()]
-            lost = texts["lost"].astype(bool)
-            good = max(filter(None, [good, *texts["payload"][~lost]]), default=None)
-            bad = max(filter(None, [bad, *texts["payload"][lost]]), default=None)
-        # A null key holds no item, only the signs that a run began.
-        if key[0] is None or self.answered.exists():
-            return
-        before = self.waiting.get() if self.waiting.exists() else None
-        if answer:
-            self._stop(before)
-            self.answered.update((True,))
-            if self.forget_ms is not None:
-                self.handle.registerTimer(landed + self.forget_ms)
-        elif before is not None and before[1] > 0:
-            # Still under way: the next try takes the text that landed last.
-            if good is not None:
-                self.waiting.update((good, before[1], before[2]))
-        elif good is not None:
-            due = landed + self.retry_ms
-            self.waiting.update((good, 1, due))
-            self.handle.registerTimer(due)
-            yield self._row(key, good, 1, False)
-        elif bad is not None and before is None:
-            self.waiting.update((bad, 0, 0))
-            yield self._row(key, bad, 0, True)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.answered.exists():
-            self.answered.clear()
-        elif self.waiting.exists():
-            payload, sent, _ = self.waiting.get()
-            if sent >= self.tries:
+    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentWatermarkMs()
+        payload, sent, due, answered = state.get if state.exists else ("", 0, 0, False)
+        send = give_up = False
+        if state.hasTimedOut:
+            if answered:
+                state.remove()
+                return
+            if sent >= tries:
                 # As if it could not be sent: a text that lands later starts anew.
-                self.waiting.update((payload, 0, 0))
-                yield self._row(key, payload, sent, True)
+                give_up, due = True, 0
             else:
-                due = timerValues.getCurrentWatermarkInMs() + self.retry_ms
-                self.waiting.update((payload, sent + 1, due))
-                self.handle.registerTimer(due)
-                yield self._row(key, payload, sent + 1, False)
-
-    def _stop(self, before) -> None:
-        if before is not None:
-            if before[1] > 0:
-                self.handle.deleteTimer(before[2])
-            self.waiting.clear()
-
-    @staticmethod
-    def _row(key, payload: str, sent: int, given_up: bool) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"item": [key[0]], "payload": [payload], "sent": [sent], "given_up": [given_up]}
-        )
+                send, due = True, now + retry_ms
+        else:
+            answer, landed, good, bad = False, 0, "", ""
+            for part in parts:
+                landed = max(landed, int(part["landed"].max()))
+                answer = answer or bool(part["answer"].any())
+                texts = part[part["payload"].notna()]
+                lost = texts["lost"].astype(bool)
+                good = max([good, *texts["payload"][~lost]])
+                bad = max([bad, *texts["payload"][lost]])
+            if key[0] == _BEGAN:
+                return
+            if answered and 0 < due <= landed:
+                # Due to be forgotten, though the timer has not fired yet.
+                payload, sent, due, answered = "", 0, 0, False
+            waits = due > 0
+            if answered:
+                pass
+            elif answer:
+                payload, answered = "", True
+                due = 0 if forget_ms is None else landed + forget_ms
+            elif good:
+                # An item under way takes the text that landed last with its next try.
+                payload = good
+                if not waits:
+                    send, sent, due = True, 0, landed + retry_ms
+            elif bad and not payload:
+                payload, give_up = bad, True
+        if send:
+            sent += 1
+        state.update((payload, sent, due, answered))
+        if due:
+            # Every call ends the timer, which must lie after the time already reached.
+            state.setTimeoutTimestamp(max(due, now + 1))
+        if send or give_up:
+            yield pd.DataFrame(
+                {"item": [key[0]], "payload": [payload], "sent": [sent], "given_up": [give_up]}
+            )
+
+    return step
 
 
 def _millis(time: timedelta) -> int:
@@ -150,12 +145,14 @@ def annotate_items(
     landed = (
         rows.where(F.col(item_id).isNotNull())
         .select(
-            F.col(item_id).alias("item"), F.to_json(F.struct(*schema.names), _JSON).alias("payload"),
+            F.concat(F.lit(_ITEM), F.col(item_id).cast("string")).alias("item"),
+            F.to_json(F.struct(*schema.names), _JSON).alias("payload"),
             lost.alias("lost"), F.lit(False).alias("answer"),
         )
         .unionByName(
             acknowledged.select(
-                F.col(item_id).alias("item"), F.lit(None).cast("string").alias("payload"),
+                F.coalesce(F.concat(F.lit(_ITEM), F.col(item_id).cast("string")), F.lit(_BEGAN)).alias("item"),
+                F.lit(None).cast("string").alias("payload"),
                 F.lit(False).alias("lost"), F.col(item_id).isNotNull().alias("answer"),
             )
         )
@@ -163,14 +160,10 @@ def annotate_items(
         .withWatermark("time", f"{_millis(skew)} milliseconds")
         .withColumn("landed", F.unix_millis("time"))
     )
-    out = T.StructType(
-        [
-            T.StructField("item", id_type), T.StructField("payload", T.StringType()),
-            T.StructField("sent", T.IntegerType()), T.StructField("given_up", T.BooleanType()),
-        ]
+    step = item_state(_millis(retry_after), tries, None if forget is None else _millis(forget))
+    due = landed.groupBy("item").applyInPandasWithState(
+        step, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
-    processor = Items(_millis(retry_after), tries, None if forget is None else _millis(forget))
-    due = landed.groupBy("item").transformWithStateInPandas(processor, out, "Append", "EventTime")
     result_schema = T.StructType([T.StructField(item_id, id_type), T.StructField(result, T.StringType())])
     by_epoch = T.StructType([*result_schema.fields, T.StructField("epoch", T.LongType())])
     # Epochs of this run: their answers are not in the state yet.
@@ -180,7 +173,7 @@ def annotate_items(
         session = batch.sparkSession
         taken = f"{results_path}/taken/epoch={epoch}"
         batch.write.mode("overwrite").parquet(taken)
-        stored = session.read.schema(out).parquet(taken)
+        stored = session.read.schema(OUT).parquet(taken)
         parsed = F.from_json("payload", schema, _JSON).alias("row")
         stored.where("given_up").select(parsed).select("row.*").write.mode("overwrite").parquet(
             f"{results_path}/unsendable/epoch={epoch}"
@@ -190,7 +183,8 @@ def annotate_items(
             just = session.read.schema(by_epoch).parquet(f"{results_path}/results").where(
                 F.col("epoch").between(own[0], own[-1]) & (F.col(result) != "")
             )
-            ready = ready.join(just.select(F.col(item_id).alias("item")), "item", "left_anti")
+            named = just.select(F.concat(F.lit(_ITEM), F.col(item_id).cast("string")).alias("item"))
+            ready = ready.join(named, "item", "left_anti")
         annotate(ready.select(parsed).select("row.*")).select(item_id, result).write.mode(
             "overwrite"
         ).parquet(f"{results_path}/results/epoch={epoch}")
