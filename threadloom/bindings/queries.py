@@ -700,10 +700,14 @@ def annotate_stance(spark, d):
 # --- streaming -------------------------------------------------------------
 
 
+# As a pattern it names a table that is one file as well as one that is a folder.
+_PARQUET = ".parque[t]"
+
+
 def _conversation_stream(spark, d):
     schema = tables.table(spark, d, "conversations").schema
     return tables.as_replies(
-        jobs.landed_stream(spark, d, schema, files="conversations.parquet")
+        jobs.landed_stream(spark, f"{d}/conversations{_PARQUET}", schema)
     )
 
 
@@ -767,7 +771,7 @@ def stream_retry(spark, d):
     """A stream whose model fails for some batches; open rows are sent again without new files."""
     out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
     schema = tables.table(spark, d, "documents").schema
-    rows = jobs.landed_stream(spark, d, schema, files="documents.parquet").select(
+    rows = jobs.landed_stream(spark, f"{d}/documents{_PARQUET}", schema).select(
         F.col("doc_id").alias("external_id"), F.col("text").alias("content")
     )
 
@@ -788,7 +792,7 @@ def stream_items(spark, d):
     schema = tables.table(spark, d, "documents").schema
 
     def run(model):
-        rows = jobs.landed_stream(spark, d, schema, files="documents.parquet").select(
+        rows = jobs.landed_stream(spark, f"{d}/documents{_PARQUET}", schema).select(
             F.col("doc_id").alias("external_id"), F.col("text").alias("content")
         )
         keyed.annotate_items(
