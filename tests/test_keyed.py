@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +122,59 @@ def test_every_column_survives_the_wait(items):
     assert seen == [row]
 
 
+class Held:
+    """A bucket's state between calls, as ``item_state`` uses it."""
+
+    def __init__(self):
+        self.exists, self.get, self.timer, self.hasTimedOut, self.now = False, None, None, False, 0
+
+    def getCurrentWatermarkMs(self):
+        return self.now
+
+    def update(self, value):
+        self.exists, self.get = True, value
+
+    def remove(self):
+        self.exists, self.get = False, None
+
+    def setTimeoutTimestamp(self, at):
+        assert at > self.now
+        self.timer = at
+
+
+def test_one_call_serves_many_items_each_with_its_timer():
+    step, state = keyed.item_state(retry_ms=10, tries=2, forget_ms=30), Held()
+
+    def call(now, *rows):
+        state.now, state.hasTimedOut, state.timer = now, not rows, None
+        part = pd.DataFrame(rows, columns=["item", "payload", "lost", "answer", "landed"])
+        sent = [tuple(r) for out in step((7,), iter([part]), state) for r in out.itertuples(index=False)]
+        return sorted(sent), state.timer
+
+    many = [(f"item:{i}", "t", False, False, 100) for i in range(500)]
+    sent, timer = call(90, *many, ("item:x", "lost", True, False, 100), ("began", None, False, False, 100))
+    assert len(sent) == 501 and ("item:x", "lost", 0, True) in sent and timer == 110
+    # All but two are answered; those two are due at their own times.
+    answers = [(f"item:{i}", None, False, True, 105) for i in range(2, 500)]
+    assert call(100, *answers, ("item:new", "n", False, False, 105)) == ([("item:new", "n", 1, False)], 110)
+    assert call(112) == ([("item:0", "t", 2, False), ("item:1", "t", 2, False)], 115)
+    assert call(116) == ([("item:new", "n", 2, False)], 122)
+    # Rows of one item leave the others' expired timers to fire in the same call.
+    assert call(123, ("item:0", None, False, True, 125)) == ([("item:1", "t", 2, True)], 126)
+    assert call(200) == ([("item:new", "n", 2, True)], None)
+    # Answered items are forgotten, the others stay.
+    assert sorted(state.get[0]) == ["item:1", "item:new", "item:x"]
+
+
+def test_items_of_one_bucket_are_sent_apart(items):
+    items.asked.known = {1}
+    items.land((1, "a"), (2, "b"))
+    assert items.run(tries=1000, buckets=1) == [(1, "a"), (2, "b")]
+    items.land((1, "a"), (2, "newer"), (3, "c"))
+    assert items.run(tries=1000, buckets=1) == [(3, "c")]
+    assert items.results() == {1: "re a", 2: None, 3: None}
+
+
 def linked(frame):
     return sorted((r.id, r.in_reply_to_id, r.PARENT_URL, r.PARENT_content) for r in frame.collect())
 

@@ -1,7 +1,8 @@
 """Streams that remember by key: items that wait for an answer, replies that wait for a parent.
 
-What a micro-batch costs follows from what landed and what is due, not from history:
-the state is in RocksDB, so only the keys a micro-batch touches are read.
+What a micro-batch costs follows from what landed and what is due: the state is in
+RocksDB, so only the keys a micro-batch touches are read. A key is a reply or post,
+or a bucket of items, whose ids are read with it.
 All times are landing times, which never run backwards.
 """
 
@@ -20,6 +21,8 @@ from threadloom.session import runtime_conf
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Keys are text and never null: with a null among them, pandas would turn ids into floats.
 _ITEM, _BEGAN = "item:", "began"
+# Buckets of item state: few enough that calls of Python do not count, many enough to keep each small.
+BUCKETS = 1 << 14
 # Timestamps keep their microseconds on the way through JSON.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
@@ -30,70 +33,101 @@ def start(writer, spark: SparkSession) -> StreamingQuery:
         return writer.trigger(availableNow=True).start()
 
 
-STATE = "payload string, sent int, due long, answered boolean"
+# A row of state is a bucket of items, one entry of every list for each.
+STATE = (
+    "items array<string>, payloads array<string>, sent array<int>, due array<bigint>, answered array<boolean>"
+)
 OUT = "item string, payload string, sent int, given_up boolean"
+# A new item: no text, never sent, no timer, no answer.
+_NEW = ("", 0, 0, False)
 
 
-def item_state(retry_ms: int, tries: int, forget_ms: int | None):
-    """The step of one item in one micro-batch, for ``applyInPandasWithState``.
+def item_turn(entry, landed, now: int, retry_ms: int, tries: int, forget_ms: int | None):
+    """(entry or None, send, give up) of one item after one micro-batch.
 
-    The state is the item's row while it has no answer, how often it was sent, when
+    The entry is the item's row while it has no answer, how often it was sent, when
     its timer is due (0: none) and whether it has an answer. A new item is sent and
     gets a timer. When that expires without an answer, the item is sent again,
     ``tries`` times in all, and then given up. An answer ends the timer; ``forget_ms``
-    later, if set, the item is as if it had never landed.
+    later, if set, the item is as if it had never landed. ``landed`` is what came of
+    it: time, whether an answer, largest sendable and unsendable text; None when its
+    timer expired.
+    """
+    payload, sent, due, answered = entry
+    send = give_up = False
+    if landed is None:
+        if answered:
+            return None, False, False
+        if sent >= tries:
+            # As if it could not be sent: a text that lands later starts anew.
+            give_up, due = True, 0
+        else:
+            send, due = True, now + retry_ms
+    else:
+        time, answer, good, bad = landed
+        if answered and 0 < due <= time:
+            # Due to be forgotten, though the timer has not fired yet.
+            payload, sent, due, answered = _NEW
+        waits = due > 0
+        if answered:
+            pass
+        elif answer:
+            payload, answered = "", True
+            due = 0 if forget_ms is None else time + forget_ms
+        elif good:
+            # An item under way takes the text that landed last with its next try.
+            payload = good
+            if not waits:
+                send, sent, due = True, 0, time + retry_ms
+        elif bad and not payload:
+            payload, give_up = bad, True
+    return (payload, sent + send, due, answered), send, give_up
+
+
+def item_state(retry_ms: int, tries: int, forget_ms: int | None):
+    """The step of a bucket of items in one micro-batch, for ``applyInPandasWithState``.
+
+    Every item takes its own ``item_turn``: those of which rows landed, and of the
+    others those whose timer has expired. The bucket's timer is the first of its
+    items'. One call for many items: a call costs milliseconds, an item microseconds.
     """
 
     def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.getCurrentWatermarkMs()
-        payload, sent, due, answered = state.get if state.exists else ("", 0, 0, False)
-        send = give_up = False
-        if state.hasTimedOut:
-            if answered:
-                state.remove()
-                return
-            if sent >= tries:
-                # As if it could not be sent: a text that lands later starts anew.
-                give_up, due = True, 0
-            else:
-                send, due = True, now + retry_ms
-        else:
-            answer, landed, good, bad = False, 0, "", ""
+        held = {}
+        if state.exists:
+            items, *columns = state.get
+            held = dict(zip(items, zip(*columns, strict=True), strict=True))
+        landed = {}
+        if not state.hasTimedOut:
             for part in parts:
-                landed = max(landed, int(part["landed"].max()))
-                answer = answer or bool(part["answer"].any())
-                texts = part[part["payload"].notna()]
-                lost = texts["lost"].astype(bool)
-                good = max([good, *texts["payload"][~lost]])
-                bad = max([bad, *texts["payload"][lost]])
-            if key[0] == _BEGAN:
-                return
-            if answered and 0 < due <= landed:
-                # Due to be forgotten, though the timer has not fired yet.
-                payload, sent, due, answered = "", 0, 0, False
-            waits = due > 0
-            if answered:
-                pass
-            elif answer:
-                payload, answered = "", True
-                due = 0 if forget_ms is None else landed + forget_ms
-            elif good:
-                # An item under way takes the text that landed last with its next try.
-                payload = good
-                if not waits:
-                    send, sent, due = True, 0, landed + retry_ms
-            elif bad and not payload:
-                payload, give_up = bad, True
-        if send:
-            sent += 1
-        state.update((payload, sent, due, answered))
-        if due:
-            # Every call ends the timer, which must lie after the time already reached.
-            state.setTimeoutTimestamp(max(due, now + 1))
-        if send or give_up:
-            yield pd.DataFrame(
-                {"item": [key[0]], "payload": [payload], "sent": [sent], "given_up": [give_up]}
-            )
+                names = ("item", "payload", "lost", "answer", "landed")
+                for item, payload, lost, answer, time in zip(*(part[n].tolist() for n in names), strict=True):
+                    if item == _BEGAN:
+                        continue
+                    latest, answers, good, bad = landed.get(item, (0, False, "", ""))
+                    if payload is not None:
+                        good, bad = (good, max(bad, payload)) if lost else (max(good, payload), bad)
+                    landed[item] = (max(latest, time), answers or bool(answer), good, bad)
+        expired = [item for item, entry in held.items() if 0 < entry[2] < now and item not in landed]
+        out = []
+        for item, what in [*landed.items(), *((item, None) for item in expired)]:
+            entry, send, give_up = item_turn(held.get(item, _NEW), what, now, retry_ms, tries, forget_ms)
+            if entry is None:
+                del held[item]
+            else:
+                held[item] = entry
+            if send or give_up:
+                out.append((item, entry[0], entry[1], give_up))
+        if held:
+            state.update((list(held), *(list(column) for column in zip(*held.values(), strict=True))))
+            if timers := [entry[2] for entry in held.values() if entry[2]]:
+                # Every call ends the timer, which must lie after the time already reached.
+                state.setTimeoutTimestamp(max(min(timers), now + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["item", "payload", "sent", "given_up"])
 
     return step
 
@@ -114,6 +148,7 @@ def annotate_items(
     tries: int = 5,
     forget: timedelta | None = None,
     skew: timedelta = timedelta(minutes=1),
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Annotate items as they land, each once, and again while they have no answer.
 
@@ -131,6 +166,10 @@ def annotate_items(
     several in one micro-batch the largest. Rows without an id cannot be answered and
     are left out; ``split_rejects`` lists them. Answered ids stay in state for ever,
     or for ``forget``, after which an item that lands again is sent again.
+
+    State is kept by bucket, a hash of the id: a micro-batch reads and writes the
+    buckets of the items that landed or are due, ids and open texts. ``buckets`` is
+    fixed with the checkpoint; the open texts of one must fit a task.
     """
     spark = rows.sparkSession
     schema, id_type = rows.schema, rows.schema[item_id].dataType
@@ -161,7 +200,8 @@ def annotate_items(
         .withColumn("landed", F.unix_millis("time"))
     )
     step = item_state(_millis(retry_after), tries, None if forget is None else _millis(forget))
-    due = landed.groupBy("item").applyInPandasWithState(
+    bucketed = landed.withColumn("bucket", F.pmod(F.xxhash64("item"), F.lit(buckets)))
+    due = bucketed.groupBy("bucket").applyInPandasWithState(
         step, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
     result_schema = T.StructType([T.StructField(item_id, id_type), T.StructField(result, T.StringType())])
