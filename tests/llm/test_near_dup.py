@@ -3,13 +3,17 @@
 import collections
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from threadloom.llm import near_dup
+from threadloom import session
+from threadloom.llm import common, near_dup
 from threadloom.llm.components import components
+from threadloom.session import runtime_conf, shared_dir
 
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
@@ -183,3 +187,30 @@ def test_likely_pairs_that_are_no_links_stay_in_their_task():
         joined = [joined[y] if t == joined[x] else t for t in joined]
     same = {(x, y) for x in range(n) for y in range(n) if top[x] == top[y]}
     assert same == {(x, y) for x in range(n) for y in range(n) if joined[x] == joined[y]}
+
+
+def test_rounds_of_small_components_write_few_files(spark):
+    """Every file of a small table costs an executor its set-up, whatever its size."""
+    links = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    before = set(Path(shared_dir(spark).removeprefix("file:")).glob("links-*"))
+    with runtime_conf(
+        spark, spark__sql__shuffle__partitions="40", spark__sql__adaptive__coalescePartitions__enabled="false"
+    ):
+        found = components(links)
+        assert found.groupBy("root").count().collect() == [(0, 201)]
+    rounds = set(Path(shared_dir(spark).removeprefix("file:")).glob("links-*")) - before
+    files = sorted(len(list(path.glob("part-*"))) for path in rounds)
+    # The first table is written as its links come, its size not being known.
+    assert len(files) > 2 and files[-2] <= 2
+
+
+def test_stored_rows_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_FILE", 10)
+    many = session.store(spark.range(0, 100, 1, 30), "many", rows=100)
+    assert many.count() == 100 and len(many.inputFiles()) == 10
+    few = session.store(spark.range(0, 100, 1, 30), "few", rows=0)
+    assert few.count() == 100 and len(few.inputFiles()) == 2
+
+
+def test_hashes_of_words_need_no_large_tables():
+    assert sum(table.nbytes for table in common._tables()) <= 1 << 23

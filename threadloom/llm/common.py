@@ -19,7 +19,7 @@ LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_PIECE = 1 << 20
+_PIECE = 1 << 18  # bytes hashed at once; a worker keeps tables of 32 times that
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

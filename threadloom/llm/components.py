@@ -46,6 +46,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .unionByName(down.select("u", F.col("m").alias("v")))
             .distinct(),
             "links",
+            # A round never has many more links than the one before.
+            rows=seen[0],
         )
         now = _digest(new)
         if now == seen:

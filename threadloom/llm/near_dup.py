@@ -304,6 +304,7 @@ def _confirmed(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFram
             .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
             .mapInArrow(_confirm, "a bigint, b bigint"),
             "confirmed",
+            rows=pairs.count(),
         )
 
 
@@ -381,11 +382,13 @@ def near_duplicates(
         *([] if carry is None else [F.col(carry).alias("carried")]),
     )
     carried = docs.columns[2:]
-    signed = store(
-        docs.select("doc_id", *carried, arrow_udf(_signed, _SIGNED)(F.col("text")).alias("s"))
-        .select("doc_id", *carried, "s.*"),
-        "signed",
-    )
+    with runtime_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="1000"):
+        signed = store(
+            docs.select("doc_id", *carried, arrow_udf(_signed, _SIGNED)(F.col("text")).alias("s"))
+            .select("doc_id", *carried, "s.*"),
+            "signed",
+        )
+    n_docs = signed.count()
     nodes = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     rows = nodes.select("key", F.explode("bands").alias("bucket"))
     shared = (
@@ -400,6 +403,7 @@ def near_duplicates(
         .join(members.select("key").distinct(), "key", "left_semi")
         .dropDuplicates(["key"]),
         "signatures",
+        rows=n_docs,
     )
 
     ranks = [F.xxhash64(F.lit(k), "key") for k in range(HUBS)]
@@ -423,7 +427,7 @@ def near_duplicates(
         .select("a", "b", "sa", "sb")
         .mapInArrow(_prune, "a bigint, b bigint")
     )
-    roots = components(_confirmed(store(pairs, "pairs"), nodes, docs))
+    roots = components(_confirmed(store(pairs, "pairs", rows=HUBS * n_docs), nodes, docs))
 
     placed = members.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "root", F.coalesce("root", "key")
@@ -434,7 +438,7 @@ def near_duplicates(
         .where("lo <> hi")
         .select("bucket")
     )
-    placed = store(placed.join(mixed, "bucket", "left_semi"), "open")
+    placed = store(placed.join(mixed, "bucket", "left_semi"), "open", rows=members.count())
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     weighed = placed.join(sizes, "root", "left").withColumn(
         "rank", F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.col("root"))
@@ -447,6 +451,7 @@ def near_duplicates(
         .where(F.col("rank") < F.col("host"))
         .select("bucket", "key", "root", F.col("rank.size").alias("size"), F.col("host.root").alias("host")),
         "others",
+        rows=placed.count(),
     )
     meetings = others.select("key", F.col("host").alias("root")).distinct()
     several = (
@@ -474,10 +479,11 @@ def near_duplicates(
         .select("a", F.col("root").alias("b"))
     )
     # Components that likely pairs join, in whatever chain, are verified together.
-    clusters = components(store(compared.unionByName(visited).distinct(), "likely"))
+    clusters = components(store(compared.unionByName(visited).distinct(), "likely", rows=n_docs))
     searched = store(
         everyone.join(clusters.select(F.col("node").alias("root"), F.col("root").alias("cluster")), "root"),
         "clusters",
+        rows=n_docs,
     )
     with runtime_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="200"):
         sets = _sets(searched.select("key"), nodes, docs)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
 import uuid
@@ -10,6 +11,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows of a stored file at least, where a table's rows are known beforehand.
+ROWS_PER_FILE = 4096
+
 # Runtime settings every job here relies on. Shuffle width is left to the
 # cluster: AQE coalesces small partitions and splits skewed join partitions.
 RUNTIME_CONF = {
@@ -79,14 +83,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def store(
+    df: DataFrame, label: str, partition_by: str | None = None, rows: int | None = None
+) -> DataFrame:
     """Write ``df`` to the shared folder once and return a scan of it.
 
     Used where a frame must not be computed twice (costly or not repeatable
     work) and to cut lineage: what is written survives the loss of executors,
     and later readers prune columns as in any Parquet table. ``partition_by``, the
-    last column, gets a folder per value, so readers prune those too.
+    last column, gets a folder per value, so readers prune those too. With ``rows``,
+    about how many there are, a small table is not written as hundreds of tiny files,
+    each of which costs executors a file's set-up: whole partitions share a task, but
+    never fewer than two tasks write.
     """
+    if rows is not None:
+        df = df.coalesce(max(2, math.ceil(rows / ROWS_PER_FILE)))
     path = scratch_path(df.sparkSession, label)
     if partition_by is None:
         df.write.parquet(path)
