@@ -12,6 +12,7 @@ from threadloom.session import store
 # monotonically_increasing_id() keeps the partition above bit 33 and the
 # position inside the partition below it.
 _POSITION_BITS = 33
+_INSIDE = (1 << _POSITION_BITS) - 1
 
 
 def number_rows(
@@ -27,24 +28,32 @@ def number_rows(
     change between the two uses below. Only the row counts, one per partition,
     are then summed up and broadcast.
     """
-    stored = store(_placed(df, order_by, partitions), "numbered")
-    starts = _starts(stored).select("_part", F.col("_before").alias("_offset"))
+    placed = _sorted(df, order_by, partitions).withColumn("_place", F.monotonically_increasing_id())
+    stored = store(placed, "numbered")
+    part = F.shiftright("_place", _POSITION_BITS)
+    starts = _starts(stored.select(part.alias("_part"))).select("_part", F.col("_before").alias("_offset"))
     return (
-        stored.join(F.broadcast(starts), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_place"))
+        stored.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_offset") + F.col("_place").bitwiseAND(_INSIDE))
         .drop("_part", "_place", "_offset")
     )
 
 
-def _placed(df: DataFrame, order_by: Sequence[str | Column], partitions: int | None) -> DataFrame:
-    """The rows in ranges of the order, each with its range and its place inside."""
+def _sorted(df: DataFrame, order_by: Sequence[str | Column], partitions: int | None) -> DataFrame:
+    """The rows in ranges of the order, each sorted."""
     ranged = (
         df.repartitionByRange(*order_by)
         if partitions is None
         else df.repartitionByRange(partitions, *order_by)
     )
-    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    return ranged.sortWithinPartitions(*order_by).select(
+    return ranged.sortWithinPartitions(*order_by)
+
+
+def _placed(df: DataFrame, order_by: Sequence[str | Column], partitions: int | None) -> DataFrame:
+    """The sorted rows, each with its range and its place inside."""
+    inside = F.monotonically_increasing_id().bitwiseAND(_INSIDE)
+    return _sorted(df, order_by, partitions).select(
         "*", inside.alias("_place"), F.spark_partition_id().alias("_part")
     )
 
